@@ -108,3 +108,27 @@ def demographics_sql(lexicon=lx.DEFAULT, source: str = "dataset", with_total=Fal
     ctes["s"] = f"SELECT {', '.join(sums)} FROM f"
     views = [source] if source in VIEWS else []
     return with_views(union, *views, extra=ctes)
+
+
+def md5_of(seed, *parts: str) -> str:
+    """md5 of 'seed|part|…' — parts are SQL expressions (cast to text)."""
+    items = [q(str(seed))] + [f"CAST({p} AS VARCHAR)" for p in parts]
+    return f"md5(concat_ws('|', {', '.join(items)}))"
+
+
+def u32(seed, *parts: str) -> str:
+    return f"CAST(('0x' || substr({md5_of(seed, *parts)}, 1, 8)) AS BIGINT)"
+
+
+def uniform(seed, *parts: str) -> str:
+    return f"((CAST({u32(seed, *parts)} AS DOUBLE) + 0.5) / 4294967296.0)"
+
+
+def normal(seed, key: str, i: str) -> str:
+    u1 = uniform(seed, key, f"({i}) * 2")
+    u2 = uniform(seed, key, f"({i}) * 2 + 1")
+    return f"(sqrt(-2.0 * ln({u1})) * cos(CAST({2.0 * 3.141592653589793!r} AS DOUBLE) * {u2}))"
+
+
+def randint(seed, key: str, upper: int) -> str:
+    return f"CAST(floor({uniform(seed, key)} * {upper}) AS INTEGER)"

@@ -163,12 +163,12 @@ def profile(df: DataFrame) -> DataFrame:
         else:
             aggs += [F.lit(None).cast("int").alias(f"_lo{i}"), F.lit(None).cast("int").alias(f"_hi{i}")]
     one = df.agg(*aggs)
-    rows = F.array(*[F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
+    rows = F.array(*[F.struct(F.lit(f.name).alias("column_name"), F.lit(f.dataType.simpleString()).alias("column_type"),
                               F.col(f"_n{i}").cast("long").alias("nulls"),
                               F.col(f"_lo{i}").cast("int").alias("min_size"),
                               F.col(f"_hi{i}").cast("int").alias("max_size"))
                      for i, f in enumerate(fields)])
-    return one.select(F.col("_rows").cast("long").alias("rows"), F.inline(rows))
+    return one.select(F.col("_rows").cast("long").alias("n_rows"), F.inline(rows))
 
 
 def bundle_shapes(df: DataFrame, array_cols, text_col: str | None = None) -> DataFrame:
@@ -190,7 +190,11 @@ def collate(df: DataFrame, batch_cols, order: str, fields) -> DataFrame:
     packed = F.array_sort(F.collect_list(F.struct(F.col(order).alias("_o"), *[F.col(f) for f in fields])))
     g = df.groupBy(*batch_cols).agg(packed.alias("_items"))
     return g.select(*batch_cols, F.size("_items").alias("batch_len"),
-                    *[F.transform("_items", lambda s, f=f: s[f]).alias(f) for f in fields])
+                    *[F.transform("_items", _getter(f)).alias(f) for f in fields])
+
+
+def _getter(field: str):
+    return lambda s: s[field]
 
 
 def per_item_time(total_seconds: Column, n: Column) -> Column:

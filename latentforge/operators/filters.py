@@ -1,7 +1,5 @@
 """Filters, predicates and limits."""
 
-from __future__ import annotations
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
