@@ -85,10 +85,11 @@ def clampv(e: str, b: float = 10.0) -> str:
     return f"(CASE WHEN isnan({e}) THEN {e} ELSE least(greatest({e}, -{b}), {b}) END)"
 
 
-def denoise_sql(steps=3, seed=5, cu=0.1, ct=0.2, s=2.0):
+def denoise_sql(steps=3, seed=5, cu=0.1, ct=0.2, s=2.0,
+                base="SELECT id, generate_subscripts(x, 1) - 1 AS i FROM latents"):
     """One CTE per sampler step over (id, i, x) rows."""
     ctes = {"s0": ("SELECT id, CAST(i AS INTEGER) AS i, " + clampv(D.normal(seed, "id", "i")) + " AS x FROM "
-                   "(SELECT id, generate_subscripts(x, 1) - 1 AS i FROM latents)")}
+                   f"({base})")}
     for k, (t, at, ap) in enumerate(_grid_with_abar(steps, 1000, "t-1"), start=1):
         at_, ap_ = f"CAST({at!r} AS DOUBLE)", f"CAST({ap!r} AS DOUBLE)"
         uv = f"SELECT id, i, x, {clampv(f'{clampv(chr(120))} * {cu!r}')} AS u, {clampv(f'{clampv(chr(120))} * {ct!r}')} AS tt FROM s{k - 1}"
@@ -301,4 +302,127 @@ def oracle() -> dict:
             + " AS DOUBLE) AS c FROM latents), range(16) r(j)", "latents"),
     })
     out["denoise_numpy"] = out["denoise"]
+    out.update(oracle_more())
+    return out
+
+
+# ------------------------------------------------- images, inference, I/O --
+
+def p10(j: str, arr: str = "x") -> str:
+    """P10 value of element j (0-based) of a latent array."""
+    return (f"CAST(round_even(least(greatest((CAST({arr}[CAST({j} AS BIGINT) + 1] AS DOUBLE) + 1.0) * 127.5, 0.0), 255.0), 0) "
+            "AS INTEGER)")
+
+
+def grid(n: int) -> str:
+    return f"latents, range({n}) r(k)"
+
+
+def safe_map_sql() -> str:
+    return ("SELECT pos, CASE WHEN value > 40 THEN 'error' ELSE 'success' END AS status, "
+            "CASE WHEN value > 40 THEN 'ValueError: value above limit' END AS error_message, "
+            "CASE WHEN value <= 40 THEN value * 2.0 END AS result FROM results")
+
+
+def tokens_cte() -> str:
+    return ("SELECT id, list_concat(list_concat(['<s>'], tk[1:75]), ['</s>']) AS tk FROM "
+            f"(SELECT id, {TK} AS tk FROM dataset)")
+
+
+def hash_embed_sql(dim: int = 64) -> str:
+    return V(
+        "SELECT s.id, s.bucket, round(s.s / n.norm, 6) AS value FROM s JOIN n ON s.id = n.id", "dataset", extra={
+            "w": f"SELECT id, unnest({TK}) AS w FROM dataset",
+            "b": (f"SELECT id, CAST(CAST(('0x' || substr(md5(w), 1, 8)) AS BIGINT) % {dim} AS INTEGER) AS bucket, "
+                  "CASE WHEN CAST(('0x' || substr(md5(w), 9, 2)) AS INTEGER) % 2 = 0 THEN CAST(1.0 AS DOUBLE) "
+                  "ELSE CAST(-1.0 AS DOUBLE) END AS s FROM w"),
+            "s": "SELECT id, bucket, sum(s) AS s FROM b GROUP BY id, bucket HAVING sum(s) <> 0",
+            "n": "SELECT id, sqrt(sum(s * s)) AS norm FROM s GROUP BY id"})
+
+
+def oracle_more() -> dict:
+    nz = lambda seed, key="id": D.normal(seed, key, "i")
+    prep = ("CASE WHEN y >= 0 AND y < 10 AND xx >= 1 AND xx < 11 THEN "
+            + p10("least(floor(((y - 0) + 0.5) * 8 / 10), 7) * 8 + least(floor(((xx - 1) + 0.5) * 8 / 10), 7)")
+            + " / 127.5 - 1.0 ELSE 0 / 127.5 - 1.0 END")
+    out = {
+        "letterbox_geometry": V(
+            "SELECT w, h, n, round(scale, 9) AS scale, new_w, new_h, CAST(floor((512 - new_w) / 2) AS INTEGER) AS off_x, "
+            "CAST(floor((512 - new_h) / 2) AS INTEGER) AS off_y, (w > 0 AND h > 0 AND new_w > 0 AND new_h > 0) AS ok "
+            "FROM (SELECT *, CAST(trunc(w * scale) AS INTEGER) AS new_w, CAST(trunc(h * scale) AS INTEGER) AS new_h "
+            "FROM (SELECT *, CASE WHEN w > 0 AND h > 0 THEN least(CAST(512 AS DOUBLE) / w, CAST(512 AS DOUBLE) / h) END "
+            "AS scale FROM sizes))", "sizes"),
+        "denormalize_pixels": V(f"SELECT id, CAST(k AS INTEGER) AS i, {p10('(k % 4) * 16 + (k // 16) * 4 + (k // 4) % 4')} "
+                                f"AS px FROM {grid(64)}", "latents"),
+        "hwc_to_chw": V(f"SELECT id, CAST(k AS INTEGER) AS i, {p10('k')} AS px FROM {grid(64)}", "latents"),
+        "prepare_images": V(f"SELECT id, CAST(k AS INTEGER) AS i, round({prep}, 6) AS tensor FROM (SELECT id, x, k, "
+                            f"(k // 12) % 10 AS y, k % 12 AS xx FROM {grid(360)})", "latents"),
+        "train_transform": V(
+            "SELECT id, CAST(k AS INTEGER) AS i, round((" + p10("least(floor((k // 15 + 0.5) * 8 / 5), 7) * 8 + "
+                                                                "least(floor(((k // 3) % 5 + 0.5) * 8 / 5), 7)")
+            + " / 255.0 - 0.5) / 0.5, 6) AS img FROM " + grid(75), "latents"),
+        "image_or_black": V(f"SELECT id, CAST(k AS INTEGER) AS i, CASE WHEN label <> 3 THEN {p10('k')} ELSE 0 END AS px "
+                            f"FROM {grid(64)}", "latents"),
+        "to_rgb_rgba": V(f"SELECT id, CAST(k AS INTEGER) AS i, {p10('(k // 3) * 4 + k % 3')} AS px FROM {grid(48)}",
+                         "latents"),
+        "tokenize_pad": V(
+            "SELECT id, CAST(j AS INTEGER) AS j, token, mask FROM (SELECT id, generate_subscripts(f, 1) - 1 AS j, "
+            "unnest(f) AS token, unnest(m) AS mask FROM (SELECT id, list_resize(tk, 77, '<pad>') AS f, "
+            "list_resize(list_transform(tk, lambda t: 1), 77, 0) AS m FROM t))", "dataset", extra={"t": tokens_cte()}),
+        "hash_embed": hash_embed_sql(),
+        "embed_text": hash_embed_sql(),
+        "embed_images": V(
+            "SELECT id, 'success' AS status, CAST(k AS INTEGER) AS i, round((CAST(x[(2 * (k // 4)) * 8 + 2 * (k % 4) + 1] "
+            "AS DOUBLE) + CAST(x[(2 * (k // 4)) * 8 + 2 * (k % 4) + 2] AS DOUBLE) + CAST(x[(2 * (k // 4) + 1) * 8 + "
+            "2 * (k % 4) + 1] AS DOUBLE) + CAST(x[(2 * (k // 4) + 1) * 8 + 2 * (k % 4) + 2] AS DOUBLE)) / 4, 6) AS mean "
+            "FROM " + grid(16), "latents"),
+        "prompt_embedding": V(
+            "SELECT id, CAST(j AS INTEGER) AS j, CAST(CAST(('0x' || substr(md5(token), 1, 8)) AS BIGINT) % 16 AS INTEGER) "
+            "AS bucket, CASE WHEN CAST(('0x' || substr(md5(token), 9, 2)) AS INTEGER) % 2 = 0 THEN CAST(1.0 AS DOUBLE) "
+            "ELSE CAST(-1.0 AS DOUBLE) END AS value FROM (SELECT id, generate_subscripts(f, 1) - 1 AS j, unnest(f) AS token "
+            "FROM (SELECT id, list_resize(tk, 77, '<pad>') AS f FROM t))", "dataset", extra={"t": tokens_cte()}),
+        "safe_map": V(safe_map_sql(), "results"),
+        "read_annotations": V("SELECT image_id, ann_id, caption FROM captions", "captions"),
+        "read_annotations_images": V("SELECT id, file_name FROM images", "images"),
+        "write_records": V("SELECT pos, status, value FROM results", "results"),
+        "write_bundle": ("SELECT count(*) AS n, 64 AS text_embedding_min_len, 64 AS text_embedding_max_len, "
+                         "77 AS attention_mask_min_len, 77 AS attention_mask_max_len, count(text) AS caption_count, "
+                         "count(*) AS image_embedding_nulls FROM documents"),
+        "write_stats": D.demographics_sql(T),
+        "read_images": V(f"SELECT id, 8 AS h, 8 AS w, 1 AS c, 64 AS n_bytes, CAST(sum({p10('k')}) AS BIGINT) AS pixel_sum, "
+                         f"'success' AS status FROM {grid(64)} GROUP BY id", "latents"),
+        "resolve_embeddings": "SELECT vec_id, CAST(len(embedding) AS INTEGER) AS dim FROM embeddings",
+        "encode_stream": V(safe_map_sql(), "results"),
+        "stream_progress": V("SELECT status, n, round(100.0 * n / sum(n) OVER (), 1) AS pct FROM (SELECT CASE WHEN "
+                             "value > 40 THEN 'error' ELSE 'success' END AS status, count(*) AS n FROM results "
+                             "GROUP BY 1)", "results"),
+        "curate": V(
+            "SELECT i.id, concat_ws('/', '/data/coco', 'train2014', 'train2014', i.file_name) AS image_path, "
+            "p.n_captions, p.caption FROM images i JOIN p ON i.id = p.image_id", "images", "captions", extra={
+                "p": f"SELECT image_id, count(*) AS n_captions, arg_min(caption, {D.md5_of(7, 'image_id', 'ann_id')}) "
+                     f"AS caption FROM captions WHERE {D.any_contains(LC, T.people)} GROUP BY image_id"}),
+    }
+    # L3: sampler over latents, loader batches, then noised latents (seed '0e1')
+    out["training_input"] = V(
+        "SELECT b.id, 1 AS epoch, b.rank, b.batch, b.t, round(sum(sa * CAST(e.v AS DOUBLE) + so * "
+        + D.normal("0e1", "b.id", "e.i") + "), 6) AS noisy_sum, round(sum(" + D.normal("0e1", "b.id", "e.i")
+        + "), 6) AS target_sum FROM b JOIN e ON b.id = e.id GROUP BY b.id, b.rank, b.batch, b.t",
+        "latents", extra={**{"sched": schedule_cte()},
+                          "p": (f"SELECT id, row_number() OVER (ORDER BY {D.md5_of(1, 'id')}, id) - 1 AS perm, "
+                                "count(*) OVER () AS n FROM latents"),
+                          "s": ("SELECT id, CAST(perm % 4 AS INTEGER) AS rank, perm // 4 AS local FROM p "
+                                "WHERE perm < (n // 4) * 4"),
+                          "r": "SELECT rank, count(*) AS rn FROM s GROUP BY rank",
+                          "b0": ("SELECT s.id, s.rank, local // 32 AS batch FROM s JOIN r ON s.rank = r.rank "
+                                 "WHERE local < (rn // 32) * 32"),
+                          "b": (f"SELECT b0.*, sc.t, sc.sqrt_alpha_cumprod AS sa, sc.sqrt_one_minus AS so FROM b0 "
+                                f"JOIN sched sc ON {D.randint('0e1', 'b0.id', 1000)} = sc.t"),
+                          "e": "SELECT id, generate_subscripts(x, 1) - 1 AS i, unnest(x) AS v FROM latents"})
+    # L4: 3-step sampler over 16 elements per prompt, then pixels
+    ctes, _ = denoise_sql(base="SELECT id, CAST(range AS BIGINT) AS i FROM dataset, range(16)")
+    out["generate"] = V(
+        "SELECT id, CAST(i AS INTEGER) AS i, CAST(round_even(least(greatest((((" + clampv("x")
+        + ") / CAST(0.18215 AS DOUBLE)) * CAST(0.18215 AS DOUBLE) + 1.0) * 127.5, 0.0), 255.0), 0) AS INTEGER) "
+        "AS pixels FROM s3", "dataset", extra=ctes)
+    out["prepare_images_numpy"] = out["prepare_images"]
     return out

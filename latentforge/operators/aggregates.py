@@ -171,13 +171,14 @@ def profile(df: DataFrame) -> DataFrame:
     return one.select(F.col("_rows").cast("long").alias("n_rows"), F.inline(rows))
 
 
-def bundle_shapes(df: DataFrame, array_cols, text_col: str | None = None) -> DataFrame:
-    """N and the per-row length range of each array column."""
+def bundle_shapes(df: DataFrame, array_cols, text_col: str | None = None, null_counts=()) -> DataFrame:
+    """N and the per-row length range of each array column (one scan)."""
     aggs = [F.count(F.lit(1)).alias("n")]
     for c in array_cols:
         aggs += [F.min(F.size(c)).alias(f"{c}_min_len"), F.max(F.size(c)).alias(f"{c}_max_len")]
     if text_col:
         aggs.append(F.count(text_col).alias(f"{text_col}_count"))
+    aggs += [F.count_if(F.col(c).isNull()).alias(f"{c}_nulls") for c in null_counts]
     return df.agg(*aggs)
 
 

@@ -278,3 +278,264 @@ QUERIES.update({
     "denoise_numpy": _denoise_numpy,
     "sinusoidal_embedding": _sinusoidal,
 })
+
+
+# ---- P: image geometry and pixels (latents as small images)
+def _flat_int(df, key, col):
+    z = df.select(key, F.posexplode(col).alias("i", "_v"))
+    return z.select(key, F.col("i").cast("int").alias("i"), F.col("_v").cast("int").alias(col))
+
+
+def _grey(s, d):
+    from ..operators import image as im
+    return vw.latents(s, d).select("id", "label", "x", im.denormalize_pixels("x", 1, 8, 8).alias("px"))
+
+
+def _letterbox(s, d):
+    from ..operators import image as im
+    g = vw.sizes(s, d).withColumn("g", im.letterbox_geometry("w", "h"))
+    return g.select("w", "h", "n", F.round("g.scale", 9).alias("scale"), "g.new_w", "g.new_h",
+                    "g.off_x", "g.off_y", "g.ok")
+
+
+def _prepare(s, d):
+    from ..operators import image as im
+    grey = im.Img.from_chw("x", 1, 8, 8).map(im._to_uint8)
+    t = im.prepare_images_columns(vw.latents(s, d).select("id", "x"), grey, 8, 8, 1, tw=12, th=10, grey=True)
+    return _flat(t.select("id", "tensor"), "id", ["tensor"])
+
+
+def _prepare_numpy(s, d):
+    from ..operators import image as im
+    rgb = _grey(s, d).select("id", im.to_rgb("px").alias("rgb"), F.lit(8).alias("h"), F.lit(8).alias("w"),
+                             F.lit(3).alias("c"))
+    t = im.prepare_images(rgb, "id", "rgb", "h", "w", "c", tw=12, th=10, dtype="double")
+    return _flat(t.select("id", "tensor"), "id", ["tensor"])
+
+
+def _train_transform(s, d):
+    from ..operators import image as im
+    img = im.Img.from_chw("x", 1, 8, 8).map(im._to_uint8).grey_to_rgb().resize(5, 5) \
+        .map(lambda v: (v / F.lit(255.0) - F.lit(0.5)) / F.lit(0.5)).hwc()
+    return _flat(vw.latents(s, d).select("id", img.alias("img")), "id", ["img"])
+
+
+def _denorm(s, d):
+    from ..operators import image as im
+    return _flat_int(vw.latents(s, d).select("id", im.denormalize_pixels("x", 4, 4, 4).alias("px")), "id", "px")
+
+
+def _hwc_chw(s, d):
+    from ..operators import image as im
+    hwc = vw.latents(s, d).select("id", im.denormalize_pixels("x", 4, 4, 4).alias("hwc"))
+    return _flat_int(hwc.select("id", im.hwc_to_chw("hwc", 4, 4, 4).alias("px")), "id", "px")
+
+
+def _black(s, d):
+    from ..operators import image as im
+    g = _grey(s, d)
+    return _flat_int(g.select("id", im.image_or_black(F.when(F.col("label") != 3, F.col("px")), 64).alias("px")),
+                     "id", "px")
+
+
+def _rgba(s, d):
+    from ..operators import image as im
+    return _flat_int(_grey(s, d).select("id", im.to_rgb("px", "RGBA").alias("px")), "id", "px")
+
+
+# ---- E: tokenise, encoders, error isolation
+def _tokenize(s, d):
+    from ..operators import inference as inf
+    t = vw.dataset(s, d).select("id", inf.tokenize_pad("caption", 77).alias("t"))
+    z = t.select("id", F.posexplode(F.arrays_zip("t.tokens", "t.attention_mask")).alias("j", "z"))
+    return z.select("id", F.col("j").cast("int").alias("j"), F.col("z.tokens").alias("token"),
+                    F.col("z.attention_mask").alias("mask"))
+
+
+def _hash_embed(s, d):
+    from ..operators import inference as inf
+    return inf.hash_embed(vw.dataset(s, d), "id", "caption", 64).select(
+        "id", "bucket", F.round("value", 6).alias("value"))
+
+
+def _embed_text(s, d):
+    from ..operators import inference as inf
+    e = inf.embed_text(vw.dataset(s, d), "caption", "emb", dim=64)
+    z = e.select("id", F.posexplode("emb").alias("bucket", "value")).where(F.col("value") != 0)
+    return z.select("id", F.col("bucket").cast("int").alias("bucket"), F.round("value", 6).alias("value"))
+
+
+def _embed_images(s, d):
+    from ..operators import inference as inf
+    e = inf.embed_images(vw.latents(s, d), "id", "x", (1, 8, 8))
+    z = e.select("id", "status", F.posexplode("mean").alias("i", "mean"))
+    return z.select("id", "status", F.col("i").cast("int").alias("i"), F.round("mean", 6).alias("mean"))
+
+
+def _prompt_embedding(s, d):
+    from ..operators import inference as inf
+    t = vw.dataset(s, d).select("id", inf.tokenize_pad("caption", 77)["tokens"].alias("tokens"))
+    h = inf.prompt_embedding(t, "id", "tokens", dim=16)
+    rows = h.select("id", F.posexplode("hidden").alias("j", "row"))
+    cells = rows.select("id", "j", F.posexplode("row").alias("bucket", "value")).where(F.col("value") != 0)
+    return cells.select("id", F.col("j").cast("int").alias("j"), F.col("bucket").cast("int").alias("bucket"),
+                        "value")
+
+
+def double_or_fail(values):
+    """Test function for E8: fails for values above 40."""
+    out = []
+    for v in values:
+        if v > 40:
+            raise ValueError("value above limit")
+        out.append(float(v) * 2.0)
+    return out
+
+
+def _safe_map(s, d):
+    from pyspark.sql import types as Ty
+
+    from ..operators import inference as inf
+    return inf.safe_map(vw.results(s, d), double_or_fail, ["pos"], "value", Ty.DoubleType(), batch_size=8)
+
+
+# ---- S: sources and sinks (round trips through the shared scratch folder)
+def _scratch(s, name):
+    from ..session import scratch_dir
+    return scratch_dir(s, name)
+
+
+def _annotations(s, d, which):
+    from ..sources import annotations as an
+    path = _scratch(s, "annotations")
+    an.write_annotations(vw.captions(s, d), vw.images(s, d), path)
+    ann, img = an.read_annotations(s, path)
+    return ann if which == "annotations" else img
+
+
+def _records(s, d):
+    from ..sources import sinks
+    path = _scratch(s, "records")
+    sinks.write_records(vw.results(s, d), path)
+    return tb.read_records(s, path)
+
+
+def _bundle(s, d):
+    from ..plans import embedding as emb
+    path = _scratch(s, "bundle")
+    emb.embed_captions_job(vw.dataset(s, d), "id", "caption", out_path=path, dim=64)
+    b = tb.read_records(s, path)
+    return agg.bundle_shapes(b, ["text_embedding", "attention_mask"], "caption",
+                             null_counts=["image_embedding"])
+
+
+def _stats(s, d):
+    from ..sources import sinks
+    prefix = _scratch(s, "coco_people_analysis")
+    path = sinks.write_stats(agg.demographics(vw.dataset(s, d), lexicon=T), prefix, "20240101_000000")
+    return sinks.read_stats(s, path)
+
+
+def _read_images(s, d):
+    from ..sources import images as io
+    out = _scratch(s, "images")
+    g = _grey(s, d).select("id", "px", F.lit(8).alias("h"), F.lit(8).alias("w"), F.lit(1).alias("c"))
+    io.write_image_files(g, "id", "px", "h", "w", "c", out)
+    r = io.read_images(s, out, glob="*.raw")
+    key = F.regexp_extract("path", r"/(\d+)\.raw$", 1).cast("long")
+    byte_sum = F.aggregate(F.transform(F.sequence(F.lit(1), F.length("pixels")),
+                                       lambda i: F.conv(F.hex(F.substring("pixels", i, 1)), 16, 10).cast("long")),
+                           F.lit(0).cast("long"), lambda a, v: a + v)
+    return r.select(key.alias("id"), "h", "w", "c", F.length("pixels").alias("n_bytes"),
+                    byte_sum.alias("pixel_sum"), "status")
+
+
+def _resolve(s, d):
+    from ..sources import sinks
+    r = sinks.resolve_embeddings(tb.read_table(s, d, "embeddings"), "image_embeddings")
+    return r.select("vec_id", F.size("image_embeddings").alias("dim"))
+
+
+# ---- T: streaming encode queue
+def _stream_src(s, d):
+    src = _scratch(s, "stream-src")
+    vw.results(s, d).repartitionByRange(8, "pos").write.mode("overwrite").parquet(src)
+    return src
+
+
+def _encode_stream(s, d):
+    from pyspark.sql import types as Ty
+
+    from ..streaming import encode_stream as es
+    src = _stream_src(s, d)
+    sink, ckpt = _scratch(s, "stream-sink"), _scratch(s, "stream-ckpt")
+    schema = s.read.parquet(src).schema
+    es.encode_stream(s, src, schema, double_or_fail, ["pos"], "value", Ty.DoubleType(), sink, ckpt,
+                     files_per_batch=2)
+    return s.read.parquet(sink)
+
+
+def _stream_progress(s, d):
+    from pyspark.sql import types as Ty
+
+    from ..streaming import encode_stream as es
+    src = _stream_src(s, d)
+    prog, ckpt = _scratch(s, "stream-progress"), _scratch(s, "stream-progress-ckpt")
+    schema = s.read.parquet(src).schema
+    es.stream_progress(s, src, schema, double_or_fail, ["pos"], "value", Ty.DoubleType(), prog, ckpt,
+                       files_per_batch=3)
+    return es.latest_progress(s, prog)
+
+
+# ---- L: end-to-end plans
+def _curate(s, d):
+    from ..plans import curation
+    ds = curation.curate(vw.images(s, d), vw.captions(s, d), T, seed=7, root="/data/coco")
+    return ds.select("id", "image_path", "n_captions", "caption")
+
+
+def _training_input(s, d):
+    from ..operators import diffusion as dd
+    from ..plans import training
+    ti = training.training_input(vw.latents(s, d).select("id", "x"), dd.noise_schedule(s), "id", "x",
+                                 world=4, epoch=1, batch_size=32, seed=0)
+    total = lambda c: F.round(F.aggregate(c, F.lit(0.0), lambda a, v: a + v), 6)
+    return ti.select("id", "epoch", "rank", "batch", "t", total("noisy").alias("noisy_sum"),
+                     total("target").alias("target_sum"))
+
+
+def _generate(s, d):
+    from ..plans import generation
+    g = generation.generate(vw.dataset(s, d), "id", "caption", _linear_predictor, steps=3, scale=2.0,
+                            seed=5, latent_shape=(1, 4, 4))
+    return _flat_int(g.select("id", "pixels"), "id", "pixels")
+
+
+QUERIES.update({
+    "letterbox_geometry": _letterbox,
+    "denormalize_pixels": _denorm,
+    "hwc_to_chw": _hwc_chw,
+    "prepare_images": _prepare,
+    "prepare_images_numpy": _prepare_numpy,
+    "train_transform": _train_transform,
+    "image_or_black": _black,
+    "to_rgb_rgba": _rgba,
+    "tokenize_pad": _tokenize,
+    "hash_embed": _hash_embed,
+    "embed_text": _embed_text,
+    "embed_images": _embed_images,
+    "prompt_embedding": _prompt_embedding,
+    "safe_map": _safe_map,
+    "read_annotations": lambda s, d: _annotations(s, d, "annotations"),
+    "read_annotations_images": lambda s, d: _annotations(s, d, "images"),
+    "write_records": _records,
+    "write_bundle": _bundle,
+    "write_stats": _stats,
+    "read_images": _read_images,
+    "resolve_embeddings": _resolve,
+    "encode_stream": _encode_stream,
+    "stream_progress": _stream_progress,
+    "curate": _curate,
+    "training_input": _training_input,
+    "generate": _generate,
+})
