@@ -62,7 +62,7 @@ def batch_totals(batch: int):
             "b AS (SELECT batch, count(*) AS items, count_if(status = 'success') AS ok, sum(value) AS secs "
             "FROM p GROUP BY batch), "
             "c AS (SELECT batch, sum(items) OVER (ORDER BY batch) AS processed, sum(ok) OVER (ORDER BY batch) AS okc, "
-            "sum(secs) OVER (ORDER BY batch) AS elapsed, sum(items) OVER () AS total FROM b) ")
+            "round(sum(secs) OVER (ORDER BY batch), 6) AS elapsed, sum(items) OVER () AS total FROM b) ")
 
 
 def sampler_sql():

@@ -15,6 +15,7 @@ from ..functions import lexicon as lx
 from ..functions import text as tx
 from ..functions.arrays import sq_error_sum
 from ..functions.durations import format_duration
+from .parallel import spread
 from .positions import with_position
 
 DIMENSIONS = ("gender_distribution", "age_groups", "group_sizes", "activities")
@@ -23,7 +24,7 @@ DIMENSIONS = ("gender_distribution", "age_groups", "group_sizes", "activities")
 def _lower(df: DataFrame, text_col: str) -> DataFrame:
     # Lower-case once; the projection is kept because `_lc` is used many
     # times (Catalyst does not inline non-cheap expressions used repeatedly).
-    return df.select(tx.lower_text(text_col).alias("_lc"))
+    return spread(df.select(text_col)).select(tx.lower_text(text_col).alias("_lc"))
 
 
 def _long(row_cols: list) -> Column:

@@ -20,6 +20,7 @@ from ..functions import rand
 from ..functions.arrays import clamp, clamp_value
 from ..functions.text import col_
 from .joins import lookup_schedule
+from .parallel import spread
 from .windows import cumulative_product
 
 LATENT_SCALE = 0.18215
@@ -166,7 +167,7 @@ def denoise_linear(df: DataFrame, key: str, seed: int, dim: int, steps: int = 50
 
     x = F.aggregate(grid, x0, one)
     out = unscale_latents(clamp(x, -bound, bound)) if decode else x
-    return df.select(key, out.alias("sample"))
+    return spread(df.select(key)).select(key, out.alias("sample"))
 
 
 def denoise_numpy(df: DataFrame, key: str, seed: int, dim: int, predictor, steps: int = 50,
@@ -179,7 +180,7 @@ def denoise_numpy(df: DataFrame, key: str, seed: int, dim: int, predictor, steps
     generator as the column path, computed in Spark before the Python stage.
     """
     grid = _grid_with_abar(steps, T, prev)
-    start = df.select(F.col(key).alias("key"),
+    start = spread(df.select(key)).select(F.col(key).alias("key"),
                       clamp(rand.normal_array(seed, F.col(key), dim), -bound, bound).alias("x"))
 
     def run(batches):
@@ -222,8 +223,8 @@ def training_pairs(samples: DataFrame, schedule: DataFrame, key: str, x: str, se
 
     ``seed`` should include the epoch so each epoch draws anew.
     """
-    s = samples.select(F.col(key), F.col(x), *extra,
-                       draw_timesteps(F.col(key), T, seed).alias("t"))
+    s = spread(samples.select(F.col(key), F.col(x), *extra)).select(
+        F.col(key), F.col(x), *extra, draw_timesteps(F.col(key), T, seed).alias("t"))
     j = lookup_schedule(s, schedule.select("t", "sqrt_alpha_cumprod", "sqrt_one_minus"), "t",
                         schedule_rows=T)
     noise = noise_like(x, F.col(key), seed)

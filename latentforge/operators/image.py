@@ -206,8 +206,10 @@ def prepare_images(df: DataFrame, key: str, pixels: str, h: str, w: str, c: str,
     """
     np_type = np.float32 if dtype == "float" else np.float64
     sp_type = Ty.FloatType() if dtype == "float" else Ty.DoubleType()
-    src = df.select(F.col(key).alias("key"), F.col(pixels).alias("px"), F.col(h).cast("int").alias("h"),
-                    F.col(w).cast("int").alias("w"), F.col(c).cast("int").alias("c"))
+    from .parallel import spread
+
+    src = spread(df.select(F.col(key).alias("key"), F.col(pixels).alias("px"), F.col(h).cast("int").alias("h"),
+                           F.col(w).cast("int").alias("w"), F.col(c).cast("int").alias("c")))
 
     def run(batches):
         import pandas as pd

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
 from ..functions import text as tx
+from .parallel import spread
 
 BOS, EOS, PAD = "<s>", "</s>", "<pad>"
 
@@ -130,7 +131,7 @@ def embed_text(df: DataFrame, text_col: str, out_col: str = "text_embedding",
         return predict
 
     udf = predict_batch_udf(make_predict_fn, return_type=Ty.ArrayType(Ty.DoubleType()), batch_size=batch_size)
-    return df.withColumn(out_col, udf(F.col(text_col)))
+    return spread(df).withColumn(out_col, udf(F.col(text_col)))
 
 
 def hash_embed(df: DataFrame, key: str, text_col: str, dim: int = 64) -> DataFrame:
@@ -139,7 +140,8 @@ def hash_embed(df: DataFrame, key: str, text_col: str, dim: int = 64) -> DataFra
     bucket) on the map side → L2 norm per key.  Returns sparse rows
     (key, bucket, value) for non-zero buckets.
     """
-    words = df.select(F.col(key), F.explode(tx.tokens(F.lower(F.col(text_col)))).alias("w"))
+    words = spread(df.select(key, text_col)).select(
+        F.col(key), F.explode(tx.tokens(F.lower(F.col(text_col)))).alias("w"))
     h = F.md5(F.col("w"))
     b = words.select(key, (F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % dim).cast("int").alias("bucket"),
                      F.when(F.conv(F.substring(h, 9, 2), 16, 10).cast("int") % 2 == 0, F.lit(1.0))
@@ -213,7 +215,7 @@ def prompt_embedding(df: DataFrame, key: str, tokens: str, make_encoder=None, di
                      out_col: str = "hidden") -> DataFrame:
     """Per-token hidden states (tokens × dim), not pooled."""
     make = make_encoder or (lambda: HashTokenEncoder(dim))
-    src = df.select(F.col(key).alias("key"), F.col(tokens).alias("tokens"))
+    src = spread(df.select(F.col(key).alias("key"), F.col(tokens).alias("tokens")))
 
     def run(batches):
         for pdf in batches:
@@ -240,7 +242,7 @@ def safe_map(df: DataFrame, fn, keys, value_col: str, result_type: Ty.DataType,
     re-zipping).  Errors that kill the Python worker stay Spark task retries.
     """
     keys = list(keys)
-    src = df.select(*[F.col(k) for k in keys], F.col(value_col).alias("_v"))
+    src = spread(df.select(*[F.col(k) for k in keys], F.col(value_col).alias("_v")))
     schema = Ty.StructType([*[df.schema[k] for k in keys],
                             Ty.StructField("status", Ty.StringType()),
                             Ty.StructField("error_message", Ty.StringType()),

@@ -87,6 +87,15 @@ class _BucketSpec:
                               .otherwise(F.col(_B).cast("int"))).drop(_K)
 
 
+def dense_bucket(key, total, num_buckets: int) -> Column:
+    """Bucket of a dense 0-based integer key when its count ``total`` is
+    known (a column or number): ``key·nb div total`` — monotone, even, and
+    needs no sampling job."""
+    key = F.col(key) if isinstance(key, str) else key
+    total = F.col(total) if isinstance(total, str) else (total if isinstance(total, Column) else F.lit(total))
+    return F.when(total > 0, F.floor(key * F.lit(num_buckets) / total)).otherwise(F.lit(0)).cast("int")
+
+
 def hash_bucket(hex_col: Column, digits: int = 3) -> Column:
     """Bucket from the leading hex digits of a hex hash used as the order key."""
     return F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("int")

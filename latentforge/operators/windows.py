@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.durations import format_duration
-from .positions import cumulative, range_bucket, with_position
+from .positions import cumulative, dense_bucket, range_bucket, with_position
 
 
 def scaling_table(runs: DataFrame, method: str = "method", workers: str = "workers",
@@ -40,16 +40,19 @@ def cumulative_product(df: DataFrame, col: str, order, out: str = "cumprod") ->
 
 
 def _batch_totals(results: DataFrame, order, batch_size: int, status: str, value: str | None):
-    pos = with_position(results, order, pos_col="_pos")
+    pos = with_position(results, order, pos_col="_pos", size_col="_n")
     per_batch = pos.groupBy((F.floor(F.col("_pos") / batch_size)).cast("long").alias("batch")).agg(
         F.count(F.lit(1)).alias("items"),
         F.count_if(F.col(status) == "success").alias("ok"),
+        F.max("_n").alias("_n"),
         *([F.sum(value).alias("secs")] if value else []))
     sums = {"processed": F.col("items"), "ok_so_far": F.col("ok")}
     if value:
         sums["elapsed"] = F.col("secs")
+    # batch ids are dense (0 .. ceil(n/size)-1): bucket them arithmetically
+    n_batches = F.ceil(F.col("_n") / batch_size)
     return cumulative(per_batch, ["batch"], sums, totals=True,
-                      bucket=range_bucket(per_batch, "batch", _nb(results)))
+                      bucket=dense_bucket("batch", n_batches, _nb(results)))
 
 
 def _nb(df) -> int:
@@ -60,15 +63,18 @@ def progress(results: DataFrame, order, batch_size: int, seconds_col: str = "val
              status_col: str = "status") -> DataFrame:
     """After each batch — items done, items/s, items left and ETA.
 
-    Elapsed time is the running sum of per-item seconds; ETA is 0 when the
-    speed is 0, as in the original loop.
+    Elapsed time is the running sum of per-item seconds, taken at microsecond
+    resolution so that speed and ETA do not depend on the order in which the
+    distributed sum was added up; ETA is 0 when the speed is 0, as in the
+    original loop.
     """
-    c = _batch_totals(results, order, batch_size, status_col, seconds_col)
+    c = _batch_totals(results, order, batch_size, status_col, seconds_col) \
+        .withColumn("elapsed", F.round("elapsed", 6))
     speed = F.when(F.col("elapsed") > 0, F.col("processed") / F.col("elapsed")).otherwise(F.lit(0.0))
     remaining = F.col("processed_total") - F.col("processed")
     eta = F.when(speed > 0, remaining / speed).otherwise(F.lit(0.0))
     return c.select("batch", F.col("processed").cast("long").alias("processed"),
-                    F.round(F.col("elapsed"), 6).alias("elapsed"),
+                    F.col("elapsed"),
                     F.round(speed, 2).alias("items_per_second"),
                     remaining.cast("long").alias("remaining"),
                     format_duration(eta).alias("eta"))

@@ -17,6 +17,7 @@ from ..operators import diffusion as dd
 from ..operators import filters as flt
 from ..operators import image as im
 from ..operators import inference as inf
+from ..operators.parallel import materialize
 from ..sources import sinks
 
 
@@ -29,7 +30,8 @@ def embed_images_job(records: DataFrame, key: str, pixels: str, h: str, w: str,
     r = flt.take_prefix(records.select(key, pixels, h, w, c), limit, order or [key])
     if partitions:
         r = r.repartition(partitions)
-    prep = im.prepare_images(r, key, pixels, h, w, c, target, target)
+    # the Python stage feeds two branches (success / error): run it once
+    prep = materialize(im.prepare_images(r, key, pixels, h, w, c, target, target))
     ok = prep.where("status = 'success'")
     shape = latent_shape or (3, target, target)
     enc = inf.embed_images(ok, key, "tensor", shape, make_encoder)

@@ -346,7 +346,8 @@ def _rgba(s, d):
 # ---- E: tokenise, encoders, error isolation
 def _tokenize(s, d):
     from ..operators import inference as inf
-    t = vw.dataset(s, d).select("id", inf.tokenize_pad("caption", 77).alias("t"))
+    from ..operators.parallel import spread
+    t = spread(vw.dataset(s, d)).select("id", inf.tokenize_pad("caption", 77).alias("t"))
     z = t.select("id", F.posexplode(F.arrays_zip("t.tokens", "t.attention_mask")).alias("j", "z"))
     return z.select("id", F.col("j").cast("int").alias("j"), F.col("z.tokens").alias("token"),
                     F.col("z.attention_mask").alias("mask"))
