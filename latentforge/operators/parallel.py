@@ -24,12 +24,32 @@ def materialize(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+_SHUFFLE_NODES = ("Exchange", "TakeOrderedAndProject", "CollectLimit", "GlobalLimit")
+
+
+def _after_shuffle(df: DataFrame) -> bool:
+    """True when the planned query already contains a shuffle or a limit.
+
+    Reads the plan text only (nothing runs).  Asking such a plan for its RDD
+    partition count would make adaptive execution run the upstream shuffle
+    stages right away, so those inputs are left as they are — their
+    partition count comes from the shuffle, not from small files.
+    """
+    try:
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    except Exception:
+        return True
+    return any(n in plan for n in _SHUFFLE_NODES)
+
+
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    if df.isStreaming:
+    """Round-robin repartition a scan-level input that has fewer partitions
+    than the cluster has cores; anything else is returned unchanged."""
+    if df.isStreaming or _after_shuffle(df):
         return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     try:
-        n = df.rdd.getNumPartitions()
+        n = df.rdd.getNumPartitions()      # file splits only: no job for a scan
     except Exception:  # planning failed here; let the real action report it
         return df
     return df.repartition(target) if n < target else df
