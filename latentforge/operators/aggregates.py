@@ -222,15 +222,18 @@ def checkpoint_loss(losses: DataFrame, log_interval: int, save_interval: int,
     """The loss stored with each checkpoint.
 
     Batch 0 of every epoch is a log point, so the running sum at the end of an
-    epoch is the sum of the batches after its last log point; it is divided by
-    the number of batches of that epoch.  Two small aggregates and a join, no
-    window over an epoch.
+    epoch is the sum of the batches after its last log point (the last block
+    of ``log_interval`` batches, minus its first batch); it is divided by the
+    number of batches of that epoch.  Two chained aggregates — per (epoch,
+    block), then ``max_by`` per epoch — read the log once, split a hot epoch
+    into blocks, and need no join or window.
     """
     saves = losses.where((F.col(epoch) + 1) % save_interval == 0)
-    last = saves.groupBy(epoch).agg(F.max(batch).alias("_last"))
-    tail = saves.join(last, epoch).where(
-        F.col(batch) > F.floor(F.col("_last") / log_interval) * log_interval)
-    sums = tail.groupBy(epoch).agg(F.sum(loss).alias("_tail"))
-    return last.join(sums, epoch, "left").select(
+    blocks = saves.groupBy(epoch, F.floor(F.col(batch) / log_interval).alias("_blk")).agg(
+        F.sum(F.when(F.col(batch) % log_interval != 0, F.col(loss))).alias("_tail"),
+        F.max(batch).alias("_last"))
+    per_epoch = blocks.groupBy(epoch).agg(F.max_by("_tail", "_blk").alias("_tail"),
+                                          F.max("_last").alias("_last"))
+    return per_epoch.select(
         epoch, F.col("_last").alias("last_batch"),
         (F.coalesce(F.col("_tail"), F.lit(0.0)) / (F.col("_last") + 1)).alias("checkpoint_loss"))
