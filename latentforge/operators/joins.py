@@ -78,5 +78,8 @@ def compare_methods(table: DataFrame, methods, key: str = "workers", method: str
                     values=("speedup", "efficiency_pct")) -> DataFrame:
     """Methods side by side per worker count (pivot with known values,
     so no extra job is needed to find them)."""
-    return table.groupBy(key).pivot(method, list(methods)).agg(
-        *[F.first(v).alias(v) for v in values])
+    out = table.groupBy(key).pivot(method, list(methods)).agg(*[F.first(v).alias(v) for v in values])
+    if len(values) == 1:  # Spark names a single-aggregate pivot column by the value alone
+        for m in methods:
+            out = out.withColumnRenamed(str(m), f"{m}_{values[0]}")
+    return out

@@ -43,13 +43,22 @@ def _after_shuffle(df: DataFrame) -> bool:
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition a scan-level input that has fewer partitions
-    than the cluster has cores; anything else is returned unchanged."""
+    """Round-robin repartition a small scan-level input before CPU-heavy work.
+
+    Spread when the input has fewer splits than cores, or fewer files than
+    cores while still small (under four splits per core): a file with one
+    row group is planned as several byte-range splits of which only one
+    holds rows.  Inputs with many splits, and inputs that already come out of
+    a shuffle, are returned unchanged.
+    """
     if df.isStreaming or _after_shuffle(df):
         return df
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     try:
         n = df.rdd.getNumPartitions()      # file splits only: no job for a scan
+        if n >= 4 * target:
+            return df
+        files = len(df.inputFiles())
     except Exception:  # planning failed here; let the real action report it
         return df
-    return df.repartition(target) if n < target else df
+    return df.repartition(target) if (n < target or files < target) else df
