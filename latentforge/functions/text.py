@@ -61,10 +61,33 @@ def age_pattern(spec: dict, elderly_suffixes=lx.ELDERLY_SUFFIXES) -> str:
     return r"(?U)\b(" + words + r")\s*(" + suffixes + r")?\b"
 
 
+def _literal(alternative: str) -> str:
+    """The leading literal of a regex alternative (``grown[-\\s]?up`` → ``grown``)."""
+    m = re.match(r"[^\\\[\](){}?*+|^$.]*", alternative)
+    return m.group(0) if m else ""
+
+
+def _guard(text_lower: Column, alternatives) -> Column | None:
+    """A substring test that must hold for any alternative to match, or None."""
+    lits = [_literal(a) for a in alternatives]
+    if not lits or any(not x for x in lits):
+        return None
+    return any_substring(text_lower, lits)
+
+
 def age_flags(text_lower: Column, lexicon: lx.Lexicon = lx.DEFAULT) -> dict[str, Column]:
-    """One boolean column per age group."""
-    return {g: text_lower.rlike(age_pattern(spec, lexicon.elderly_suffixes))
-            for g, spec in lexicon.age.items()}
+    """One boolean column per age group.
+
+    Each Unicode regex is guarded by a plain substring test of its literal
+    words (byte search inside codegen), so the regex only runs on texts that
+    can match; the result is the same.
+    """
+    out = {}
+    for g, spec in lexicon.age.items():
+        rx = text_lower.rlike(age_pattern(spec, lexicon.elderly_suffixes))
+        guard = _guard(text_lower, spec.get("prefixes") or spec.get("words"))
+        out[g] = rx if guard is None else (guard & rx)
+    return out
 
 
 def group_size_class(text_lower: Column, lexicon: lx.Lexicon = lx.DEFAULT) -> Column:
@@ -81,8 +104,13 @@ def terms_pattern(terms) -> str:
 
 
 def find_terms(text_lower: Column, terms) -> Column:
-    """Every non-overlapping whole-word hit, in text order, with repeats."""
-    return F.regexp_extract_all(text_lower, F.lit(terms_pattern(terms)), F.lit(1))
+    """Every non-overlapping whole-word hit, in text order, with repeats
+    (the regex runs only when some term occurs as a substring)."""
+    hits = F.regexp_extract_all(text_lower, F.lit(terms_pattern(terms)), F.lit(1))
+    guard = _guard(text_lower, [re.escape(t) for t in terms])
+    if guard is None:
+        return hits
+    return F.when(guard, hits).when(text_lower.isNotNull(), F.array().cast("array<string>"))
 
 
 def count_term(hits: Column, term: str) -> Column:
