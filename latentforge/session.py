@@ -45,7 +45,38 @@ def build_session(master: str | None = None, app: str = "latentforge",
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    ship_package(spark)
+    return spark
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``latentforge`` importable by the executors' Python workers.
+
+    Python stages (``mapInPandas``, pandas UDFs) run functions defined in
+    this package, so the workers must import it.  The package is zipped once
+    and registered with ``addPyFile``, which distributes it with the tasks —
+    the same as ``--py-files`` at submit time.  Done once per application.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    import zipfile
+
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="latentforge-pyfiles-"), "latentforge.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(app)
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
