@@ -33,6 +33,11 @@ from latentforge.session import build_session  # noqa: E402
 from latentforge.sources import views as vw  # noqa: E402
 
 
+def _linear(x, t):
+    """Closed-form test predictor (unconditional, text) for the sampler."""
+    return 0.1 * x, 0.2 * x
+
+
 def queries(s, d):
     """name -> (DataFrame factory, input-row counter)."""
     n_docs = lambda: vw.dataset(s, d).count()
@@ -50,7 +55,8 @@ def queries(s, d):
         "epoch_sampler_loader": (lambda: bt.loader_batches(
             bt.epoch_sampler(vw.results(s, d).select("pos"), "pos", 4, 1), 32), n_ev),
         "training_pairs": (lambda: dd.training_pairs(vw.latents(s, d), dd.noise_schedule(s), "id", "x", 42), n_lat),
-        "denoise_50_steps": (lambda: dd.denoise_linear(vw.latents(s, d), "id", 5, 64, steps=50), n_lat),
+        "denoise_50_steps": (lambda: dd.denoise_numpy(vw.latents(s, d), "id", 5, 64, _linear, steps=50), n_lat),
+        "denoise_50_steps_jvm": (lambda: dd.denoise_linear(vw.latents(s, d), "id", 5, 64, steps=50), n_lat),
         "letterbox_geometry": (lambda: vw.sizes(s, d).select("w", "h", im.letterbox_geometry("w", "h").alias("g")),
                                lambda: s.read.parquet(f"{d}/lineitem.parquet").count()),
         "prepare_images_numpy": (lambda: im.prepare_images(

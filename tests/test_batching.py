@@ -114,3 +114,28 @@ def test_batches_partition_the_rows(spark):
     b = bt.batches(ids(spark, 97), 10)
     assert b.count() == 97 and b.select("id").distinct().count() == 97
     assert sizes(b, "batch") == [10] * 9 + [7]
+
+
+def test_empty_and_tiny_inputs(spark):
+    empty = spark.range(0).select(F.col("id"))
+    assert with_position(empty, ["id"], num_buckets=4).count() == 0
+    assert bt.batches(empty, 8).count() == 0
+    assert bt.chunks_ceil(empty, 4).count() == 0
+    assert bt.epoch_sampler(empty, "id", 4, 0).count() == 0
+    # fewer rows than workers
+    assert sizes(bt.chunks_ceil(ids(spark, 3), 4), "chunk") == [1, 1, 1]
+    assert sorted(r.rank for r in bt.rank_shards(ids(spark, 2), 4).collect()) == [3, 3]
+    assert bt.epoch_sampler(ids(spark, 3), "id", 4, 0).count() == 0      # 3 div 4 = 0 per rank
+
+
+def test_epoch_sampler_without_drop_last_pads(spark):
+    s = bt.epoch_sampler(ids(spark, 10), "id", world=4, epoch=0, drop_last=False)
+    assert s.count() == 12 and sizes(s, "rank") == [3, 3, 3, 3]
+    assert s.select("id").distinct().count() == 10
+
+
+def test_take_prefix_large_uses_positions(spark):
+    from latentforge.operators import filters as flt
+    got = flt.take_prefix(ids(spark, 30000).repartition(5), 20001, ["id"])
+    assert got.count() == 20001 and got.agg(F.max("id")).collect()[0][0] == 20000
+    assert flt.take_prefix(ids(spark, 10), 0, ["id"]).count() == 10     # 0 means all

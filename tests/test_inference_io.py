@@ -152,3 +152,27 @@ def test_bundle_shapes(spark):
     df = spark.createDataFrame([([1.0, 2.0], "a"), ([1.0], None)], "e array<double>, caption string")
     r = agg.bundle_shapes(df, ["e"], "caption").collect()[0]
     assert (r.n, r.e_min_len, r.e_max_len, r.caption_count) == (2, 1, 2, 1)
+
+
+def test_missing_annotation_file_raises(spark):
+    import pytest
+    with pytest.raises(Exception):
+        an.read_annotations(spark, "/tmp/definitely-missing-annotations-dir")[0].count()
+
+
+def test_attach_captions_drops_uncaptioned_and_null(spark):
+    from latentforge.operators import joins as jn
+    caps = spark.createDataFrame([(1, 1, "a man"), (1, 2, "a woman"), (2, 3, None), (3, 4, "a dog")],
+                                 "image_id long, ann_id long, caption string")
+    imgs = spark.createDataFrame([(1, "1.jpg"), (2, "2.jpg"), (3, "3.jpg"), (4, "4.jpg")], "id long, file_name string")
+    got = {r.id: r for r in jn.attach_captions(imgs, caps, root="/r").collect()}
+    assert list(got) == [1] and got[1].n_captions == 2 and got[1].caption in ("a man", "a woman")
+    assert got[1].image_path == "/r/train2014/train2014/1.jpg"
+    again = {r.id: r.caption for r in jn.attach_captions(imgs, caps, root="/r").collect()}
+    assert again[1] == got[1].caption            # the pick is deterministic
+
+
+def test_materialize_uses_shared_checkpoint_dir(spark):
+    from latentforge.operators.parallel import materialize
+    df = materialize(spark.range(10).select((F.col("id") * 2).alias("x")))
+    assert df.count() == 10 and spark.sparkContext.getCheckpointDir()
