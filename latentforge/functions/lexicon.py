@@ -30,6 +30,16 @@ AGE_GROUPS = {
 }
 ELDERLY_SUFFIXES = ("person", "man", "woman", "people")
 
+# --- fixed values: the age-group and activity patterns these lists produce --
+# (applied with Unicode word rules, i.e. Java's (?U) flag)
+AGE_PATTERNS = {
+    "child": r"\b(child|kid|baby|toddler)\w*\b",
+    "teen": r"\b(teen|adolescent)\w*\b",
+    "adult": r"\b(adult|grown[-\s]?up)\w*\b",
+    "elderly": r"\b(elderly|senior|old)\s*(person|man|woman|people)?\b",
+}
+ACTIVITY_PATTERN = r"\b(playing|walking|sitting|standing|eating|working|running|riding|skiing|surfing)\b"
+
 # --- fixed values: group size classes (substring test, first match wins) ----
 GROUP_SIZE_CLASSES = (
     ("group/crowd", ("group", "crowd")),

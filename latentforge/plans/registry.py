@@ -432,7 +432,7 @@ def _bundle(s, d):
 
 def _stats(s, d):
     from ..sources import sinks
-    prefix = _scratch(s, "coco_people_analysis")
+    prefix = _scratch(s, "caption_stats")
     path = sinks.write_stats(agg.demographics(vw.dataset(s, d), lexicon=T), prefix, "20240101_000000")
     return sinks.read_stats(s, path)
 

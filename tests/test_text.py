@@ -107,3 +107,9 @@ def test_split_predicate_runs_costly_only_on_rest(spark):
     cheap = tx.any_substring(tx.lower_text("caption"), ["man"])
     out = flt.fallback_predicate(df, cheap, flt.gazetteer_person(["Is"])("caption"))
     assert sorted(r.caption for r in out.collect()) == ["Is it", "a man"]
+
+
+def test_patterns_equal_fixed_values():
+    for g, spec in lx.AGE_GROUPS.items():
+        assert tx.age_pattern(spec) == "(?U)" + lx.AGE_PATTERNS[g]
+    assert tx.terms_pattern(lx.ACTIVITY_TERMS) == "(?U)" + lx.ACTIVITY_PATTERN
