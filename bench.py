@@ -63,6 +63,10 @@ def queries(s, d):
         "denoise_50_steps_jvm": (lambda: dd.denoise_linear(vw.latents(s, d), "id", 5, 64, steps=50), n_lat),
         "letterbox_geometry": (lambda: vw.sizes(s, d).select("w", "h", im.letterbox_geometry("w", "h").alias("g")),
                                lambda: s.read.parquet(f"{d}/lineitem.parquet").count()),
+        "image_embed_512": (lambda: im.prepare_and_encode(
+            vw.latents(s, d).select("id", im.to_rgb(im.denormalize_pixels("x", 1, 8, 8)).alias("px"),
+                                    F.lit(8).alias("h"), F.lit(8).alias("w"), F.lit(3).alias("c")),
+            "id", "px", "h", "w", "c", 512, 512, factor=8), n_lat),
         "prepare_images_numpy": (lambda: im.prepare_images(
             vw.latents(s, d).select("id", im.denormalize_pixels("x", 1, 8, 8).alias("px"),
                                     F.lit(8).alias("h"), F.lit(8).alias("w"), F.lit(1).alias("c")),

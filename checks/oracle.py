@@ -425,4 +425,14 @@ def oracle_more() -> dict:
         + ") / CAST(0.18215 AS DOUBLE)) * CAST(0.18215 AS DOUBLE) + 1.0) * 127.5, 0.0), 255.0), 0) AS INTEGER) "
         "AS pixels FROM s3", "dataset", extra=ctes)
     out["prepare_images_numpy"] = out["prepare_images"]
+
+    def canvas(y: str, x: str) -> str:   # 8x8 grey -> 12x12 at offset (0, 2) on a 12x16 canvas
+        src = (f"least(floor((({y}) + 0.5) * 8 / 12), 7) * 8 + least(floor(((({x}) - 2) + 0.5) * 8 / 12), 7)")
+        return f"(CASE WHEN ({x}) >= 2 AND ({x}) < 14 THEN {p10(src)} / 127.5 - 1.0 ELSE 0 / 127.5 - 1.0 END)"
+
+    by, bx = "((k // 8) % 6)", "(k % 8)"
+    pts = [canvas(f"2 * {by} + {dy}", f"2 * {bx} + {dx}") for dy in (0, 1) for dx in (0, 1)]
+    out["prepare_and_encode"] = V(
+        "SELECT id, 'success' AS status, CAST(k AS INTEGER) AS i, round(CAST(CAST((" + " + ".join(pts)
+        + ") / 4 AS FLOAT) AS DOUBLE), 6) AS mean FROM " + grid(144), "latents")
     return out

@@ -180,16 +180,22 @@ def _nearest(img: np.ndarray, nh: int, nw: int) -> np.ndarray:
 
 
 def prepare_one(img: np.ndarray, tw: int, th: int, resampler=_nearest) -> np.ndarray:
-    """P1–P5 for one HWC image → flat CHW float32 in [-1, 1]."""
+    """P1–P5 for one HWC image → flat CHW float64 in [-1, 1].
+
+    The normalised canvas is built channel-first directly: filled with the
+    value of a black pixel (0/127.5 − 1 = −1), then only the pasted region
+    is normalised — no full-size temporaries or transposed copies.
+    """
     h, w, c = img.shape
     scale = min(tw / w, th / h)
     nw, nh = int(w * scale), int(h * scale)
     if nw <= 0 or nh <= 0:
         raise ValueError(f"letterbox size {nw}x{nh} for a {w}x{h} image")
-    canvas = np.zeros((th, tw, c), dtype=np.float64)
+    out = np.full((c, th, tw), -1.0)
     ox, oy = (tw - nw) // 2, (th - nh) // 2
-    canvas[oy:oy + nh, ox:ox + nw] = resampler(img, nh, nw)
-    return (canvas / 127.5 - 1.0).transpose(2, 0, 1).reshape(-1)
+    region = np.moveaxis(resampler(img, nh, nw), 2, 0)
+    out[:, oy:oy + nh, ox:ox + nw] = region / 127.5 - 1.0
+    return out.reshape(-1)
 
 
 def prepare_images(df: DataFrame, key: str, pixels: str, h: str, w: str, c: str,
@@ -255,3 +261,65 @@ def prepare_images_columns(df: DataFrame, pixels: str, h, w, c, tw: int = 512, t
         .pad(th, tw, F.col("_g.off_y"), F.col("_g.off_x")).map(_norm).chw()
     return d.withColumn("tensor", F.when(F.col("_g.ok"), out)) \
         .withColumn("status", F.when(F.col("_g.ok"), F.lit("success")).otherwise(F.lit("error"))).drop("_g")
+
+
+def prepare_and_encode(df: DataFrame, key: str, pixels: str, h: str, w: str, c: str,
+                       tw: int = 512, th: int = 512, make_encoder=None, factor: int = 8,
+                       batch_size: int = 8, resampler=_nearest) -> DataFrame:
+    """P7 + E5 fused in one Python stage: letterbox/normalise each image,
+    encode batches of ``batch_size``, and return only the latent
+    distribution (key, status, error_message, mean, logvar).
+
+    Full-size tensors (3 MiB each at 512×512) never go back to the JVM; only
+    the small latents do.  A bad image becomes an error row; a failing
+    batch is retried image by image, so every input row has one output row.
+    """
+    from .inference import PoolImageEncoder, lazy_model
+    from .parallel import spread
+
+    make = make_encoder or (lambda: PoolImageEncoder(3, th, tw, factor=factor))
+    src = spread(df.select(F.col(key).alias("key"), F.col(pixels).alias("px"), F.col(h).cast("int").alias("h"),
+                           F.col(w).cast("int").alias("w"), F.col(c).cast("int").alias("c")))
+
+    def prep(px, hh, ww, cc):
+        arr = np.asarray(px if not isinstance(px, (bytes, bytearray))
+                         else np.frombuffer(px, dtype=np.uint8), dtype=np.float64)
+        return prepare_one(arr.reshape(hh, ww, cc), tw, th, resampler)
+
+    def run(batches):
+        import pandas as pd
+
+        enc = lazy_model(f"fused-image-encoder-{id(make)}", make)
+        for pdf in batches:
+            rows = list(zip(pdf["key"], pdf["px"], pdf["h"], pdf["w"], pdf["c"]))
+            for start in range(0, len(rows), batch_size):
+                chunk = rows[start:start + batch_size]
+                out = [None] * len(chunk)
+                ready = []                       # (index in chunk, tensor)
+                for i, (k, px, hh, ww, cc) in enumerate(chunk):
+                    try:
+                        ready.append((i, prep(px, hh, ww, cc)))
+                    except Exception as e:
+                        out[i] = ("error", f"{type(e).__name__}: {e}", None, None)
+                if ready:
+                    try:
+                        mean, logvar = enc(np.stack([t for _, t in ready]))
+                        for (i, _), m, lv in zip(ready, mean, logvar):
+                            out[i] = ("success", None, m.astype(np.float32), lv.astype(np.float32))
+                    except Exception:
+                        for i, t in ready:
+                            try:
+                                m, lv = enc(t[None, :])
+                                out[i] = ("success", None, m[0].astype(np.float32), lv[0].astype(np.float32))
+                            except Exception as e:
+                                out[i] = ("error", f"{type(e).__name__}: {e}", None, None)
+                yield pd.DataFrame({"key": [r[0] for r in chunk], "status": [o[0] for o in out],
+                                    "error_message": [o[1] for o in out],
+                                    "mean": [o[2] for o in out], "logvar": [o[3] for o in out]})
+
+    schema = Ty.StructType([Ty.StructField("key", df.schema[key].dataType),
+                            Ty.StructField("status", Ty.StringType()),
+                            Ty.StructField("error_message", Ty.StringType()),
+                            Ty.StructField("mean", Ty.ArrayType(Ty.FloatType())),
+                            Ty.StructField("logvar", Ty.ArrayType(Ty.FloatType()))])
+    return src.mapInPandas(run, schema).withColumnRenamed("key", key)

@@ -161,15 +161,16 @@ def dense_from_sparse(sparse: DataFrame, key: str, dim: int, index: str = "bucke
 
 
 class PoolImageEncoder:
-    """Stand-in for a VAE encoder: 2×2 average pooling per channel of a CHW
-    tensor gives the mean; the log-variance is constant."""
+    """Stand-in for a VAE encoder: ``factor``×``factor`` average pooling per
+    channel of a CHW tensor gives the mean; the log-variance is constant."""
 
-    def __init__(self, c: int, h: int, w: int, logvar: float = -4.0):
-        self.shape, self.logvar = (c, h, w), logvar
+    def __init__(self, c: int, h: int, w: int, logvar: float = -4.0, factor: int = 2):
+        self.shape, self.logvar, self.f = (c, h, w), logvar, factor
 
     def __call__(self, x: np.ndarray):
         c, h, w = self.shape
-        t = x.reshape(len(x), c, h // 2, 2, w // 2, 2)
+        f = self.f
+        t = x.reshape(len(x), c, h // f, f, w // f, f)
         mean = t.mean(axis=(3, 5)).reshape(len(x), -1)
         return mean, np.full_like(mean, self.logvar)
 

@@ -17,30 +17,24 @@ from ..operators import diffusion as dd
 from ..operators import filters as flt
 from ..operators import image as im
 from ..operators import inference as inf
-from ..operators.parallel import materialize
 from ..sources import sinks
 
 
 def embed_images_job(records: DataFrame, key: str, pixels: str, h: str, w: str, c: str,
                      out_path: str | None = None, limit: int | None = None, order=None,
-                     target: int = 512, make_encoder=None, seed: int = 0,
-                     partitions: int | None = None, latent_shape=None) -> DataFrame:
-    """Prefix (F4) → letterbox/normalise (P7) → encode (E5, error rows) →
-    sample the latent (D2) → write (S5).  Returns the result table."""
+                     target: int = 512, make_encoder=None, seed: int = 0, factor: int = 8,
+                     batch_size: int = 8) -> DataFrame:
+    """Prefix (F4) → letterbox/normalise + encode in one Python stage (P7+E5,
+    error rows instead of failures) → sample the latent (D2) → write (S5).
+
+    Only latents leave the Python stage; the 3 MiB pixel tensors stay inside
+    it.  Returns the written result table.
+    """
     r = flt.take_prefix(records.select(key, pixels, h, w, c), limit, order or [key])
-    if partitions:
-        r = r.repartition(partitions)
-    # the Python stage feeds two branches (success / error): run it once
-    prep = materialize(im.prepare_images(r, key, pixels, h, w, c, target, target))
-    ok = prep.where("status = 'success'")
-    shape = latent_shape or (3, target, target)
-    enc = inf.embed_images(ok, key, "tensor", shape, make_encoder)
-    lat = enc.select(key, "status", "error_message",
+    enc = im.prepare_and_encode(r, key, pixels, h, w, c, target, target, make_encoder, factor, batch_size)
+    res = enc.select(key, "status", "error_message",
                      F.when(F.col("status") == "success",
                             dd.latent_sample("mean", "logvar", F.col(key), seed)).alias("embedding"))
-    bad = prep.where("status = 'error'").select(key, "status", "error_message",
-                                                 F.lit(None).cast("array<double>").alias("embedding"))
-    res = lat.unionByName(bad)
     if out_path:
         sinks.write_records(res, out_path)
         res = res.sparkSession.read.parquet(out_path)

@@ -512,7 +512,18 @@ def _generate(s, d):
     return _flat_int(g.select("id", "pixels"), "id", "pixels")
 
 
+def _prepare_encode(s, d):
+    from ..operators import image as im
+    rgb = _grey(s, d).select("id", im.to_rgb("px").alias("rgb"), F.lit(8).alias("h"), F.lit(8).alias("w"),
+                             F.lit(3).alias("c"))
+    e = im.prepare_and_encode(rgb, "id", "rgb", "h", "w", "c", tw=16, th=12, factor=2)
+    z = e.select("id", "status", F.posexplode("mean").alias("i", "mean"))
+    return z.select("id", "status", F.col("i").cast("int").alias("i"),
+                    F.round(F.col("mean").cast("double"), 6).alias("mean"))
+
+
 QUERIES.update({
+    "prepare_and_encode": _prepare_encode,
     "letterbox_geometry": _letterbox,
     "denormalize_pixels": _denorm,
     "hwc_to_chw": _hwc_chw,

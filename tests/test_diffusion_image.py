@@ -126,3 +126,19 @@ def test_train_transform_ignores_aspect(spark):
     df = spark.createDataFrame([([0, 255] * 3 * 2,)], "x array<int>")   # 2x2 RGB
     r = df.select(im.train_transform("x", 2, 2, 3, 4).alias("t")).collect()[0].t
     assert len(r) == 4 * 4 * 3 and min(r) == -1.0 and max(r) == 1.0
+
+
+def test_prepare_and_encode_matches_unfused_and_isolates_errors(spark):
+    from latentforge.operators import inference as inf
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.integers(0, 256, h * w * 3).tolist(), h, w, 3) for i, (h, w) in
+            enumerate([(5, 7), (9, 4), (6, 6), (1, 3000)])]
+    df = spark.createDataFrame(rows, "id long, px array<int>, h int, w int, c int")
+    fused = {r.id: r for r in im.prepare_and_encode(df, "id", "px", "h", "w", "c", 16, 12, factor=2,
+                                                    batch_size=3).collect()}
+    prep = im.prepare_images(df, "id", "px", "h", "w", "c", 16, 12, dtype="double").where("status = 'success'")
+    plain = {r.id: r for r in inf.embed_images(prep, "id", "tensor", (3, 12, 16)).collect()}
+    assert fused[3].status == "error" and fused[3].mean is None
+    for k, r in plain.items():
+        assert fused[k].status == "success"
+        np.testing.assert_allclose(fused[k].mean, r.mean, rtol=1e-6)
