@@ -26,14 +26,18 @@ def source(spark: SparkSession, src_dir: str, schema: T.StructType, files_per_ba
 
 def encode_stream(spark: SparkSession, src_dir: str, schema: T.StructType, fn, keys, value_col: str,
                   result_type: T.DataType, sink_dir: str, checkpoint_dir: str,
-                  files_per_batch: int = 1, batch_size: int = 8):
+                  files_per_batch: int = 1, batch_size: int = 8, split_by_status: bool = False):
     """Stream → ``safe_map`` (error rows instead of a dead worker) →
-    Parquet sink.  Runs until the available input is drained; returns the
-    finished query (its ``recentProgress`` has per-batch row counts)."""
+    Parquet sink.  With ``split_by_status`` the sink is partitioned by
+    ``status``, so success and error rows land in separate folders.  Runs
+    until the available input is drained; returns the finished query (its
+    ``recentProgress`` has per-batch row counts)."""
     stream = source(spark, src_dir, schema, files_per_batch)
     out = safe_map(stream, fn, keys, value_col, result_type, batch_size=batch_size)
-    q = (out.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir)
-         .option("path", sink_dir).outputMode("append").trigger(availableNow=True).start())
+    w = out.writeStream.format("parquet").option("checkpointLocation", checkpoint_dir).option("path", sink_dir)
+    if split_by_status:
+        w = w.partitionBy("status")
+    q = w.outputMode("append").trigger(availableNow=True).start()
     q.awaitTermination()
     return q
 

@@ -176,3 +176,13 @@ def test_materialize_uses_shared_checkpoint_dir(spark):
     from latentforge.operators.parallel import materialize
     df = materialize(spark.range(10).select((F.col("id") * 2).alias("x")))
     assert df.count() == 10 and spark.sparkContext.getCheckpointDir()
+
+
+def test_stream_split_by_status(spark):
+    src, sink, ckpt = scratch(), scratch(), scratch()
+    schema = T.StructType([T.StructField("pos", T.LongType()), T.StructField("value", T.DoubleType())])
+    spark.createDataFrame([(i, float(i % 50)) for i in range(100)], schema).write.parquet(src + "/d")
+    es.encode_stream(spark, src + "/d", schema, _fn, ["pos"], "value", T.DoubleType(), sink, ckpt,
+                     split_by_status=True)
+    assert {"status=error", "status=success"} <= set(os.listdir(sink))
+    assert spark.read.parquet(sink + "/status=error").count() == 18
