@@ -30,8 +30,15 @@ def pick_one(df: DataFrame, key: str, value: str, tiebreak: str, seed: int = 0)
     return df.groupBy(key).agg(F.min_by(F.col(value), hash_hex(seed, F.col(key), F.col(tiebreak))).alias(value))
 
 
-def sample_n(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
-    """N distinct pseudo-random rows (all rows when fewer than n)."""
+def sample_n(df: DataFrame, n: int, key: str, seed: int = 0, strict: bool = False) -> DataFrame:
+    """N distinct pseudo-random rows (all rows when fewer than n).
+
+    ``strict=True`` raises when the input has fewer than n rows, like the
+    original's sampling without replacement (checked with ``limit(n).count()``,
+    which stops reading once n rows are found).
+    """
+    if strict and df.limit(n).count() < n:
+        raise ValueError(f"cannot take {n} distinct rows from a smaller input")
     return df.orderBy(hash_hex(seed, F.col(key)), F.col(key)).limit(n)
 
 

@@ -12,6 +12,7 @@ gives the statistics.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..functions import lexicon as lx
 from ..operators import aggregates as agg
@@ -27,7 +28,8 @@ def curate(images: DataFrame, captions: DataFrame, lexicon: lx.Lexicon = lx.DEFA
     keyed by ``path``) restricts the result to images that decoded."""
     ds = jn.attach_captions(images, captions, lexicon.people, seed=seed, root=root, split=split)
     if pixels is not None:
-        ok = pixels.where("status = 'success'")
+        # binaryFile reports local paths with a file: scheme
+        ok = pixels.where("status = 'success'").withColumn("path", F.regexp_replace("path", "^file:", ""))
         ds = ds.join(ok, ds["image_path"] == ok["path"], "inner").drop("path", "status", "error_message")
     return ds
 
