@@ -22,12 +22,24 @@ from ..sources import sinks
 
 
 def curate(images: DataFrame, captions: DataFrame, lexicon: lx.Lexicon = lx.DEFAULT, seed: int = 0,
-           root: str = "", split: str = "train2014", pixels: DataFrame | None = None) -> DataFrame:
+           root: str = "", split: str = "train2014", pixels: DataFrame | None = None,
+           load: bool = False, decoder=None) -> DataFrame:
     """The curated dataset: (id, file_name, image_path, n_captions, caption
-    [, pixels…]).  ``pixels`` (from :func:`sources.images.read_images`,
-    keyed by ``path``) restricts the result to images that decoded."""
+    [, h, w, c, pixels]).
+
+    ``load=True`` opens and decodes each curated image by its path *after*
+    the caption join (only images that passed are read) and drops those
+    that fail, like the original.  ``pixels`` alternatively takes an
+    already decoded table from :func:`sources.images.read_images`, joined
+    by path.
+    """
     ds = jn.attach_captions(images, captions, lexicon.people, seed=seed, root=root, split=split)
-    if pixels is not None:
+    if load:
+        from ..sources import images as io
+
+        ds = io.load_images(ds, "image_path", decoder or io.decode_raw) \
+            .where("status = 'success'").drop("status", "error_message")
+    elif pixels is not None:
         # binaryFile reports local paths with a file: scheme
         ok = pixels.where("status = 'success'").withColumn("path", F.regexp_replace("path", "^file:", ""))
         ds = ds.join(ok, ds["image_path"] == ok["path"], "inner").drop("path", "status", "error_message")

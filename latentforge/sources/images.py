@@ -96,3 +96,41 @@ def write_image_files(df: DataFrame, key: str, pixels: str, h: str, w: str, c: s
                 f.write(encoder(arr))
 
     sel.foreachPartition(write_part)
+
+
+def load_images(df: DataFrame, path_col: str, decoder=decode_raw) -> DataFrame:
+    """S2 by path: open and decode the file named in ``path_col`` of each row
+    (any filesystem pyarrow can reach), adding h, w, c, pixels, status and
+    error_message.  Used after joins/filters so that only the rows that
+    passed are read — a ``binaryFile`` scan would read every file's bytes.
+    """
+    from pyarrow import fs as pafs
+
+    cols = df.columns
+    out_schema = T.StructType(list(df.schema.fields) + [f for f in DECODED_SCHEMA.fields if f.name != "path"])
+
+    def run(batches):
+        cache = {}
+        for pdf in batches:
+            extra = {k: [] for k in ("h", "w", "c", "pixels", "status", "error_message")}
+            for p in pdf[path_col]:
+                try:
+                    uri = p if "://" in p else "file://" + (p[5:] if p.startswith("file:") else p)
+                    head = "/".join(uri.split("/", 3)[:3])          # scheme://authority
+                    if head not in cache:                           # one filesystem client per store
+                        fs_, path = pafs.FileSystem.from_uri(uri)
+                        cache[head] = (fs_, len(uri) - len(path))
+                    fs_, offset = cache[head]
+                    with fs_.open_input_stream(uri[offset:]) as f:
+                        h, w, c, px = decoder(f.read())
+                    vals = (h, w, c, px, "success", None)
+                except Exception as e:  # unreadable or undecodable: an error row
+                    vals = (None, None, None, None, "error", f"{type(e).__name__}: {e}")
+                for k, v in zip(extra, vals):
+                    extra[k].append(v)
+            out = pdf[cols].copy()
+            for k, v in extra.items():
+                out[k] = v
+            yield out
+
+    return df.mapInPandas(run, out_schema)

@@ -45,6 +45,8 @@ def test_curation_drops_undecodable_images(spark):
     pixels = io.read_images(spark, d + "/train2014/train2014")
     ds = curation.curate(imgs, caps, root=d, pixels=pixels)
     assert [r.id for r in ds.collect()] == [1]
+    loaded = curation.curate(imgs, caps, root=d, load=True).collect()   # decode after the join
+    assert [(r.id, r.h, r.w, r.c) for r in loaded] == [(1, 2, 2, 3)]
 
 
 def test_image_embedding_job_end_to_end(spark):
