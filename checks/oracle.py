@@ -425,6 +425,7 @@ def oracle_more() -> dict:
         + ") / CAST(0.18215 AS DOUBLE)) * CAST(0.18215 AS DOUBLE) + 1.0) * 127.5, 0.0), 255.0), 0) AS INTEGER) "
         "AS pixels FROM s3", "dataset", extra=ctes)
     out["prepare_images_numpy"] = out["prepare_images"]
+    out["load_images"] = out["read_images"]
 
     def canvas(y: str, x: str) -> str:   # 8x8 grey -> 12x12 at offset (0, 2) on a 12x16 canvas
         src = (f"least(floor((({y}) + 0.5) * 8 / 12), 7) * 8 + least(floor(((({x}) - 2) + 0.5) * 8 / 12), 7)")

@@ -451,6 +451,20 @@ def _read_images(s, d):
                     byte_sum.alias("pixel_sum"), "status")
 
 
+def _load_images(s, d):
+    from ..sources import images as io
+    out = _scratch(s, "images-by-path")
+    g = _grey(s, d).select("id", "px", F.lit(8).alias("h"), F.lit(8).alias("w"), F.lit(1).alias("c"))
+    io.write_image_files(g, "id", "px", "h", "w", "c", out)
+    paths = vw.latents(s, d).select("id", F.concat(F.lit(out + "/"), F.col("id").cast("string"),
+                                                   F.lit(".raw")).alias("path"))
+    r = io.load_images(paths, "path")
+    byte_sum = F.aggregate(F.transform(F.sequence(F.lit(1), F.length("pixels")),
+                                       lambda i: F.conv(F.hex(F.substring("pixels", i, 1)), 16, 10).cast("long")),
+                           F.lit(0).cast("long"), lambda a, v: a + v)
+    return r.select("id", "h", "w", "c", F.length("pixels").alias("n_bytes"), byte_sum.alias("pixel_sum"), "status")
+
+
 def _resolve(s, d):
     from ..sources import sinks
     r = sinks.resolve_embeddings(tb.read_table(s, d, "embeddings"), "image_embeddings")
@@ -544,6 +558,7 @@ QUERIES.update({
     "write_bundle": _bundle,
     "write_stats": _stats,
     "read_images": _read_images,
+    "load_images": _load_images,
     "resolve_embeddings": _resolve,
     "encode_stream": _encode_stream,
     "stream_progress": _stream_progress,
