@@ -47,8 +47,6 @@ def range_bucket(df: DataFrame, key, num_buckets: int, rel_err: float | None = N
     comes back to the driver.  Rows are then bucketed by a JVM-side binary
     search (``Bucketizer``), never by a per-row Python call.
     """
-    from pyspark.ml.feature import Bucketizer
-
     key = F.col(key) if isinstance(key, str) else key
     dtype = df.select(key.alias(_K)).schema[_K].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):

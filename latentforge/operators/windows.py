@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.durations import format_duration
-from .positions import cumulative, dense_bucket, range_bucket, with_position
+from .positions import cumulative, dense_bucket, with_position
 
 
 def scaling_table(runs: DataFrame, method: str = "method", workers: str = "workers",
