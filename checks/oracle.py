@@ -86,11 +86,11 @@ def clampv(e: str, b: float = 10.0) -> str:
 
 
 def denoise_sql(steps=3, seed=5, cu=0.1, ct=0.2, s=2.0,
-                base="SELECT id, generate_subscripts(x, 1) - 1 AS i FROM latents"):
+                base="SELECT id, generate_subscripts(x, 1) - 1 AS i FROM latents", prev="t-1"):
     """One CTE per sampler step over (id, i, x) rows."""
     ctes = {"s0": ("SELECT id, CAST(i AS INTEGER) AS i, " + clampv(D.normal(seed, "id", "i")) + " AS x FROM "
                    f"({base})")}
-    for k, (t, at, ap) in enumerate(_grid_with_abar(steps, 1000, "t-1"), start=1):
+    for k, (t, at, ap) in enumerate(_grid_with_abar(steps, 1000, prev), start=1):
         at_, ap_ = f"CAST({at!r} AS DOUBLE)", f"CAST({ap!r} AS DOUBLE)"
         uv = f"SELECT id, i, x, {clampv(f'{clampv(chr(120))} * {cu!r}')} AS u, {clampv(f'{clampv(chr(120))} * {ct!r}')} AS tt FROM s{k - 1}"
         ev = f"SELECT id, i, x, {clampv(f'u + {s!r} * (tt - u)')} AS eps FROM ({uv})"
@@ -426,6 +426,20 @@ def oracle_more() -> dict:
         "AS pixels FROM s3", "dataset", extra=ctes)
     out["prepare_images_numpy"] = out["prepare_images"]
     out["load_images"] = out["read_images"]
+    g_ctes, g_final = denoise_sql(steps=4, prev="grid")
+    out["denoise_prev_grid"] = V(g_final, "latents", extra=g_ctes)
+    out["ema_default_decay"] = (
+        "SELECT user_id, round(sum(CASE WHEN i = 0 THEN pow(CAST(0.9999 AS DOUBLE), n - 1) ELSE "
+        f"CAST({1.0 - 0.9999!r} AS DOUBLE) * pow(CAST(0.9999 AS DOUBLE), n - 1 - i) END * value), 6) AS ema, "
+        "max(n) AS updates FROM (SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, "
+        "event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM events) GROUP BY user_id")
+    out["epoch_sampler_padded"] = (
+        "WITH d AS (" + D.VIEWS["dataset"] + "), "
+        f"p AS (SELECT id, row_number() OVER (ORDER BY {D.md5_of(3, 'id')}, id) - 1 AS perm, "
+        "count(*) OVER () AS n FROM d), "
+        "a AS (SELECT id, perm FROM p UNION ALL SELECT id, perm + n AS perm FROM p "
+        "WHERE perm < CAST(ceil(n / 3) AS BIGINT) * 3 - n) "
+        "SELECT id, perm, CAST(perm % 3 AS INTEGER) AS rank, perm // 3 AS local FROM a")
 
     def canvas(y: str, x: str) -> str:   # 8x8 grey -> 12x12 at offset (0, 2) on a 12x16 canvas
         src = (f"least(floor((({y}) + 0.5) * 8 / 12), 7) * 8 + least(floor(((({x}) - 2) + 0.5) * 8 / 12), 7)")

@@ -536,7 +536,19 @@ def _prepare_encode(s, d):
                     F.round(F.col("mean").cast("double"), 6).alias("mean"))
 
 
+def _denoise_grid(s, d):
+    from ..operators import diffusion as dd
+    return _flat(dd.denoise_linear(vw.latents(s, d), "id", seed=5, dim=64, steps=4, prev="grid"), "id", ["sample"])
+
+
 QUERIES.update({
+    "epoch_sampler_padded": lambda s, d: bt.epoch_sampler(
+        vw.dataset(s, d).select("id"), "id", world=3, epoch=2, seed=1, drop_last=False)
+    .select("id", "perm", "rank", "local"),
+    "denoise_prev_grid": _denoise_grid,
+    "ema_default_decay": lambda s, d: win.ema(
+        tb.read_table(s, d, "events", ["event_id", "ts", "user_id", "value"]), "user_id", ["ts", "event_id"],
+        "value").select("user_id", F.round("ema", 6).alias("ema"), F.col("updates").cast("long").alias("updates")),
     "prepare_and_encode": _prepare_encode,
     "letterbox_geometry": _letterbox,
     "denormalize_pixels": _denorm,
