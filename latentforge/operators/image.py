@@ -172,29 +172,42 @@ def denormalize_pixels(pixels, c, h, w) -> Column:
 
 # ------------------------------------------------------------ NumPy path --
 
+def _nearest_index(n_src: int, n_dst: int) -> np.ndarray:
+    return np.minimum(np.floor((np.arange(n_dst) + 0.5) * n_src / n_dst).astype(np.int64), n_src - 1)
+
+
 def _nearest(img: np.ndarray, nh: int, nw: int) -> np.ndarray:
     h, w = img.shape[:2]
-    ys = np.minimum(np.floor((np.arange(nh) + 0.5) * h / nh).astype(np.int64), h - 1)
-    xs = np.minimum(np.floor((np.arange(nw) + 0.5) * w / nw).astype(np.int64), w - 1)
-    return img[ys][:, xs]
+    return img[_nearest_index(h, nh)][:, _nearest_index(w, nw)]
 
 
-def prepare_one(img: np.ndarray, tw: int, th: int, resampler=_nearest) -> np.ndarray:
+def prepare_one(img: np.ndarray, tw: int, th: int, resampler=_nearest, out: np.ndarray | None = None) -> np.ndarray:
     """P1–P5 for one HWC image → flat CHW float64 in [-1, 1].
 
     The normalised canvas is built channel-first directly: filled with the
     value of a black pixel (0/127.5 − 1 = −1), then only the pasted region
-    is normalised — no full-size temporaries or transposed copies.
+    is normalised — no full-size temporaries or transposed copies.  ``out``
+    (a reusable float64 buffer of c·th·tw values) avoids an allocation.
     """
     h, w, c = img.shape
     scale = min(tw / w, th / h)
     nw, nh = int(w * scale), int(h * scale)
     if nw <= 0 or nh <= 0:
         raise ValueError(f"letterbox size {nw}x{nh} for a {w}x{h} image")
-    out = np.full((c, th, tw), -1.0)
+    if out is None:
+        out = np.empty(c * th * tw)
+    canvas = out.reshape(c, th, tw)
+    canvas.fill(-1.0)
     ox, oy = (tw - nw) // 2, (th - nh) // 2
-    region = np.moveaxis(resampler(img, nh, nw), 2, 0)
-    out[:, oy:oy + nh, ox:ox + nw] = region / 127.5 - 1.0
+    if resampler is _nearest:
+        # nearest only copies pixels: normalise the (small) source once, then
+        # gather straight into the channel-first canvas — same values
+        src = np.moveaxis(img / 127.5 - 1.0, 2, 0)
+        ys, xs = _nearest_index(h, nh), _nearest_index(w, nw)
+        canvas[:, oy:oy + nh, ox:ox + nw] = src[:, ys[:, None], xs[None, :]]
+    else:
+        region = np.moveaxis(resampler(img, nh, nw), 2, 0)
+        canvas[:, oy:oy + nh, ox:ox + nw] = region / 127.5 - 1.0
     return out.reshape(-1)
 
 
@@ -281,10 +294,15 @@ def prepare_and_encode(df: DataFrame, key: str, pixels: str, h: str, w: str, c:
     src = spread(df.select(F.col(key).alias("key"), F.col(pixels).alias("px"), F.col(h).cast("int").alias("h"),
                            F.col(w).cast("int").alias("w"), F.col(c).cast("int").alias("c")))
 
-    def prep(px, hh, ww, cc):
+    buffers: dict = {}                     # one reusable batch buffer per channel count
+
+    def prep(px, hh, ww, cc, slot):
         arr = np.asarray(px if not isinstance(px, (bytes, bytearray))
                          else np.frombuffer(px, dtype=np.uint8), dtype=np.float64)
-        return prepare_one(arr.reshape(hh, ww, cc), tw, th, resampler)
+        buf = buffers.get(cc)
+        if buf is None:
+            buf = buffers[cc] = np.empty((batch_size, cc * th * tw))
+        return prepare_one(arr.reshape(hh, ww, cc), tw, th, resampler, out=buf[slot])
 
     def run(batches):
         import pandas as pd
@@ -295,15 +313,19 @@ def prepare_and_encode(df: DataFrame, key: str, pixels: str, h: str, w: str, c:
             for start in range(0, len(rows), batch_size):
                 chunk = rows[start:start + batch_size]
                 out = [None] * len(chunk)
-                ready = []                       # (index in chunk, tensor)
+                ready = []                       # (index in chunk, tensor view)
                 for i, (k, px, hh, ww, cc) in enumerate(chunk):
                     try:
-                        ready.append((i, prep(px, hh, ww, cc)))
+                        ready.append((i, prep(px, hh, ww, cc, len(ready))))
                     except Exception as e:
                         out[i] = ("error", f"{type(e).__name__}: {e}", None, None)
                 if ready:
                     try:
-                        mean, logvar = enc(np.stack([t for _, t in ready]))
+                        same = len({t.base is not None and t.base.shape or t.shape for _, t in ready}) == 1
+                        base = ready[0][1].base if same else None
+                        batch = (base[:len(ready)] if base is not None and base.ndim == 2
+                                 else np.stack([t for _, t in ready]))
+                        mean, logvar = enc(batch)
                         for (i, _), m, lv in zip(ready, mean, logvar):
                             out[i] = ("success", None, m.astype(np.float32), lv.astype(np.float32))
                     except Exception:
