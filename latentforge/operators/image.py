@@ -212,7 +212,8 @@ def prepare_one(img: np.ndarray, tw: int, th: int, resampler=_nearest, out: np.n
 
 
 def prepare_images(df: DataFrame, key: str, pixels: str, h: str, w: str, c: str,
-                   tw: int = 512, th: int = 512, resampler=_nearest, dtype: str = "float") -> DataFrame:
+                   tw: int = 512, th: int = 512, resampler=_nearest, dtype: str = "float",
+                   out_rows: int = 16) -> DataFrame:
     """Letterbox, resize, pad, normalise and transpose in one NumPy pass.
 
     Output (key, status, error_message, tensor) with exactly one row per
@@ -221,7 +222,8 @@ def prepare_images(df: DataFrame, key: str, pixels: str, h: str, w: str, c: str,
     before this step — the whole child row is shipped to Python.
     ``dtype`` is the element type of the tensor: ``float`` (as the original
     float32 tensors, half the bytes) or ``double`` (bit-equal to the column
-    path).
+    path).  Output is yielded ``out_rows`` tensors at a time, so a Python
+    worker never holds more than that many full-size tensors.
     """
     np_type = np.float32 if dtype == "float" else np.float64
     sp_type = Ty.FloatType() if dtype == "float" else Ty.DoubleType()
@@ -234,8 +236,9 @@ def prepare_images(df: DataFrame, key: str, pixels: str, h: str, w: str, c: str,
         import pandas as pd
 
         for pdf in batches:
-            out_t, out_s, out_e = [], [], []
-            for px, hh, ww, cc in zip(pdf["px"], pdf["h"], pdf["w"], pdf["c"]):
+            out_k, out_t, out_s, out_e = [], [], [], []
+            for k, px, hh, ww, cc in zip(pdf["key"], pdf["px"], pdf["h"], pdf["w"], pdf["c"]):
+                out_k.append(k)
                 try:
                     arr = np.asarray(px if not isinstance(px, (bytes, bytearray))
                                      else np.frombuffer(px, dtype=np.uint8), dtype=np.float64)
@@ -247,7 +250,11 @@ def prepare_images(df: DataFrame, key: str, pixels: str, h: str, w: str, c: str,
                     out_t.append(None)
                     out_s.append("error")
                     out_e.append(f"{type(e).__name__}: {e}")
-            yield pd.DataFrame({"key": pdf["key"], "status": out_s, "error_message": out_e, "tensor": out_t})
+                if len(out_k) == out_rows:
+                    yield pd.DataFrame({"key": out_k, "status": out_s, "error_message": out_e, "tensor": out_t})
+                    out_k, out_t, out_s, out_e = [], [], [], []
+            if out_k:
+                yield pd.DataFrame({"key": out_k, "status": out_s, "error_message": out_e, "tensor": out_t})
 
     schema = Ty.StructType([Ty.StructField("key", df.schema[key].dataType),
                             Ty.StructField("status", Ty.StringType()),

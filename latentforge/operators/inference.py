@@ -259,9 +259,9 @@ def safe_map(df: DataFrame, fn, keys, value_col: str, result_type: Ty.DataType,
     def run(batches):
         for pdf in batches:
             vals = list(pdf["_v"])
-            status, errors, results = [], [], []
             for start in range(0, len(vals), batch_size):
                 chunk = vals[start:start + batch_size]
+                status, errors, results = [], [], []
                 try:
                     res = call(chunk)
                     status += ["success"] * len(chunk)
@@ -277,9 +277,10 @@ def safe_map(df: DataFrame, fn, keys, value_col: str, result_type: Ty.DataType,
                             results.append(None)
                             status.append("error")
                             errors.append(f"{type(e).__name__}: {e}")
-            out = pdf[keys].copy()
-            out["status"], out["error_message"], out["result"] = status, errors, results
-            yield out
+                # one output frame per inference batch: bounded memory for large results
+                out = pdf[keys].iloc[start:start + batch_size].copy()
+                out["status"], out["error_message"], out["result"] = status, errors, results
+                yield out
 
     return src.mapInPandas(run, schema)
 
