@@ -89,3 +89,21 @@ def test_format_duration_matches_timedelta(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "id long, v double")
     got = [r[0] for r in df.orderBy("id").select(du.format_duration("v")).collect()]
     assert got == [str(timedelta(seconds=int(v))) for v in vals]
+
+
+def test_results_do_not_depend_on_partitioning(spark, sf):
+    from latentforge.operators import aggregates as agg
+    from latentforge.operators import inference as inf
+    from latentforge.operators import sampling as smp
+    from latentforge.sources import views as vw
+
+    base = vw.dataset(spark, sf).cache()
+    outs = []
+    for parts in (1, 7, 32):
+        d = base.repartition(parts)
+        demo = sorted(map(tuple, agg.demographics(d, lexicon=lx.TEST).collect()))
+        emb = sorted((r.id, r.bucket, round(r.value, 12)) for r in inf.hash_embed(d, "id", "caption", 16).collect())
+        pick = sorted(map(tuple, smp.epoch_shuffle(d.select("id"), "id", 3).collect()))
+        outs.append((demo, emb, pick))
+    assert outs[0] == outs[1] == outs[2]
+    base.unpersist()
