@@ -74,15 +74,17 @@ class _BucketSpec:
     def apply(self, df: DataFrame) -> DataFrame:
         from pyspark.ml.feature import Bucketizer
 
-        if not self.splits:
-            return df.withColumn(_B, F.lit(0))
+        k2 = _K + "_in"
         tmp = df.withColumn(_K, self.numeric)
+        # Spark sorts NULL first and NaN after every number: give them the
+        # first and the last bucket so buckets stay monotone in the order.
+        edge = F.when(F.col(_K).isNull(), F.lit(-1)).when(F.isnan(F.col(_K)), F.lit(len(self.splits) + 1))
+        if not self.splits:
+            return tmp.withColumn(_B, edge.otherwise(F.lit(0))).drop(_K)
         bz = Bucketizer(splits=[float("-inf")] + self.splits + [float("inf")],
-                        inputCol=_K, outputCol=_B, handleInvalid="keep")
-        out = bz.transform(tmp.withColumn(_K, F.coalesce(F.col(_K), F.lit(float("nan")))))
-        # NULL keys sort first: bucket -1 keeps the bucket monotone in the order.
-        return out.withColumn(_B, F.when(F.col(_K).isNull() | F.isnan(F.col(_K)), F.lit(-1))
-                              .otherwise(F.col(_B).cast("int"))).drop(_K)
+                        inputCol=k2, outputCol=_B, handleInvalid="keep")
+        out = bz.transform(tmp.withColumn(k2, F.coalesce(F.col(_K), F.lit(float("nan")))))
+        return out.withColumn(_B, edge.otherwise(F.col(_B).cast("int"))).drop(_K, k2)
 
 
 def dense_bucket(key, total, num_buckets: int) -> Column:

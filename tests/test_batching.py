@@ -139,3 +139,11 @@ def test_take_prefix_large_uses_positions(spark):
     got = flt.take_prefix(ids(spark, 30000).repartition(5), 20001, ["id"])
     assert got.count() == 20001 and got.agg(F.max("id")).collect()[0][0] == 20000
     assert flt.take_prefix(ids(spark, 10), 0, ["id"]).count() == 10     # 0 means all
+
+
+def test_positions_with_null_and_nan_keys(spark):
+    vals = [(1, 0.5), (2, None), (3, float("nan")), (4, -2.0), (5, 7.0), (6, None)]
+    df = spark.createDataFrame(vals, "id long, k double")
+    got = {r.id: r.pos for r in with_position(df, ["k", "id"], num_buckets=3).collect()}
+    want = {r.id: i for i, r in enumerate(df.orderBy("k", "id").collect())}   # NULL first, NaN last
+    assert got == want
