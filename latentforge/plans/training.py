@@ -21,6 +21,16 @@ from ..operators import filters as flt
 from ..operators import windows as win
 
 
+def training_samples(latents: DataFrame, bundle: DataFrame, key: str, latent: str = "embedding",
+                     text: str = "text_embedding", caption: str = "caption") -> DataFrame:
+    """Samples for the trainer: each image latent with *its own* caption
+    features, joined by key (J3) — the original paired by list position and
+    then used a copy of the image embedding as the text input."""
+    from ..operators.joins import key_join
+
+    return key_join(latents.select(key, latent), bundle.select(key, text, caption), key)
+
+
 def training_input(samples: DataFrame, schedule: DataFrame, key: str, latent: str, world: int,
                    epoch: int, batch_size: int = 32, seed: int = 0, extra=()) -> DataFrame:
     """(key, epoch, rank, batch, t, noisy, target, extra…) for one epoch."""

@@ -94,3 +94,10 @@ def test_lexicon_is_swappable(spark):
     df = spark.createDataFrame([(1, "der und les")], "id long, caption string")
     d = {(r.dimension, r.category): r.n for r in agg.demographics(df, lexicon=lx.TEST).collect()}
     assert d[("activities", "der")] == 1 and d[("gender_distribution", "neutral")] == 1
+
+
+def test_training_samples_join_text_by_key(spark):
+    lat = spark.createDataFrame([(1, [0.1, 0.2]), (2, [0.3, 0.4]), (3, [0.5, 0.6])], "k long, embedding array<double>")
+    bundle = spark.createDataFrame([(2, [1.0], "b"), (1, [2.0], "a")], "k long, text_embedding array<double>, caption string")
+    got = {r.k: (r.caption, r.text_embedding) for r in training.training_samples(lat, bundle, "k").collect()}
+    assert got == {1: ("a", [2.0]), 2: ("b", [1.0])}
