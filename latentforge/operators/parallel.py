@@ -30,15 +30,22 @@ _SHUFFLE_NODES = ("Exchange", "TakeOrderedAndProject", "CollectLimit", "GlobalLi
 def _after_shuffle(df: DataFrame) -> bool:
     """True when the planned query already contains a shuffle or a limit.
 
-    Reads the plan text only (nothing runs).  Asking such a plan for its RDD
-    partition count would make adaptive execution run the upstream shuffle
-    stages right away, so those inputs are left as they are — their
-    partition count comes from the shuffle, not from small files.
+    Reads the planned physical plan as printed by ``explain()`` (nothing
+    runs).  Asking such a plan for its RDD partition count would make
+    adaptive execution run the upstream shuffle stages right away, so those
+    inputs are left as they are — their partition count comes from the
+    shuffle, not from small files.
     """
+    import contextlib
+    import io
+
+    buf = io.StringIO()
     try:
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
     except Exception:
         return True
+    plan = buf.getvalue()
     return any(n in plan for n in _SHUFFLE_NODES)
 
 

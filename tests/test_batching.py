@@ -147,3 +147,25 @@ def test_positions_with_null_and_nan_keys(spark):
     got = {r.id: r.pos for r in with_position(df, ["k", "id"], num_buckets=3).collect()}
     want = {r.id: i for i, r in enumerate(df.orderBy("k", "id").collect())}   # NULL first, NaN last
     assert got == want
+
+
+def test_spread_decisions(spark, sf):
+    from latentforge.operators.parallel import spread
+    from latentforge.sources import views as vw
+
+    def shuffles(df):
+        import contextlib
+        import io
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain()
+        return buf.getvalue().count("RoundRobinPartitioning")
+
+    scan = vw.dataset(spark, sf)                       # one file, one row group
+    assert shuffles(spread(scan)) == 1
+    agg = scan.groupBy("id").count()                   # already shuffled: untouched
+    assert shuffles(spread(agg)) == 0
+    many = spark.range(0, 1000, numPartitions=64)      # plenty of partitions: untouched
+    assert shuffles(spread(many)) == 0
+    limited = scan.orderBy("id").limit(5)              # top-k: untouched
+    assert shuffles(spread(limited)) == 0
