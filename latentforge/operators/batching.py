@@ -86,9 +86,12 @@ def epoch_sampler(df: DataFrame, key: str, world: int, epoch: int, seed: int = 0
         return p.where(F.col("perm") < total).select(
             "*", (F.col("perm") % world).cast("int").alias("rank"),
             F.floor(F.col("perm") / world).cast("long").alias("local"))
+    # the first (padded - n) rows of the permutation appear a second time at
+    # perm + n: one explode, no second pass over the input
     padded = F.ceil(F.col("n") / world) * world
-    extra = p.where(F.col("perm") < padded - F.col("n")).withColumn("perm", F.col("perm") + F.col("n"))
-    allp = p.unionByName(extra)
+    slots = F.when(F.col("perm") < padded - F.col("n"), F.array(F.col("perm"), F.col("perm") + F.col("n"))) \
+        .otherwise(F.array(F.col("perm")))
+    allp = p.withColumn("perm", F.explode(slots))
     return allp.select("*", (F.col("perm") % world).cast("int").alias("rank"),
                        F.floor(F.col("perm") / world).cast("long").alias("local"))
 
