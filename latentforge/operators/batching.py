@@ -76,7 +76,8 @@ def epoch_sampler(df: DataFrame, key: str, world: int, epoch: int, seed: int = 0
     """Per epoch a fresh permutation; with ``drop_last`` the tail of
     n mod W rows is dropped; rank r takes permuted positions r, r+W, ….
 
-    ``local`` is the index of the row in its rank's sample list.  Without
+    ``local`` is the index of the row in its rank's sample list and
+    ``rank_n`` the size of that list (the same for every rank).  Without
     ``drop_last`` the permutation is padded from its start (as the sampler
     does), which repeats rows.
     """
@@ -85,7 +86,8 @@ def epoch_sampler(df: DataFrame, key: str, world: int, epoch: int, seed: int = 0
         total = F.floor(F.col("n") / world) * world
         return p.where(F.col("perm") < total).select(
             "*", (F.col("perm") % world).cast("int").alias("rank"),
-            F.floor(F.col("perm") / world).cast("long").alias("local"))
+            F.floor(F.col("perm") / world).cast("long").alias("local"),
+            F.floor(F.col("n") / world).cast("long").alias("rank_n"))
     # the first (padded - n) rows of the permutation appear a second time at
     # perm + n: one explode, no second pass over the input
     padded = F.ceil(F.col("n") / world) * world
@@ -93,7 +95,8 @@ def epoch_sampler(df: DataFrame, key: str, world: int, epoch: int, seed: int = 0
         .otherwise(F.array(F.col("perm")))
     allp = p.withColumn("perm", F.explode(slots))
     return allp.select("*", (F.col("perm") % world).cast("int").alias("rank"),
-                       F.floor(F.col("perm") / world).cast("long").alias("local"))
+                       F.floor(F.col("perm") / world).cast("long").alias("local"),
+                       F.ceil(F.col("n") / world).cast("long").alias("rank_n"))
 
 
 def loader_batches(df: DataFrame, size: int, drop_last: bool = True, local: str = "local",
@@ -102,10 +105,15 @@ def loader_batches(df: DataFrame, size: int, drop_last: bool = True, local: str
     ``drop_last`` an incomplete last batch is dropped.
 
     Expects ``local`` (index in the rank) and ``rank`` columns, e.g. from
-    :func:`epoch_sampler`; per-rank counts come from a small aggregate.
+    :func:`epoch_sampler`.  The rank sizes come from its ``rank_n`` column
+    when present (no extra pass), else from a small per-rank aggregate.
     """
-    counts = df.groupBy(rank).agg(F.count(F.lit(1)).alias("_rank_n"))
-    b = df.join(counts, rank).withColumn("batch", F.floor(F.col(local) / size).cast("long"))
+    if "rank_n" in df.columns:
+        b = df.withColumn("_rank_n", F.col("rank_n"))
+    else:
+        counts = df.groupBy(rank).agg(F.count(F.lit(1)).alias("_rank_n"))
+        b = df.join(counts, rank)
+    b = b.withColumn("batch", F.floor(F.col(local) / size).cast("long"))
     if drop_last:
         b = b.where(F.col(local) < F.floor(F.col("_rank_n") / size) * size)
     return b.drop("_rank_n")
