@@ -31,6 +31,16 @@ DECODED_SCHEMA = T.StructType([
 ])
 
 
+def to_uri(path: str) -> str:
+    """A filesystem URI for pyarrow from a Spark path (``/x``, ``file:/x`` or
+    ``scheme://…``)."""
+    if "://" in path:
+        return path
+    if path.startswith("file:"):
+        path = path[len("file:"):]
+    return "file://" + path
+
+
 def encode_raw(pixels: np.ndarray) -> bytes:
     """HWC uint8 array → raw file bytes."""
     a = np.asarray(pixels, dtype=np.uint8)
@@ -87,7 +97,7 @@ def write_image_files(df: DataFrame, key: str, pixels: str, h: str, w: str, c: s
                     F.col(w).alias("w"), F.col(c).alias("c"))
 
     def write_part(rows):
-        filesystem, root = pafs.FileSystem.from_uri(base if "://" in base else "file://" + base)
+        filesystem, root = pafs.FileSystem.from_uri(to_uri(base))
         filesystem.create_dir(root, recursive=True)
         for r in rows:
             arr = np.asarray(bytearray(r.px) if isinstance(r.px, (bytes, bytearray)) else r.px,
@@ -115,7 +125,7 @@ def load_images(df: DataFrame, path_col: str, decoder=decode_raw) -> DataFrame:
             extra = {k: [] for k in ("h", "w", "c", "pixels", "status", "error_message")}
             for p in pdf[path_col]:
                 try:
-                    uri = p if "://" in p else "file://" + (p[5:] if p.startswith("file:") else p)
+                    uri = to_uri(p)
                     head = "/".join(uri.split("/", 3)[:3])          # scheme://authority
                     if head not in cache:                           # one filesystem client per store
                         fs_, path = pafs.FileSystem.from_uri(uri)
