@@ -47,64 +47,70 @@ def letterbox_geometry(w, h, tw: int = 512, th: int = 512) -> Column:
 
 
 class Img:
-    """A lazily composed image: ``at(y, x, ch)`` gives the pixel expression.
+    """A lazily composed image: ``at(src, y, x, ch)`` gives the pixel expression.
 
     Stages (resize, pad, map, channel changes) compose *index maps*; only
-    :meth:`hwc` / :meth:`chw` build an array, with one ``element_at`` into the
-    source per output element.  Chaining array-returning functions instead
-    would let Catalyst inline each upstream array into the downstream lambda
-    and re-evaluate it per element.
+    :meth:`hwc` / :meth:`chw` build an array.  The source array is bound
+    once per row to a lambda variable, so each output element reads it with
+    one ``element_at`` — even when the source is itself a computed array,
+    which Catalyst would otherwise inline and re-evaluate per element.
     """
 
-    def __init__(self, h, w, c, at):
-        self.h, self.w, self.c, self.at = _c(h), _c(w), _c(c), at
+    def __init__(self, h, w, c, at, src):
+        self.h, self.w, self.c, self.at, self.src = _c(h), _c(w), _c(c), at, src
 
     @staticmethod
     def from_hwc(pixels, h, w, c) -> "Img":
-        px, hh, ww, cc = _c(pixels), _c(h), _c(w), _c(c)
-        return Img(hh, ww, cc, lambda y, x, ch: F.element_at(px, ((y * ww + x) * cc + ch + 1).cast("int")))
+        hh, ww, cc = _c(h), _c(w), _c(c)
+        return Img(hh, ww, cc, lambda s, y, x, ch: F.element_at(s, ((y * ww + x) * cc + ch + 1).cast("int")),
+                   _c(pixels))
 
     @staticmethod
     def from_chw(pixels, c, h, w) -> "Img":
-        px, hh, ww, cc = _c(pixels), _c(h), _c(w), _c(c)
-        return Img(hh, ww, cc, lambda y, x, ch: F.element_at(px, ((ch * hh + y) * ww + x + 1).cast("int")))
+        hh, ww, cc = _c(h), _c(w), _c(c)
+        return Img(hh, ww, cc, lambda s, y, x, ch: F.element_at(s, ((ch * hh + y) * ww + x + 1).cast("int")),
+                   _c(pixels))
 
     def resize(self, new_h, new_w) -> "Img":
         nh, nw, h, w, at = _c(new_h), _c(new_w), self.h, self.w, self.at
 
-        def pick(y, x, ch):
+        def pick(s, y, x, ch):
             sy = F.least(F.floor((y + F.lit(0.5)) * h / nh), h - 1)
             sx = F.least(F.floor((x + F.lit(0.5)) * w / nw), w - 1)
-            return at(sy, sx, ch)
+            return at(s, sy, sx, ch)
 
-        return Img(nh, nw, self.c, pick)
+        return Img(nh, nw, self.c, pick, self.src)
 
     def pad(self, th: int, tw: int, off_y, off_x, fill=0) -> "Img":
         oy, ox, h, w, at = _c(off_y), _c(off_x), self.h, self.w, self.at
 
-        def pick(y, x, ch):
+        def pick(s, y, x, ch):
             inside = (y >= oy) & (y < oy + h) & (x >= ox) & (x < ox + w)
-            return F.when(inside, at(y - oy, x - ox, ch)).otherwise(F.lit(fill))
+            return F.when(inside, at(s, y - oy, x - ox, ch)).otherwise(F.lit(fill))
 
-        return Img(F.lit(th), F.lit(tw), self.c, pick)
+        return Img(F.lit(th), F.lit(tw), self.c, pick, self.src)
 
     def map(self, f) -> "Img":
         at = self.at
-        return Img(self.h, self.w, self.c, lambda y, x, ch: f(at(y, x, ch)))
+        return Img(self.h, self.w, self.c, lambda s, y, x, ch: f(at(s, y, x, ch)), self.src)
 
     def grey_to_rgb(self) -> "Img":
         at = self.at
-        return Img(self.h, self.w, F.lit(3), lambda y, x, ch: at(y, x, F.lit(0)))
+        return Img(self.h, self.w, F.lit(3), lambda s, y, x, ch: at(s, y, x, F.lit(0)), self.src)
 
-    def hwc(self) -> Column:
+    def _build(self, index) -> Column:
         h, w, c, at = self.h, self.w, self.c, self.at
-        return F.transform(F.sequence(F.lit(0), (h * w * c - 1).cast("int")),
-                           lambda k: at(F.floor(k / (w * c)), F.floor(k / c) % w, k % c))
+        seq = F.sequence(F.lit(0), (h * w * c - 1).cast("int"))
+        return F.element_at(F.transform(F.array(self.src),
+                                        lambda s: F.transform(seq, lambda k: at(s, *index(k)))), 1)
+
+    def hwc(self) -> Column:
+        h, w, c = self.h, self.w, self.c
+        return self._build(lambda k: (F.floor(k / (w * c)), F.floor(k / c) % w, k % c))
 
     def chw(self) -> Column:
-        h, w, c, at = self.h, self.w, self.c, self.at
-        return F.transform(F.sequence(F.lit(0), (h * w * c - 1).cast("int")),
-                           lambda k: at(F.floor(k / w) % h, k % w, F.floor(k / (h * w))))
+        h, w, c = self.h, self.w, self.c
+        return self._build(lambda k: (F.floor(k / w) % h, k % w, F.floor(k / (h * w))))
 
 
 def resize_nearest(pixels, h, w, c, new_h, new_w) -> Column:
