@@ -60,10 +60,12 @@ def schedule_array(T: int = 1000, b0: float = 1e-4, b1: float = 0.02) -> np.ndar
 
 
 def latent_sample(mean, logvar, key, seed: int) -> Column:
-    """Mean + exp(logvar/2)·ε with ε drawn per (seed, key, element)."""
-    m, lv = col_(mean), col_(logvar)
-    idx = F.sequence(F.lit(0), F.size(m) - 1)
-    return F.transform(idx, lambda i: m[i] + F.exp(lv[i] * F.lit(0.5)) * rand.normal(seed, key, i))
+    """Mean + exp(logvar/2)·ε with ε drawn per (seed, key, element).
+
+    The two arrays are zipped once (not indexed inside the lambda, which
+    would re-evaluate a computed input for every element)."""
+    z = F.arrays_zip(col_(mean).alias("m"), col_(logvar).alias("lv"))
+    return F.transform(z, lambda e, i: e["m"] + F.exp(e["lv"] * F.lit(0.5)) * rand.normal(seed, key, i))
 
 
 def scale_latents(arr, factor: float = LATENT_SCALE) -> Column:
