@@ -91,3 +91,28 @@ def test_profile_counts_all_rows(spark):
     df = spark.createDataFrame([([1.0], 1), (None, 2), ([1.0, 2.0], None)], "e array<double>, k int")
     p = {r.column_name: r for r in agg.profile(df).collect()}
     assert p["e"].nulls == 1 and (p["e"].min_size, p["e"].max_size) == (1, 2) and p["k"].n_rows == 3
+
+
+def _plan(df):
+    import contextlib
+    import io
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    return buf.getvalue()
+
+
+def test_hot_key_reductions_aggregate_partially(spark):
+    from latentforge.operators import sampling as smp
+    # one image holds a third of all captions
+    caps = spark.range(30000).select(F.when(F.col("id") < 10000, F.lit(0)).otherwise(F.col("id")).alias("image_id"),
+                                     F.col("id").alias("ann_id"), F.lit("a man").alias("caption"))
+    pick = smp.pick_one(caps, "image_id", "caption", "ann_id")
+    assert "partial_min_by" in _plan(pick)
+    assert pick.where("image_id = 0").count() == 1
+    events = caps.select(F.col("image_id").alias("k"), F.col("ann_id").alias("t"), F.lit(1.0).alias("v"))
+    e = win.ema(events, "k", ["t"], "v", 0.5)
+    assert "partial_sum" in _plan(e)
+    hot = e.where("k = 0").collect()[0]
+    assert hot.updates == 10000 and abs(hot.ema - 1.0) < 1e-12
+    assert "partial_count" in _plan(agg.demographics(caps.select("caption")))
