@@ -169,3 +169,12 @@ def test_spread_decisions(spark, sf):
     assert shuffles(spread(many)) == 0
     limited = scan.orderBy("id").limit(5)              # top-k: untouched
     assert shuffles(spread(limited)) == 0
+
+
+def test_hot_group_is_split_over_buckets(spark):
+    from latentforge.operators import positions as ps
+    df = spark.range(30000).select("id", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("g"))
+    b = ps._with_bucket(df, ["id"], None, 16)
+    hot = b.where("g = 0").groupBy(ps._B).count().collect()
+    assert len(hot) >= 12                                  # ~1/16 of the hot group per bucket
+    assert max(r["count"] for r in hot) < 10000 / 4
