@@ -11,10 +11,33 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import packing, quality_rules, sharding
+from . import packing, quality_rules, secrets, sharding, winnowing
 from .common import documents
 
 
+def op1_winnowing(spark, sf_dir):
+    rows = winnowing.fingerprints(documents(spark, sf_dir))
+    return rows.select(
+        "doc_id", "n_chars", F.sha2(F.col("edited"), 256).alias("edited_sha256"),
+        winnowing.as_string(F.col("fp")).alias("fingerprint"),
+        winnowing.as_string(F.col("edited_fp")).alias("edited_fingerprint"),
+        winnowing.likeness(F.col("fp"), F.col("edited_fp")).alias("near_edited"),
+        winnowing.likeness(F.col("fp"), F.col("next_fp")).alias("near_next"))
+
+
+def op2_markov_secrets(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    found = secrets.scan(docs, secrets.train(docs))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    return found.select(
+        "doc_id", count(0).alias("n_assign"), count(1).alias("n_access"), count(2).alias("n_hex"),
+        F.sha2(secrets.as_string(base), 256).alias("base_sha256"),
+        secrets.as_string(F.col("spans")).alias("spans"), count(3).alias("n_random"))
+
+
 def op5_virtual_slots(spark, sf_dir):
     docs = documents(spark, sf_dir)
     records = docs.select("doc_id", sharding.record_size(F.col("text")).alias("size"),
@@ -36,6 +59,8 @@ def op8_best_fit_packing(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_winnowing": op1_winnowing,
+    "op2_markov_secrets": op2_markov_secrets,
     "op5_virtual_slots": op5_virtual_slots,
     "op6_quality_rules": op6_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
