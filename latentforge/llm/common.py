@@ -55,3 +55,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
+
+
+BROADCAST_ROWS = 1_000_000     # rows of one id each: 16 MB at most
+
+
+def if_small(ids: DataFrame) -> DataFrame:
+    """A stored one-column table of ids, marked for broadcast only if its count
+    is at most ``BROADCAST_ROWS``; larger ones are joined by shuffle."""
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids

@@ -47,4 +47,31 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM f
 """
 
-ORACLES = {"op6_quality_rules": OP6}
+OP3 = rf"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') AS ws
+  FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[p:p + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS p FROM t WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+c AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c
+  FROM s x JOIN s y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * c >= 85 * (na.n + nb.n - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (
+  SELECT a AS id, b AS other FROM both_ways
+  UNION
+  SELECT r.id, l.b FROM reach r JOIN both_ways l ON l.a = r.other),
+least AS (SELECT id, min(other) AS m FROM reach GROUP BY id)
+SELECT t.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
+       least(t.doc_id, coalesce(m, t.doc_id)) AS component_id,
+       t.doc_id <= coalesce(m, t.doc_id) AS kept
+FROM t LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.id = t.doc_id
+"""
+
+ORACLES = {"op3_odd_sketches": OP3, "op6_quality_rules": OP6}

@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import packing, quality_rules, secrets, sharding, winnowing
+from . import near_dedup, packing, quality_rules, secrets, sharding, winnowing
 from .common import documents
 
 
@@ -38,6 +38,10 @@ def op2_markov_secrets(spark, sf_dir):
         secrets.as_string(F.col("spans")).alias("spans"), count(3).alias("n_random"))
 
 
+def op3_odd_sketches(spark, sf_dir):
+    return near_dedup.classes(documents(spark, sf_dir))
+
+
 def op5_virtual_slots(spark, sf_dir):
     docs = documents(spark, sf_dir)
     records = docs.select("doc_id", sharding.record_size(F.col("text")).alias("size"),
@@ -61,6 +65,7 @@ def op8_best_fit_packing(spark, sf_dir):
 QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_markov_secrets": op2_markov_secrets,
+    "op3_odd_sketches": op3_odd_sketches,
     "op5_virtual_slots": op5_virtual_slots,
     "op6_quality_rules": op6_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
