@@ -41,15 +41,25 @@ def positions(n: Column) -> Column:
             .otherwise(F.array().cast("array<int>"))
 
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table once to the shared folder and read it back.
 
     The folder is the one that ``spark.checkpoint.dir`` names, so that the
-    table survives lost executors and later jobs don't compute it again.
+    table survives lost executors and later jobs don't compute it again.  The
+    shuffle files behind it aren't needed any more and are removed at the end
+    of the write.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

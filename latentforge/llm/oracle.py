@@ -74,4 +74,31 @@ SELECT t.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) AS n_shingles,
 FROM t LEFT JOIN n USING (doc_id) LEFT JOIN least ON least.id = t.doc_id
 """
 
-ORACLES = {"op3_odd_sketches": OP3, "op6_quality_rules": OP6}
+OP4 = """
+WITH b AS (
+  SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+p AS (
+  SELECT doc_id, unnest(range(0, greatest(length(h) // 2 - 99, 0))) AS i, h FROM b),
+k AS (SELECT doc_id, i, md5(substr(h, 2 * i + 1, 200)) AS w FROM p),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY w ORDER BY doc_id, i) AS n FROM k)
+  WHERE n > 1),
+runs AS (
+  SELECT doc_id, min(i) AS s, max(i) + 100 AS e
+  FROM (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS g
+        FROM (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 100 THEN 0 ELSE 1 END
+                     AS fresh FROM later))
+  GROUP BY doc_id, g),
+gaps AS (
+  SELECT doc_id, s, e, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY s), 0) AS before FROM runs),
+cut AS (
+  SELECT g.doc_id, count(*) AS n_spans, sum(e - s) AS n_removed,
+         string_agg(substr(h, 2 * before + 1, 2 * (s - before)), '' ORDER BY s)
+           || substr(any_value(h), 2 * max(e) + 1) AS kept
+  FROM gaps g JOIN b USING (doc_id) GROUP BY g.doc_id)
+SELECT b.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM b LEFT JOIN cut USING (doc_id)
+"""
+
+ORACLES = {"op4_prefix_free_parsing": OP4, "op3_odd_sketches": OP3, "op6_quality_rules": OP6}

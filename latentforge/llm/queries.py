@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import near_dedup, packing, quality_rules, secrets, sharding, winnowing
+from . import near_dedup, packing, quality_rules, secrets, sharding, suffix_dedup, winnowing
 from .common import documents
 
 
@@ -42,6 +42,11 @@ def op3_odd_sketches(spark, sf_dir):
     return near_dedup.classes(documents(spark, sf_dir))
 
 
+def op4_prefix_free_parsing(spark, sf_dir):
+    rows = suffix_dedup.judge(documents(spark, sf_dir))
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
 def op5_virtual_slots(spark, sf_dir):
     docs = documents(spark, sf_dir)
     records = docs.select("doc_id", sharding.record_size(F.col("text")).alias("size"),
@@ -66,6 +71,7 @@ QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_markov_secrets": op2_markov_secrets,
     "op3_odd_sketches": op3_odd_sketches,
+    "op4_prefix_free_parsing": op4_prefix_free_parsing,
     "op5_virtual_slots": op5_virtual_slots,
     "op6_quality_rules": op6_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
