@@ -259,14 +259,14 @@ def _remove(batches):
 
 
 def _with_key(docs: DataFrame) -> DataFrame:
-    """Adds ``doc``, a unique key in corpus order: the id, or the id and a
+    """Adds ``_doc``, a unique key in corpus order: the id, or the id and a
     running number where ids are missing or occur twice."""
     n, named, distinct = docs.agg(F.count(F.lit(1)), F.count("doc_id"), F.count_distinct("doc_id")).first()
     if n == distinct:
-        return docs.withColumn("doc", F.col("doc_id").cast("long"))
+        return docs.withColumn("_doc", F.col("doc_id").cast("long"))
     order = Window.partitionBy("doc_id").orderBy("text")
-    keyed = docs.withColumn("doc", F.struct(F.col("doc_id").cast("long").alias("id"),
-                                            F.row_number().over(order).alias("copy")))
+    keyed = docs.withColumn("_doc", F.struct(F.col("doc_id").cast("long").alias("id"),
+                                             F.row_number().over(order).alias("copy")))
     return stored(keyed, "keyed")
 
 
@@ -322,7 +322,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
 def judge(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept, kept_text) for every row."""
-    out = remove_repeats(_with_key(docs.select("doc_id", "text")))
+    out = remove_repeats(_with_key(docs.select("doc_id", "text")).select(F.col("_doc").alias("doc"), "text"))
     key = "doc.id" if isinstance(out.schema["doc"].dataType, T.StructType) else "doc"
     return out.select(F.col(key).alias("doc_id"), "n_bytes", "n_removed", "n_spans", "kept", "kept_text")
 
@@ -332,8 +332,10 @@ def strip(docs: DataFrame) -> DataFrame:
     only); ``n_chars`` follows where it exists.  Documents of which nothing is
     left go; empty ones stay."""
     keyed = _with_key(docs)
-    kept = remove_repeats(keyed.select("doc", "text")).select("doc", F.col("kept_text").alias("_kept"), "n_bytes")
-    rest = keyed.drop("text").join(kept, "doc").where("n_bytes = 0 OR _kept != ''").withColumnRenamed("_kept", "text")
+    kept = remove_repeats(keyed.select(F.col("_doc").alias("doc"), "text")).select(
+        F.col("doc").alias("_doc"), F.col("kept_text").alias("_kept"), F.col("n_bytes").alias("_bytes"))
+    rest = (keyed.drop("text").join(kept, "_doc").where("_bytes = 0 OR _kept != ''")
+            .withColumnRenamed("_kept", "text"))
     if "n_chars" in docs.columns:
         rest = rest.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return rest.select(*docs.columns)
