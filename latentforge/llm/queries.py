@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import near_dedup, packing, quality_rules, secrets, sharding, suffix_dedup, winnowing
+from . import near_dedup, packing, quality_rules, secrets, sharding, suffix_dedup, toxicity, winnowing
 from .common import documents
 
 
@@ -67,6 +67,14 @@ def op8_best_fit_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir))
 
 
+def op9_compression_distance(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic"))
+    return toxicity.score(docs, model).select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
+
+
 QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_markov_secrets": op2_markov_secrets,
@@ -75,4 +83,5 @@ QUERIES = {
     "op5_virtual_slots": op5_virtual_slots,
     "op6_quality_rules": op6_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_compression_distance": op9_compression_distance,
 }
