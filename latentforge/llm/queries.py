@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import near_dedup, packing, quality_rules, secrets, sharding, suffix_dedup, toxicity, winnowing
+from . import near_dedup, packing, pii, quality_rules, secrets, sharding, suffix_dedup, toxicity, winnowing
 from .common import documents
 
 
@@ -75,6 +75,19 @@ def op9_compression_distance(spark, sf_dir):
         (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"))
 
 
+def op10_boosted_pii(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    found = pii.scan(docs, pii.train(docs))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] < 4)
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS[:4])],
+        F.sha2(pii.as_string(base), 256).alias("base_sha256"),
+        pii.as_string(F.col("spans")).alias("spans"), count(4).alias("n_other"))
+
+
 QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_markov_secrets": op2_markov_secrets,
@@ -84,4 +97,5 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_compression_distance": op9_compression_distance,
+    "op10_boosted_pii": op10_boosted_pii,
 }
