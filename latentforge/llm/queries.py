@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import near_dedup, packing, pii, quality_rules, secrets, sharding, suffix_dedup, toxicity, winnowing
+from . import near_dedup, packing, pii, quality_rules, secrets, sentencepiece_unigram, sharding, suffix_dedup, toxicity, winnowing
 from .common import documents
 
 
@@ -63,6 +63,18 @@ def op6_quality_rules(spark, sf_dir):
                          F.array_join("failed_rules", ",").alias("failed_rules"))
 
 
+def op7_sentencepiece(spark, sf_dir, vocabulary=None):
+    path = vocabulary or sentencepiece_unigram.vocabulary_path()
+    model = sentencepiece_unigram.build(sentencepiece_unigram.read_vocabulary(path))
+    coded = sentencepiece_unigram.encode(documents(spark, sf_dir), model)
+    back = sentencepiece_unigram.decode(coded, model)
+    least, most = int(model["byte_ids"].min()), int(model["byte_ids"].max())
+    return back.select(
+        "doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
+        F.size(F.filter("ids", lambda i: i.between(least, most))).cast("long").alias("n_byte_tokens"),
+        F.xxhash64("ids").alias("ids_hash"), F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 def op8_best_fit_packing(spark, sf_dir):
     return packing.pack(documents(spark, sf_dir))
 
@@ -95,6 +107,7 @@ QUERIES = {
     "op4_prefix_free_parsing": op4_prefix_free_parsing,
     "op5_virtual_slots": op5_virtual_slots,
     "op6_quality_rules": op6_quality_rules,
+    "op7_sentencepiece": op7_sentencepiece,
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_compression_distance": op9_compression_distance,
     "op10_boosted_pii": op10_boosted_pii,
