@@ -14,8 +14,9 @@ import uuid
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
-from latentforge.llm import packing, quality_rules  # noqa: E402
+from latentforge.llm import near_dedup, packing, quality_rules, secrets, suffix_dedup  # noqa: E402
 from latentforge.session import ensure_checkpoint_dir, ship_package  # noqa: E402
 
 
@@ -24,6 +25,24 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near duplicates."""
+    ship_package(spark)
+    return near_dedup.dedup(docs)
+
+
+def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the strings of 100 bytes that occur earlier."""
+    ship_package(spark)
+    return suffix_dedup.strip(docs)
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts with their secrets replaced by a mark."""
+    redacted = secrets.redact(docs, secrets.train(docs))
+    return redacted.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the remaining documents in bins of permitted lengths."""
     ship_package(spark)
@@ -32,6 +51,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality_rules", quality),
+    ("near_dedup", near_duplicates),
+    ("suffix_dedup", repeated_strings),
+    ("secret_scan", secret_scan),
     ("best_fit_packing", pack),
 ]
 
