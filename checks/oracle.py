@@ -86,20 +86,37 @@ def clampv(e: str, b: float = 10.0) -> str:
 
 
 def denoise_sql(steps=3, seed=5, cu=0.1, ct=0.2, s=2.0,
-                base="SELECT id, generate_subscripts(x, 1) - 1 AS i FROM latents", prev="t-1"):
-    """One CTE per sampler step over (id, i, x) rows."""
-    ctes = {"s0": ("SELECT id, CAST(i AS INTEGER) AS i, " + clampv(D.normal(seed, "id", "i")) + " AS x FROM "
-                   f"({base})")}
-    for k, (t, at, ap) in enumerate(_grid_with_abar(steps, 1000, prev), start=1):
-        at_, ap_ = f"CAST({at!r} AS DOUBLE)", f"CAST({ap!r} AS DOUBLE)"
-        uv = f"SELECT id, i, x, {clampv(f'{clampv(chr(120))} * {cu!r}')} AS u, {clampv(f'{clampv(chr(120))} * {ct!r}')} AS tt FROM s{k - 1}"
-        ev = f"SELECT id, i, x, {clampv(f'u + {s!r} * (tt - u)')} AS eps FROM ({uv})"
-        xv = f"SELECT id, i, eps, {clampv(f'(x - sqrt(1.0 - {at_}) * eps) / sqrt({at_})')} AS x0 FROM ({ev})"
-        ctes[f"s{k}"] = f"SELECT id, i, {clampv(f'sqrt({ap_}) * x0 + sqrt(1.0 - {ap_}) * eps')} AS x FROM ({xv})"
+                base="SELECT id, generate_subscripts(x, 1) - 1 AS i, 0.0 AS m FROM latents", prev="t-1"):
+    """One CTE per sampler step over (id, i, m, x) rows; m is added to the text
+    branch.  Time steps and schedule come from SQL, not from the library."""
+    ctes = {"sched": schedule_cte(),
+            "grid": (f"SELECT CAST(range AS INTEGER) AS k, CAST(trunc(999 - range * 999.0 / {max(steps - 1, 1)}) AS INTEGER) "
+                     f"AS t FROM range({steps})"),
+            "s0": ("SELECT id, CAST(i AS INTEGER) AS i, CAST(m AS DOUBLE) AS m, "
+                   + clampv(D.normal(seed, "id", "i")) + f" AS x FROM ({base})")}
+    for k in range(1, steps + 1):
+        at_ = f"(SELECT alpha_cumprod FROM sched JOIN grid USING (t) WHERE k = {k - 1})"
+        before = (f"(SELECT t - 1 FROM grid WHERE k = {k - 1})" if prev == "t-1"
+                  else f"(SELECT coalesce(max(t), -1) FROM grid WHERE k = {k})")
+        ap_ = f"(SELECT coalesce(max(alpha_cumprod), CAST(1.0 AS DOUBLE)) FROM sched WHERE t = {before})"
+        x = clampv("x")
+        uv = (f"SELECT id, i, m, x, {at_} AS abt, {ap_} AS abp, {clampv(f'{x} * {cu!r}')} AS u, "
+              f"{clampv(f'({x} * {ct!r} + m)')} AS tt FROM s{k - 1}")
+        ev = f"SELECT id, i, m, x, abt, abp, {clampv(f'u + {s!r} * (tt - u)')} AS eps FROM ({uv})"
+        xv = f"SELECT id, i, m, abt, abp, eps, {clampv('(x - sqrt(1.0 - abt) * eps) / sqrt(abt)')} AS x0 FROM ({ev})"
+        ctes[f"s{k}"] = f"SELECT id, i, m, {clampv('sqrt(abp) * x0 + sqrt(1.0 - abp) * eps')} AS x FROM ({xv})"
     final = f"SELECT id, i, round({clampv('x')} / CAST(0.18215 AS DOUBLE), 6) AS sample FROM s{steps}"
     return ctes, final
 
 
+def prompt_shift() -> dict:
+    """CTEs with m, the mean over the tokens of a prompt's signed features."""
+    return {"t": tokens_cte(),
+            "shift": ("SELECT id, sum(CASE WHEN CAST(('0x' || substr(md5(token), 9, 2)) AS INTEGER) % 2 = 0 THEN 1.0 "
+                      "ELSE -1.0 END) / 77 AS m FROM (SELECT id, unnest(list_resize(tk, 77, '<pad>')) AS token FROM t) "
+                      "GROUP BY id")}
+
+
 def oracle() -> dict:
     sched = {"sched": schedule_cte()}
     out = {
@@ -111,9 +128,15 @@ def oracle() -> dict:
         "fallback_predicate": V(
             f"SELECT id FROM dataset WHERE {D.any_contains(LC, T.people)} OR list_has_any("
             f"string_split_regex(caption, '{D.NON_WORD}'), ['Is', 'Du', 'Le'])", "dataset"),
-        "drop_failed": V("SELECT id FROM latents WHERE x IS NOT NULL", "latents"),
+        "drop_failed": V("SELECT id FROM latents WHERE id % 7 <> 3", "latents"),
         "take_prefix": V("SELECT id FROM dataset ORDER BY id LIMIT 100", "dataset"),
-        "take_prefix_large": V("SELECT pos FROM results ORDER BY pos LIMIT 20000", "results"),
+        "take_prefix_large": "SELECT l_orderkey, l_linenumber FROM lineitem ORDER BY 1, 2 LIMIT 20000",
+        "take_prefix_large_desc": "SELECT l_orderkey, l_linenumber FROM lineitem ORDER BY 1 DESC, 2 LIMIT 20000",
+        "take_prefix_string": V("SELECT id FROM dataset ORDER BY caption, id LIMIT 100", "dataset"),
+        "take_prefix_large_string": ("SELECT md5(concat_ws('-', l_orderkey, l_linenumber)) AS name FROM lineitem "
+                                     "ORDER BY 1 DESC LIMIT 20000"),
+        "batches_by_string": V("SELECT id, (row_number() OVER (ORDER BY caption, id) - 1) // 32 AS batch FROM dataset",
+                               "dataset"),
         "status_filter": V("SELECT pos, value FROM results WHERE status = 'error'", "results"),
         "every_n": V("SELECT epoch, batch_idx, loss FROM losses WHERE batch_idx % 10 = 0", "losses"),
         "eval_cap": V("SELECT epoch, batch_idx, loss FROM losses WHERE batch_idx * 32 < 100", "losses"),
@@ -221,6 +244,12 @@ def oracle() -> dict:
             "p.n_captions, p.caption FROM images i JOIN p ON i.id = p.image_id", "images", "captions", extra={
                 "p": f"SELECT image_id, count(*) AS n_captions, arg_min(caption, {D.md5_of(7, 'image_id', 'ann_id')}) "
                      f"AS caption FROM captions WHERE {D.any_contains(LC, T.people)} GROUP BY image_id"}),
+        "attach_captions_person": V(
+            "SELECT i.id, i.file_name, concat_ws('/', '/data/coco', 'train2014', 'train2014', i.file_name) AS image_path, "
+            "p.n_captions, p.caption FROM images i JOIN p ON i.id = p.image_id", "images", "captions", extra={
+                "p": f"SELECT image_id, count(*) AS n_captions, arg_min(caption, {D.md5_of(7, 'image_id', 'ann_id')}) "
+                     f"AS caption FROM captions WHERE {D.any_contains(LC, T.people)} OR list_has_any("
+                     f"string_split_regex(caption, '{D.NON_WORD}'), ['Is', 'Du', 'Le']) GROUP BY image_id"}),
         "has_caption": V("SELECT id FROM images WHERE id IN (SELECT image_id FROM captions)", "images", "captions"),
         "zip_join": V("SELECT pos, latent_id, doc_id FROM (SELECT id AS latent_id, row_number() OVER (ORDER BY id) - 1 "
                       "AS pos FROM latents) JOIN (SELECT id AS doc_id, row_number() OVER (ORDER BY id) - 1 AS pos "
@@ -329,10 +358,10 @@ def tokens_cte() -> str:
             f"(SELECT id, {TK} AS tk FROM dataset)")
 
 
-def hash_embed_sql(dim: int = 64) -> str:
+def hash_embed_sql(dim: int = 64, words: str | None = None) -> str:
     return V(
         "SELECT s.id, s.bucket, round(s.s / n.norm, 6) AS value FROM s JOIN n ON s.id = n.id", "dataset", extra={
-            "w": f"SELECT id, unnest({TK}) AS w FROM dataset",
+            "w": f"SELECT id, unnest({words or TK}) AS w FROM dataset",
             "b": (f"SELECT id, CAST(CAST(('0x' || substr(md5(w), 1, 8)) AS BIGINT) % {dim} AS INTEGER) AS bucket, "
                   "CASE WHEN CAST(('0x' || substr(md5(w), 9, 2)) AS INTEGER) % 2 = 0 THEN CAST(1.0 AS DOUBLE) "
                   "ELSE CAST(-1.0 AS DOUBLE) END AS s FROM w"),
@@ -370,12 +399,30 @@ def oracle_more() -> dict:
             "unnest(f) AS token, unnest(m) AS mask FROM (SELECT id, list_resize(tk, 77, '<pad>') AS f, "
             "list_resize(list_transform(tk, lambda t: 1), 77, 0) AS m FROM t))", "dataset", extra={"t": tokens_cte()}),
         "hash_embed": hash_embed_sql(),
-        "embed_text": hash_embed_sql(),
+        "embed_text": hash_embed_sql(words=f"({TK})[1:75]"),
         "embed_images": V(
             "SELECT id, 'success' AS status, CAST(k AS INTEGER) AS i, round((CAST(x[(2 * (k // 4)) * 8 + 2 * (k % 4) + 1] "
             "AS DOUBLE) + CAST(x[(2 * (k // 4)) * 8 + 2 * (k % 4) + 2] AS DOUBLE) + CAST(x[(2 * (k // 4) + 1) * 8 + "
             "2 * (k % 4) + 1] AS DOUBLE) + CAST(x[(2 * (k // 4) + 1) * 8 + 2 * (k % 4) + 2] AS DOUBLE)) / 4, 6) AS mean "
             "FROM " + grid(16), "latents"),
+        "embed_images_two_settings": V(
+            "SELECT id, shape, 'success' AS status, i, round(avg(v), 6) AS mean FROM ("
+            "SELECT id, '1x8x8' AS shape, CAST((k // 16) * 4 + (k % 8) // 2 AS INTEGER) AS i, CAST(x[k + 1] AS DOUBLE) AS v "
+            f"FROM {grid(64)} UNION ALL "
+            "SELECT id, '4x4x4', CAST((k // 16) * 4 + ((k % 16) // 8) * 2 + (k % 4) // 2 AS INTEGER), CAST(x[k + 1] AS DOUBLE) "
+            f"FROM {grid(64)}) GROUP BY id, shape, i", "latents"),
+        "write_bundle_rows": V(
+            "SELECT d.caption, round(im.s, 5) AS image_sum, round(coalesce(tx.s, 0.0), 5) AS text_sum, "
+            "CAST(least(len(t.tk), 77) AS INTEGER) AS mask_sum FROM dataset d JOIN t ON t.id = d.id "
+            "JOIN im ON im.id = d.id LEFT JOIN tx ON tx.id = d.id", "dataset", "latents", extra={
+                "t": tokens_cte(),
+                "im": ("SELECT id, sum(CAST(v AS DOUBLE) * i) AS s FROM (SELECT id, unnest(x) AS v, "
+                       "generate_subscripts(x, 1) AS i FROM latents) GROUP BY id"),
+                "w": f"SELECT id, unnest(({TK})[1:75]) AS w FROM dataset",
+                "b": ("SELECT id, CAST(('0x' || substr(md5(w), 1, 8)) AS BIGINT) % 64 AS bucket, "
+                      "sum(CASE WHEN CAST(('0x' || substr(md5(w), 9, 2)) AS INTEGER) % 2 = 0 THEN 1.0::DOUBLE ELSE -1.0 END) "
+                      "AS s FROM w GROUP BY 1, 2"),
+                "tx": ("SELECT id, sum(s * (bucket + 1)) / sqrt(sum(s * s)) AS s FROM b GROUP BY id HAVING sum(s * s) > 0")}),
         "prompt_embedding": V(
             "SELECT id, CAST(j AS INTEGER) AS j, CAST(CAST(('0x' || substr(md5(token), 1, 8)) AS BIGINT) % 16 AS INTEGER) "
             "AS bucket, CASE WHEN CAST(('0x' || substr(md5(token), 9, 2)) AS INTEGER) % 2 = 0 THEN CAST(1.0 AS DOUBLE) "
@@ -419,7 +466,10 @@ def oracle_more() -> dict:
                                 f"JOIN sched sc ON {D.randint('0e1', 'b0.id', 1000)} = sc.t"),
                           "e": "SELECT id, generate_subscripts(x, 1) - 1 AS i, unnest(x) AS v FROM latents"})
     # L4: 3-step sampler over 16 elements per prompt, then pixels
-    ctes, _ = denoise_sql(base="SELECT id, CAST(range AS BIGINT) AS i FROM dataset, range(16)")
+    with_prompt = "SELECT id, CAST(range AS BIGINT) AS i, m FROM shift, range(16)"
+    ctes, final = denoise_sql(base=with_prompt)
+    ctes = {**prompt_shift(), **ctes}
+    out["denoise_context"] = V(final, "dataset", extra=ctes)
     out["generate"] = V(
         "SELECT id, CAST(i AS INTEGER) AS i, CAST(round_even(least(greatest((((" + clampv("x")
         + ") / CAST(0.18215 AS DOUBLE)) * CAST(0.18215 AS DOUBLE) + 1.0) * 127.5, 0.0), 255.0), 0) AS INTEGER) "

@@ -174,16 +174,21 @@ def denoise_linear(df: DataFrame, key: str, seed: int, dim: int, steps: int = 50
 
 def denoise_numpy(df: DataFrame, key: str, seed: int, dim: int, predictor, steps: int = 50,
                   scale: float = 2.0, T: int = 1000, prev: str = "t-1", bound: float = 10.0,
-                  decode: bool = True) -> DataFrame:
+                  decode: bool = True, context: str | None = None) -> DataFrame:
     """D10 with a Python predictor: the whole loop runs inside one
     ``mapInPandas`` task per partition, batch by batch (never one column
     expression per step).  ``predictor(x, t) -> (uncond, text)`` works on a
     (rows, dim) NumPy matrix.  Starting noise comes from the same key-hashed
     generator as the column path, computed in Spark before the Python stage.
+    With ``context``, a column of per-token features, the predictor is called
+    as ``predictor(x, t, context)`` at every step, with a list of one
+    (tokens, features) matrix for each row.
     """
     grid = _grid_with_abar(steps, T, prev)
-    start = spread(df.select(key)).select(F.col(key).alias("key"),
-                      clamp(rand.normal_array(seed, F.col(key), dim), -bound, bound).alias("x"))
+    more = [] if context is None else [context]
+    start = spread(df.select(key, *more)).select(F.col(key).alias("key"),
+                      clamp(rand.normal_array(seed, F.col(key), dim), -bound, bound).alias("x"),
+                      *[F.col(c).alias("context") for c in more])
 
     def run(batches):
         import pandas as pd
@@ -192,9 +197,10 @@ def denoise_numpy(df: DataFrame, key: str, seed: int, dim: int, predictor, steps
             if len(pdf) == 0:
                 continue
             x = np.stack(pdf["x"].to_numpy()).astype(np.float64)
+            extra = [[np.stack(list(m)) for m in pdf["context"]]] if more else []
             for t, at, ap in grid:
                 inp = np.clip(x, -bound, bound)
-                u, tx = predictor(inp, t)
+                u, tx = predictor(inp, t, *extra)
                 u, tx = np.clip(u, -bound, bound), np.clip(tx, -bound, bound)
                 eps = np.clip(u + scale * (tx - u), -bound, bound) if scale > 1.0 else tx
                 x0 = np.clip((x - math.sqrt(1.0 - at) * eps) / math.sqrt(at), -bound, bound)

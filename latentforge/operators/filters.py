@@ -25,18 +25,19 @@ def keyword_filter(df: DataFrame, col: str, terms=lx.PEOPLE_KEYWORDS, match: str
     return df.where(tx.any_substring(lc, terms))
 
 
-def fallback_predicate(df: DataFrame, cheap: Column, costly: Column) -> DataFrame:
-    """``cheap OR costly`` where ``costly`` (a Python UDF) only runs on the
-    rows the cheap test did not accept.
+def fallback_predicate(df: DataFrame, cheap: Column, costly, text: str | Column) -> DataFrame:
+    """``cheap OR costly(text)`` in one pass, where ``costly`` (a Python
+    UDF that maps NULL to NULL without work) decides only the rows that the
+    cheap test doesn't accept.
 
     Spark evaluates Python UDFs for every input row of their operator, even
-    inside ``OR``/``CASE``, so the short-circuit is written as two branches:
-    rows where ``cheap`` is true, plus the others (false *or NULL*) filtered
-    by the costly test.
+    inside ``OR``/``CASE``; so the UDF gets NULL instead of the text of the
+    rows that the cheap test accepts.
     """
-    hit = df.where(cheap)
-    rest = df.where(~cheap | cheap.isNull()).where(costly)
-    return hit.unionByName(rest)
+    text = F.col(text) if isinstance(text, str) else text
+    hit = F.coalesce(cheap, F.lit(False))
+    verdict = costly(F.when(~hit, text))
+    return df.where(hit | F.coalesce(verdict, F.lit(False)))
 
 
 def gazetteer_person(names) -> "callable":
@@ -66,9 +67,11 @@ def drop_failed(df: DataFrame, content_col: str = "content") -> DataFrame:
 def take_prefix(df: DataFrame, n: int | None, order) -> DataFrame:
     """the first ``n`` rows in ``order``; ``n`` of 0/None means all rows.
 
-    Small ``n`` uses ``orderBy().limit()`` (a per-task top-k, then a merge of
-    at most n rows per task).  Large ``n`` filters on a distributed position
-    so that no single task receives n rows.
+    ``order`` takes column names and ascending or descending columns of any
+    orderable type; the rows come in no particular order.  Small ``n`` uses
+    ``orderBy().limit()`` (a per-task top-k, then a merge of at most n rows
+    per task).  Large ``n`` filters on a distributed position so that no
+    single task receives n rows.  The result is the same.
     """
     if not n:
         return df

@@ -300,10 +300,11 @@ def prepare_and_encode(df: DataFrame, key: str, pixels: str, h: str, w: str, c:
     the small latents do.  A bad image becomes an error row; a failing
     batch is retried image by image, so every input row has one output row.
     """
-    from .inference import PoolImageEncoder, lazy_model
+    from .inference import PoolImageEncoder, lazy_model, model_key
     from .parallel import spread
 
     make = make_encoder or (lambda: PoolImageEncoder(3, th, tw, factor=factor))
+    name = model_key("fused-image-encoder", make_encoder, 3, th, tw, factor)
     src = spread(df.select(F.col(key).alias("key"), F.col(pixels).alias("px"), F.col(h).cast("int").alias("h"),
                            F.col(w).cast("int").alias("w"), F.col(c).cast("int").alias("c")))
 
@@ -320,7 +321,7 @@ def prepare_and_encode(df: DataFrame, key: str, pixels: str, h: str, w: str, c:
     def run(batches):
         import pandas as pd
 
-        enc = lazy_model(f"fused-image-encoder-{id(make)}", make)
+        enc = lazy_model(name, make)
         for pdf in batches:
             rows = list(zip(pdf["key"], pdf["px"], pdf["h"], pdf["w"], pdf["c"]))
             for start in range(0, len(rows), batch_size):

@@ -10,6 +10,8 @@ are small and deterministic so results can be checked against SQL.
 import hashlib
 import os
 import threading
+import uuid
+from collections import OrderedDict
 
 import numpy as np
 import pandas as pd
@@ -43,23 +45,35 @@ def tokenize_pad(text, max_len: int = 77, bos: str = BOS, eos: str = EOS, pad: s
 
 # ------------------------------------------------------------------- E7 --
 
-_MODELS: dict = {}
+MAX_MODELS = 4                 # models that one Python worker holds at a time
+
+_MODELS: OrderedDict = OrderedDict()
 _LOADS: dict = {}
 _LOCK = threading.Lock()
 
 
+def model_key(kind: str, make=None, *params) -> str:
+    """Name of a model for :func:`lazy_model`, made on the driver when an
+    operator is built and shipped to the workers as a string.
+
+    A built-in model is named by its kind and parameters, so equal settings
+    share it; a caller's factory gets a name of its own for each operator.
+    """
+    return f"{kind}:{params!r}" if make is None else f"{kind}:{uuid.uuid4().hex}"
+
+
 def lazy_model(name: str, factory):
     """The model named ``name``, built by ``factory()`` on first use in
-    this Python worker and reused by every later batch and task."""
-    m = _MODELS.get(name)
-    if m is None:
-        with _LOCK:
-            m = _MODELS.get(name)
-            if m is None:
-                m = factory()
-                _MODELS[name] = m
-                _LOADS[name] = _LOADS.get(name, 0) + 1
-    return m
+    this Python worker and reused by every later batch and task.  The least
+    recently used model goes when a worker holds ``MAX_MODELS``."""
+    with _LOCK:
+        if name not in _MODELS:
+            _MODELS[name] = factory()
+            _LOADS[name] = _LOADS.get(name, 0) + 1
+            while len(_MODELS) > MAX_MODELS:
+                _MODELS.popitem(last=False)
+        _MODELS.move_to_end(name)
+        return _MODELS[name]
 
 
 def load_count(name: str) -> int:
@@ -111,19 +125,26 @@ class HashTextEncoder:
         return np.divide(out, norm, out=np.zeros_like(out), where=norm > 0)
 
 
+def truncated_text(text, max_len: int = 77) -> Column:
+    """The words of a text that :func:`tokenize_pad` keeps, joined by spaces."""
+    return F.array_join(F.slice(tx.tokens(F.lower(tx.col_(text))), 1, max_len - 2), " ")
+
+
 def embed_text(df: DataFrame, text_col: str, out_col: str = "text_embedding",
-               make_encoder=None, batch_size: int = 32, dim: int = 64) -> DataFrame:
+               make_encoder=None, batch_size: int = 32, dim: int = 64, max_len: int | None = 77) -> DataFrame:
     """Batched pooled text features with ``predict_batch_udf``.
 
     ``make_encoder()`` returns ``f(np.ndarray[str]) -> np.ndarray[rows, d]``;
     it is called once per Python worker.  Default: :class:`HashTextEncoder`.
+    The encoder gets the tokens that E1 keeps within ``max_len`` (None: the
+    whole text).
     """
     from pyspark.ml.functions import predict_batch_udf
 
     make = make_encoder or (lambda: HashTextEncoder(dim))
 
-    def make_predict_fn():
-        enc = lazy_model(f"text-encoder-{id(make)}", make)
+    def make_predict_fn():          # kept per worker by predict_batch_udf itself
+        enc = make()
 
         def predict(texts: np.ndarray) -> np.ndarray:
             return enc(texts)
@@ -131,7 +152,8 @@ def embed_text(df: DataFrame, text_col: str, out_col: str = "text_embedding",
         return predict
 
     udf = predict_batch_udf(make_predict_fn, return_type=Ty.ArrayType(Ty.DoubleType()), batch_size=batch_size)
-    return spread(df).withColumn(out_col, udf(F.col(text_col)))
+    text = F.col(text_col) if max_len is None else truncated_text(text_col, max_len)
+    return spread(df).withColumn(out_col, udf(text))
 
 
 def hash_embed(df: DataFrame, key: str, text_col: str, dim: int = 64) -> DataFrame:
@@ -181,9 +203,10 @@ def embed_images(df: DataFrame, key: str, tensor: str, shape, make_encoder=None,
     error_message, mean, logvar); a failing batch is retried row by row so
     that every input row gets exactly one output row."""
     make = make_encoder or (lambda: PoolImageEncoder(*shape))
+    name = model_key("image-encoder", make_encoder, *shape)
 
     def fn(batch: np.ndarray):
-        enc = lazy_model(f"image-encoder-{id(make)}", make)
+        enc = lazy_model(name, make)
         mean, logvar = enc(batch)
         return [(m, lv) for m, lv in zip(mean, logvar)]
 
@@ -216,11 +239,12 @@ def prompt_embedding(df: DataFrame, key: str, tokens: str, make_encoder=None, di
                      out_col: str = "hidden") -> DataFrame:
     """Per-token hidden states (tokens × dim), not pooled."""
     make = make_encoder or (lambda: HashTokenEncoder(dim))
+    name = model_key("token-encoder", make_encoder, dim)
     src = spread(df.select(F.col(key).alias("key"), F.col(tokens).alias("tokens")))
 
     def run(batches):
         for pdf in batches:
-            enc = lazy_model(f"token-encoder-{id(make)}", make)
+            enc = lazy_model(name, make)
             hs = enc(list(pdf["tokens"]))
             yield pd.DataFrame({"key": pdf["key"], out_col: [[list(r) for r in m] for m in hs]})
 
@@ -283,14 +307,3 @@ def safe_map(df: DataFrame, fn, keys, value_col: str, result_type: Ty.DataType,
                 yield out
 
     return src.mapInPandas(run, schema)
-
-
-def worker_pid() -> Column:
-    """Python worker id of each row (for the E7 property test)."""
-    from pyspark.sql.functions import pandas_udf
-
-    @pandas_udf("string")
-    def pid(s: pd.Series) -> pd.Series:
-        return pd.Series([f"{os.getpid()}:{load_count('probe')}"] * len(s))
-
-    return pid

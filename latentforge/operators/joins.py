@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import lexicon as lx
 from ..functions import text as tx
 from ..functions.rand import hash_hex
+from .filters import fallback_predicate
 from .positions import with_position
 
 # The schedule has T rows of six numbers; above this it is not broadcast.
@@ -23,15 +24,18 @@ MAX_BROADCAST_SCHEDULE_ROWS = 1_000_000
 def attach_captions(images: DataFrame, captions: DataFrame, terms=lx.PEOPLE_KEYWORDS, seed: int = 0,
                     root: str = "", split: str = "train2014", content_col: str | None = None,
                     image_key: str = "id", caption_key: str = "image_id", ann_key: str = "ann_id",
-                    text: str = "caption") -> DataFrame:
-    """J1 (with F1, O3, X1, F3): images that have at least one passing
+                    text: str = "caption", person=None) -> DataFrame:
+    """J1 (with F1, F2, O3, X1, F3): images that have at least one passing
     caption, each with the number of passing captions and one picked caption.
 
     Captions are filtered and reduced per image first (partial aggregation:
     ``count`` and ``min_by`` of a key hash — a deterministic stand-in for the
     unseeded random pick), so only one row per image reaches the join.
+    ``person`` (a UDF of the text, such as :func:`filters.gazetteer_person`)
+    also lets captions pass that name a person without a keyword.
     """
-    passing = captions.where(tx.any_substring(tx.lower_text(text), terms))
+    keyword = tx.any_substring(tx.lower_text(text), terms)
+    passing = captions.where(keyword) if person is None else fallback_predicate(captions, keyword, person, text)
     pick = hash_hex(seed, F.col(caption_key), F.col(ann_key))
     per_image = passing.groupBy(caption_key).agg(
         F.count(F.lit(1)).alias("n_captions"),

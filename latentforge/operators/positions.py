@@ -24,7 +24,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,51 +40,96 @@ def _names(cols) -> list:
     return [F.col(c) if isinstance(c, str) else c for c in (cols or [])]
 
 
-def range_bucket(df: DataFrame, key, num_buckets: int, rel_err: float | None = None) -> Column:
-    """Bucket column from approximate quantiles of a numeric/timestamp key.
-
-    The quantile bounds (``num_buckets - 1`` doubles) are the only thing that
-    comes back to the driver.  Rows are then bucketed by a JVM-side binary
-    search (``Bucketizer``), never by a per-row Python call.
-    """
+def _order_parts(key) -> tuple[Column, bool, bool]:
+    """(column, descending, nulls first) of an order key."""
     key = F.col(key) if isinstance(key, str) else key
+    node = key._jc.node()
+    if node.getClass().getSimpleName() != "SortOrder":
+        return key, False, True
+    jvm = SparkSession.active()._jvm
+    inner = Column(jvm.org.apache.spark.sql.Column(node.child()))
+    return inner, "Desc" in node.sortDirection().toString(), "First" in node.nullOrdering().toString()
+
+
+def range_bucket(df: DataFrame, key, num_buckets: int, rel_err: float | None = None):
+    """Bucket of an order key: a value that never decreases along the order.
+
+    Numbers and times use approximate quantiles; other orderable types
+    (strings, binary, structs) the values at even ranks of a sample of
+    ``SAMPLE_PER_BUCKET * num_buckets`` keys, those with the least hashes.
+    Only these bounds come back to the driver.  Rows are bucketed in the JVM,
+    never by a per-row Python call.
+    """
+    key, descending, nulls_first = _order_parts(key)
     dtype = df.select(key.alias(_K)).schema[_K].dataType
+    if num_buckets <= 1:
+        return F.lit(0)
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         numeric = F.unix_micros(key.cast("timestamp")).cast("double")
     elif isinstance(dtype, T.DateType):
         numeric = F.unix_date(key).cast("double")
-    else:
+    elif isinstance(dtype, (T.NumericType, T.BooleanType)):
         numeric = key.cast("double")
-    if num_buckets <= 1:
-        return F.lit(0)
+    else:
+        return _sampled_bucket(df, key, num_buckets, descending, nulls_first)
     probs = [i / num_buckets for i in range(1, num_buckets)]
     rel_err = rel_err if rel_err is not None else 1.0 / (4 * num_buckets)
     bounds = df.select(numeric.alias(_K)).approxQuantile(_K, probs, rel_err)
     splits = sorted({b for b in bounds if b == b})
-    return _BucketSpec(numeric, splits)
+    return _BucketSpec(numeric, splits, descending, nulls_first)
+
+
+SAMPLE_PER_BUCKET = 32
+
+
+def _sampled_bucket(df: DataFrame, key: Column, num_buckets: int, descending: bool, nulls_first: bool) -> Column:
+    sample = (df.select(key.alias(_K)).where(F.col(_K).isNotNull()).distinct()
+              .orderBy(F.xxhash64(_K), _K).limit(SAMPLE_PER_BUCKET * num_buckets))
+    ranked = [r[0] for r in sample.orderBy(_K).collect()]
+    bounds = [ranked[len(ranked) * i // num_buckets] for i in range(1, num_buckets)] if ranked else []
+    spark = df.sparkSession
+    kind = sample.schema[_K].dataType
+    table = spark.createDataFrame([(b,) for b in bounds], T.StructType([T.StructField(_K, kind)]))
+    limits = [r[0] for r in table.distinct().orderBy(_K).collect()]
+    if not limits:
+        place = F.lit(0)
+    else:
+        known = F.array(*[F.lit(b).cast(kind) for b in limits])
+        place = F.size(F.filter(known, lambda b: b <= key))
+    if descending:
+        place = F.lit(len(limits)) - place
+    edge = F.lit(-1 if nulls_first else len(limits) + 1)
+    return F.when(key.isNull(), edge).otherwise(place)
 
 
 class _BucketSpec:
     """A deferred bucket: applied with ``Bucketizer`` to the frame."""
 
-    def __init__(self, numeric: Column, splits: list):
+    def __init__(self, numeric: Column, splits: list, descending: bool = False, nulls_first: bool = True):
         self.numeric = numeric
         self.splits = splits
+        self.descending = descending
+        self.nulls_first = nulls_first
 
     def apply(self, df: DataFrame) -> DataFrame:
         from pyspark.ml.feature import Bucketizer
 
         k2 = _K + "_in"
         tmp = df.withColumn(_K, self.numeric)
-        # Spark sorts NULL first and NaN after every number: give them the
-        # first and the last bucket so buckets stay monotone in the order.
-        edge = F.when(F.col(_K).isNull(), F.lit(-1)).when(F.isnan(F.col(_K)), F.lit(len(self.splits) + 1))
+        top = len(self.splits) + 1
+        # Spark takes NaN as greater than every number and puts NULL at an
+        # end: give them buckets of their own there.
+        edge = F.when(F.col(_K).isNull(), F.lit(-2 if self.nulls_first else top + 1)) \
+            .when(F.isnan(F.col(_K)), F.lit(-1 if self.descending else top))
         if not self.splits:
             return tmp.withColumn(_B, edge.otherwise(F.lit(0))).drop(_K)
         bz = Bucketizer(splits=[float("-inf")] + self.splits + [float("inf")],
                         inputCol=k2, outputCol=_B, handleInvalid="keep")
         out = bz.transform(tmp.withColumn(k2, F.coalesce(F.col(_K), F.lit(float("nan")))))
-        return out.withColumn(_B, edge.otherwise(F.col(_B).cast("int"))).drop(_K, k2)
+        place = F.col(_B).cast("int")
+        if self.descending:
+            place = F.lit(len(self.splits)) - place
+        return out.withColumn(_B, edge.otherwise(place)).drop(_K, k2)
 
 
 def dense_bucket(key, total, num_buckets: int) -> Column:

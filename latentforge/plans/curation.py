@@ -23,7 +23,7 @@ from ..sources import sinks
 
 def curate(images: DataFrame, captions: DataFrame, lexicon: lx.Lexicon = lx.DEFAULT, seed: int = 0,
            root: str = "", split: str = "train2014", pixels: DataFrame | None = None,
-           load: bool = False, decoder=None) -> DataFrame:
+           load: bool = False, decoder=None, person=None) -> DataFrame:
     """The curated dataset: (id, file_name, image_path, n_captions, caption
     [, h, w, c, pixels]).
 
@@ -31,9 +31,9 @@ def curate(images: DataFrame, captions: DataFrame, lexicon: lx.Lexicon = lx.DEFA
     the caption join (only images that passed are read) and drops those
     that fail, like the original.  ``pixels`` alternatively takes an
     already decoded table from :func:`sources.images.read_images`, joined
-    by path.
+    by path.  ``person`` is the fallback test of captions without a keyword.
     """
-    ds = jn.attach_captions(images, captions, lexicon.people, seed=seed, root=root, split=split)
+    ds = jn.attach_captions(images, captions, lexicon.people, seed=seed, root=root, split=split, person=person)
     if load:
         from ..sources import images as io
 
@@ -48,11 +48,17 @@ def curate(images: DataFrame, captions: DataFrame, lexicon: lx.Lexicon = lx.DEFA
 
 def curate_and_analyze(spark: SparkSession, annotations_path: str, lexicon: lx.Lexicon = lx.DEFAULT,
                        seed: int = 0, root: str = "", split: str = "train2014",
-                       stats_prefix: str | None = None, stamp: str | None = None):
+                       stats_prefix: str | None = None, stamp: str | None = None, load: bool = True,
+                       decoder=None, person=None):
     """The whole curation job from annotation documents; returns (dataset,
-    statistics) and writes the statistics document when a prefix is given."""
+    statistics) and writes the statistics document when a prefix is given.
+
+    Images that can't be opened are dropped before the statistics, as are
+    captions that neither a keyword nor ``person`` lets pass;
+    ``load=False`` keeps images without reading them.
+    """
     ann, img = an.read_annotations(spark, annotations_path)
-    ds = curate(img, ann, lexicon, seed, root, split)
+    ds = curate(img, ann, lexicon, seed, root, split, load=load, decoder=decoder, person=person)
     stats = agg.demographics(ds, "caption", lexicon)
     if stats_prefix:
         sinks.write_stats(stats, stats_prefix, stamp or "00000000_000000")

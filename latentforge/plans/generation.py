@@ -18,12 +18,13 @@ from ..operators import inference as inf
 def generate(prompts: DataFrame, key: str, text: str, predictor, steps: int = 50, scale: float = 2.0,
              seed: int = 0, latent_shape=(4, 64, 64), to_pixels: bool = True) -> DataFrame:
     """One row per prompt with the sampled latent (and pixels when the
-    latent has an image shape)."""
+    latent has an image shape).  ``predictor(x, t, context)`` gets the prompts'
+    per-token features at every step."""
     c, h, w = latent_shape
     dim = c * h * w
     toks = prompts.select(key, inf.tokenize_pad(text).alias("tok"))
     emb = inf.prompt_embedding(toks.select(key, F.col("tok.tokens").alias("tokens")), key, "tokens")
-    out = dd.denoise_numpy(emb.select(key), key, seed, dim, predictor, steps, scale)
+    out = dd.denoise_numpy(emb, key, seed, dim, predictor, steps, scale, context="hidden")
     if to_pixels:
         out = out.withColumn("pixels", im.denormalize_pixels(
             F.transform("sample", lambda v: v * F.lit(dd.LATENT_SCALE)), c, h, w))

@@ -8,6 +8,7 @@ scalar columns for the same reason.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from ..functions import durations as du
@@ -88,10 +89,20 @@ QUERIES = {
     .select("p_partkey"),
     "fallback_predicate": lambda s, d: flt.fallback_predicate(
         vw.dataset(s, d), tx.any_substring(tx.lower_text("caption"), T.people),
-        flt.gazetteer_person(GAZETTEER)("caption")).select("id"),
-    "drop_failed": lambda s, d: flt.drop_failed(vw.latents(s, d), "x").select("id"),
+        flt.gazetteer_person(GAZETTEER), "caption").select("id"),
+    "drop_failed": lambda s, d: flt.drop_failed(
+        vw.latents(s, d).withColumn("x", F.when(F.col("id") % 7 != 3, F.col("x"))), "x").select("id"),
     "take_prefix": lambda s, d: flt.take_prefix(vw.dataset(s, d), 100, ["id"]).select("id"),
-    "take_prefix_large": lambda s, d: flt.take_prefix(vw.results(s, d), 20_000, ["pos"]).select("pos"),
+    "take_prefix_large": lambda s, d: flt.take_prefix(
+        tb.read_table(s, d, "lineitem", ["l_orderkey", "l_linenumber"]), 20_000, ["l_orderkey", "l_linenumber"]),
+    "take_prefix_large_desc": lambda s, d: flt.take_prefix(
+        tb.read_table(s, d, "lineitem", ["l_orderkey", "l_linenumber"]), 20_000,
+        [F.col("l_orderkey").desc(), F.col("l_linenumber")]),
+    "take_prefix_string": lambda s, d: flt.take_prefix(vw.dataset(s, d), 100, ["caption", "id"]).select("id"),
+    "take_prefix_large_string": lambda s, d: flt.take_prefix(
+        tb.read_table(s, d, "lineitem", ["l_orderkey", "l_linenumber"])
+        .select(F.md5(F.concat_ws("-", "l_orderkey", "l_linenumber")).alias("name")), 20_000, [F.col("name").desc()]),
+    "batches_by_string": lambda s, d: bt.batches(vw.dataset(s, d), 32, ["caption", "id"]).select("id", "batch"),
     "status_filter": lambda s, d: flt.status_filter(vw.results(s, d), "error").select("pos", "value"),
     "every_n": lambda s, d: flt.every_n(vw.losses(s, d), "batch_idx", 10),
     "eval_cap": lambda s, d: flt.eval_cap(vw.losses(s, d), "batch_idx", 32, 100),
@@ -149,6 +160,9 @@ QUERIES = {
         "user_id", F.round("ema", 6).alias("ema"), F.col("updates").cast("long").alias("updates")),
     "log_windows": lambda s, d: win.log_windows(vw.losses(s, d), 10),
     # ---- J: joins
+    "attach_captions_person": lambda s, d: jn.attach_captions(
+        vw.images(s, d), vw.captions(s, d), T.people, seed=7, root="/data/coco",
+        person=flt.gazetteer_person(GAZETTEER)),
     "attach_captions": lambda s, d: jn.attach_captions(
         vw.images(s, d), vw.captions(s, d), T.people, seed=7, root="/data/coco").select(
         "id", "file_name", "image_path", "n_captions", "caption"),
@@ -249,11 +263,55 @@ def _linear_predictor(x, t):
     return 0.1 * x, 0.2 * x
 
 
+def _context_predictor(x, t, context):
+    """The text branch is shifted by the mean of the prompt's features."""
+    shift = np.array([[m.sum() / len(m)] for m in context])
+    return 0.1 * x, 0.2 * x + shift
+
+
 def _denoise(s, d):
     from ..operators import diffusion as dd
     return _flat(dd.denoise_linear(vw.latents(s, d), "id", seed=5, dim=64, steps=3), "id", ["sample"])
 
 
+def _denoise_context(s, d):
+    from ..operators import diffusion as dd
+    from ..operators import inference as inf
+    prompts = vw.dataset(s, d).select("id", inf.tokenize_pad("caption", 77)["tokens"].alias("tokens"))
+    hidden = inf.prompt_embedding(prompts, "id", "tokens", dim=16)
+    return _flat(dd.denoise_numpy(hidden, "id", seed=5, dim=16, predictor=_context_predictor, steps=3,
+                                  context="hidden"), "id", ["sample"])
+
+
+def _two_encoders(s, d):
+    """E5 with two settings in one plan: each row shape has its own model."""
+    from ..operators import inference as inf
+    lat = vw.latents(s, d)
+
+    def means(shape):
+        e = inf.embed_images(lat, "id", "x", shape)
+        return e.select("id", F.lit("x".join(map(str, shape))).alias("shape"), "status",
+                        F.posexplode("mean").alias("i", "mean"))
+    z = means((1, 8, 8)).unionByName(means((4, 4, 4)))
+    return z.select("id", "shape", "status", F.col("i").cast("int").alias("i"), F.round("mean", 6).alias("mean"))
+
+
+def _bundle_rows(s, d):
+    """S6 with image embeddings, all four columns by value."""
+    from ..plans import embedding as emb
+    path = _scratch(s, "bundle-rows")
+    results = vw.dataset(s, d).join(vw.latents(s, d).select("id", "x"), "id").withColumn("status", F.lit("success"))
+    emb.embed_captions_job(results, "id", "caption", embedding="x", out_path=path, dim=64)
+    b = tb.read_records(s, path)
+
+    def total(c):
+        return F.round(F.aggregate(F.transform(c, lambda v, i: v.cast("double") * (i + 1)), F.lit(0.0),
+                                   lambda a, v: a + v), 5)
+    return b.select("caption", total("image_embedding").alias("image_sum"),
+                    total("text_embedding").alias("text_sum"),
+                    F.aggregate("attention_mask", F.lit(0), lambda a, v: a + v).alias("mask_sum"))
+
+
 def _denoise_numpy(s, d):
     from ..operators import diffusion as dd
     out = dd.denoise_numpy(vw.latents(s, d).select("id"), "id", seed=5, dim=64,
@@ -276,6 +334,7 @@ QUERIES.update({
     "ddim_step": _ddim,
     "denoise": _denoise,
     "denoise_numpy": _denoise_numpy,
+    "denoise_context": _denoise_context,
     "sinusoidal_embedding": _sinusoidal,
 })
 
@@ -315,9 +374,8 @@ def _prepare_numpy(s, d):
 
 def _train_transform(s, d):
     from ..operators import image as im
-    img = im.Img.from_chw("x", 1, 8, 8).map(im._to_uint8).grey_to_rgb().resize(5, 5) \
-        .map(lambda v: (v / F.lit(255.0) - F.lit(0.5)) / F.lit(0.5)).hwc()
-    return _flat(vw.latents(s, d).select("id", img.alias("img")), "id", ["img"])
+    rgb = _grey(s, d).select("id", im.to_rgb("px").alias("rgb"))
+    return _flat(rgb.select("id", im.train_transform("rgb", 8, 8, 3, 5).alias("img")), "id", ["img"])
 
 
 def _denorm(s, d):
@@ -521,7 +579,7 @@ def _training_input(s, d):
 
 def _generate(s, d):
     from ..plans import generation
-    g = generation.generate(vw.dataset(s, d), "id", "caption", _linear_predictor, steps=3, scale=2.0,
+    g = generation.generate(vw.dataset(s, d), "id", "caption", _context_predictor, steps=3, scale=2.0,
                             seed=5, latent_shape=(1, 4, 4))
     return _flat_int(g.select("id", "pixels"), "id", "pixels")
 
@@ -562,12 +620,14 @@ QUERIES.update({
     "hash_embed": _hash_embed,
     "embed_text": _embed_text,
     "embed_images": _embed_images,
+    "embed_images_two_settings": _two_encoders,
     "prompt_embedding": _prompt_embedding,
     "safe_map": _safe_map,
     "read_annotations": lambda s, d: _annotations(s, d, "annotations"),
     "read_annotations_images": lambda s, d: _annotations(s, d, "images"),
     "write_records": _records,
     "write_bundle": _bundle,
+    "write_bundle_rows": _bundle_rows,
     "write_stats": _stats,
     "read_images": _read_images,
     "load_images": _load_images,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from latentforge.functions import lexicon as lx
 from latentforge.operators import diffusion as dd
+from latentforge.operators import filters as flt
 from latentforge.operators import sampling as smp
 from latentforge.plans import curation, embedding, generation, training
 from latentforge.sources import annotations as an
@@ -26,8 +27,17 @@ def test_curation_from_annotation_documents(spark):
                                   (3, 4, "a tree")], "image_id long, ann_id long, caption string")
     imgs = spark.createDataFrame([(1, "1.jpg"), (2, "2.jpg"), (3, "3.jpg")], "id long, file_name string")
     an.write_annotations(caps, imgs, d + "/ann")
-    ds, stats = curation.curate_and_analyze(spark, d + "/ann", stats_prefix=d + "/people", stamp="20240101_000000")
+    px = spark.createDataFrame([(1, bytes(12), 2, 2, 3), (3, bytes(12), 2, 2, 3)], "k long, px binary, h int, w int, c int")
+    io.write_image_files(px, "k", "px", "h", "w", "c", d + "/train2014/train2014", suffix=".jpg")
+    # image 2 can't be opened: it is gone before the statistics
+    opened, few = curation.curate_and_analyze(spark, d + "/ann", root=d)
+    assert [r.id for r in opened.collect()] == [1]
+    ds, stats = curation.curate_and_analyze(spark, d + "/ann", stats_prefix=d + "/people", stamp="20240101_000000",
+                                            load=False)
     assert sorted(r.id for r in ds.collect()) == [1, 2]
+    person, _ = curation.curate_and_analyze(spark, d + "/ann", load=False, person=flt.gazetteer_person(["tree"]))
+    assert sorted(r.id for r in person.collect()) == [1, 2, 3]
+    assert {r.dimension: r.n for r in few.collect() if r.category == "child"}.get("age_groups", 0) == 0
     back = {(r.dimension, r.category): r.n for r in sinks.read_stats(spark, d + "/people_20240101_000000_stats.json")
             .collect()}
     assert back[("gender_distribution", "male")] + back[("age_groups", "child")] >= 1
@@ -77,8 +87,15 @@ def test_training_input_partitioned_write(spark):
 
 def test_generation_many_prompts(spark):
     prompts = spark.createDataFrame([(1, "a man"), (2, "a dog")], "id long, caption string")
-    g = generation.generate(prompts, "id", "caption", lambda x, t: (0.1 * x, 0.2 * x), steps=3, seed=5,
-                            latent_shape=(1, 2, 2)).collect()
+    def predictor(x, t, context):
+        return 0.1 * x, 0.2 * x + np.array([[m.sum(0) @ np.arange(m.shape[1]) / 100] for m in context])
+
+    def latents(texts):
+        df = spark.createDataFrame(list(enumerate(texts)), "id long, caption string")
+        return [r.sample for r in generation.generate(df, "id", "caption", predictor, steps=3, seed=5,
+                                                      latent_shape=(1, 2, 2), to_pixels=False).orderBy("id").collect()]
+    assert latents(["a man"]) == latents(["a man"]) != latents(["two dogs run"])      # the prompt matters
+    g = generation.generate(prompts, "id", "caption", predictor, steps=3, seed=5, latent_shape=(1, 2, 2)).collect()
     assert len(g) == 2 and all(len(r.pixels) == 4 and 0 <= min(r.pixels) and max(r.pixels) <= 255 for r in g)
 
 

@@ -105,7 +105,7 @@ def test_empty_input(spark):
 def test_split_predicate_runs_costly_only_on_rest(spark):
     df = one_col(spark, ["Is it", "a man", "nothing", None])
     cheap = tx.any_substring(tx.lower_text("caption"), ["man"])
-    out = flt.fallback_predicate(df, cheap, flt.gazetteer_person(["Is"])("caption"))
+    out = flt.fallback_predicate(df, cheap, flt.gazetteer_person(["Is"]), "caption")
     assert sorted(r.caption for r in out.collect()) == ["Is it", "a man"]
 
 
