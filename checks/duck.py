@@ -125,9 +125,14 @@ def uniform(seed, *parts: str) -> str:
 
 
 def normal(seed, key: str, i: str) -> str:
-    u1 = uniform(seed, key, f"({i}) * 2")
-    u2 = uniform(seed, key, f"({i}) * 2 + 1")
-    return f"(sqrt(-2.0 * ln({u1})) * cos(CAST({2.0 * 3.141592653589793!r} AS DOUBLE) * {u2}))"
+    """Number i mod 4 of the four normals in the digest of (seed, key, i div 4)."""
+    digest = md5_of(seed, key, f"CAST(({i}) // 4 AS BIGINT)")
+    pair = f"(16 * ((({i}) % 4) // 2))"
+
+    def draw(at: str) -> str:
+        return f"((CAST(('0x' || substr({digest}, CAST({pair} + {at} AS BIGINT), 8)) AS BIGINT) + 0.5) / 4294967296.0)"
+    angle = f"(CAST({2.0 * 3.141592653589793!r} AS DOUBLE) * {draw('9')})"
+    return (f"(sqrt(-2.0 * ln({draw('1')})) * CASE WHEN ({i}) % 2 = 0 THEN cos({angle}) ELSE sin({angle}) END)")
 
 
 def randint(seed, key: str, upper: int) -> str:

@@ -41,18 +41,34 @@ def uniform(seed, *parts) -> Column:
     return (hash_u32(seed, *parts).cast("double") + F.lit(0.5)) / F.lit(TWO_POW_32)
 
 
+def _draw(digest: Column, k: int) -> Column:
+    """The k-th of the four uniform draws in an MD5 digest."""
+    word = F.conv(F.substring(digest, 8 * k + 1, 8), 16, 10).cast("double")
+    return (word + F.lit(0.5)) / F.lit(TWO_POW_32)
+
+
+def _pair(digest: Column, k: int) -> tuple[Column, Column]:
+    """Two standard normals (Box-Muller) from draws 2k and 2k + 1."""
+    radius = F.sqrt(F.lit(-2.0) * F.log(_draw(digest, 2 * k)))
+    angle = F.lit(2.0 * math.pi) * _draw(digest, 2 * k + 1)
+    return radius * F.cos(angle), radius * F.sin(angle)
+
+
 def normal(seed, key, i) -> Column:
-    """Standard normal from draws 2i and 2i+1 of (seed, key)."""
+    """The i-th standard normal of (seed, key): number i mod 4 of the four that
+    the digest of (seed, key, i div 4) yields."""
     i = col_(i) if isinstance(i, (str, Column)) else F.lit(i)
-    u1 = uniform(seed, key, i * 2)
-    u2 = uniform(seed, key, i * 2 + 1)
-    return F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2.0 * math.pi) * u2)
+    digest = hash_hex(seed, key, F.floor(i / 4).cast("long"))
+    return F.get(F.array(*_pair(digest, 0), *_pair(digest, 1)), (i % 4).cast("int"))
 
 
 def normal_array(seed, key, n) -> Column:
-    """Array of n standard normals for one row (D7's noise)."""
+    """Array of n standard normals for one row (D7's noise), four a digest."""
     n = col_(n) if isinstance(n, (str, Column)) else F.lit(n)
-    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: normal(seed, key, i))
+    digests = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / 4).cast("int")),
+                          lambda q: hash_hex(seed, key, q.cast("long")))
+    fours = F.transform(digests, lambda h: F.array(*_pair(h, 0), *_pair(h, 1)))
+    return F.slice(F.flatten(fours), F.lit(1), n.cast("int"))
 
 
 def randint(seed, key, upper: int, *extra) -> Column:

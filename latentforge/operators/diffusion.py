@@ -65,7 +65,9 @@ def latent_sample(mean, logvar, key, seed: int) -> Column:
     The two arrays are zipped once (not indexed inside the lambda, which
     would re-evaluate a computed input for every element)."""
     z = F.arrays_zip(col_(mean).alias("m"), col_(logvar).alias("lv"))
-    return F.transform(z, lambda e, i: e["m"] + F.exp(e["lv"] * F.lit(0.5)) * rand.normal(seed, key, i))
+    noise = F.when(F.size(z) > 0, rand.normal_array(seed, key, F.size(z)))
+    return F.when(F.size(z) == 0, F.array().cast("array<double>")).otherwise(F.zip_with(
+        z, noise, lambda e, n: e["m"] + F.exp(e["lv"] * F.lit(0.5)) * n))
 
 
 def scale_latents(arr, factor: float = LATENT_SCALE) -> Column:

@@ -15,7 +15,7 @@ from collections import OrderedDict
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
@@ -169,8 +169,8 @@ def hash_embed(df: DataFrame, key: str, text_col: str, dim: int = 64) -> DataFra
                      F.when(F.conv(F.substring(h, 9, 2), 16, 10).cast("int") % 2 == 0, F.lit(1.0))
                      .otherwise(F.lit(-1.0)).alias("s"))
     sums = b.groupBy(key, "bucket").agg(F.sum("s").alias("s")).where(F.col("s") != 0)
-    norms = sums.groupBy(key).agg(F.sqrt(F.sum(F.col("s") * F.col("s"))).alias("_norm"))
-    return sums.join(norms, key).select(key, "bucket", (F.col("s") / F.col("_norm")).alias("value"))
+    norm = F.sqrt(F.sum(F.col("s") * F.col("s")).over(Window.partitionBy(key)))     # at most dim rows a key
+    return sums.select(key, "bucket", (F.col("s") / norm).alias("value"))
 
 
 def dense_from_sparse(sparse: DataFrame, key: str, dim: int, index: str = "bucket",
