@@ -14,8 +14,10 @@
 
 No bucket is capped.  A pair is passed over only where it provably can't be
 linked: with ``u`` shingles that no other class of the candidates has, the
-union of two sets is at least their common part plus both ``u``.  Members with
-the fewest such shingles make the pivots.
+union of two sets is at least their common part plus both ``u``; two sets that
+share different numbers of shingles with the pivot differ by as many; and odd
+sketches of whole sets never differ in more bits than the sets in shingles.
+Members with the fewest such shingles make the pivots.
 
 Defined results: null and empty texts, and texts without words, have no
 shingles and are linked with nothing; neither are rows without an id, whose
@@ -39,7 +41,9 @@ BANDS, BAND_ROWS = 32, 5
 SAMPLES = BANDS * BAND_ROWS
 SKETCH_BITS = 512
 LINK = 85                 # percent of the union that must be common
+PARITY_BITS = 1024
 CHUNK = 1 << 17           # shingles hashed together
+CHUNK_ROWS = 1024         # and texts
 
 _FOLD = np.uint64(0x9E3779B97F4A7C15)
 _seeds = np.random.default_rng(20_240_501)
@@ -47,7 +51,7 @@ _FACTORS = _seeds.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) | np.uint64(1)
 _FLIPS = _seeds.integers(1, 1 << 63, SAMPLES, dtype=np.uint64) | np.uint64(1)
 
 SIGNATURE = "doc_id long, n_shingles long, set_key binary, bands array<long>, sketch array<long>"
-SETS = "doc_id long, shingles array<long>"
+SETS = "doc_id long, shingles array<long>, parity array<long>"
 
 
 def shingles(text: str | None) -> np.ndarray:
@@ -89,6 +93,16 @@ def signatures(sets: list) -> tuple[np.ndarray, np.ndarray]:
     return keys.view(np.int64), sketch
 
 
+def parity(shingle_set: np.ndarray) -> np.ndarray:
+    """Odd sketch of a whole set: each shingle flips one of PARITY_BITS bits.
+
+    Two sets differ in at least as many shingles as their sketches in bits.
+    """
+    bit = (shingle_set * _FLIPS[0]) >> np.uint64(64 - 10)
+    flips = np.bincount(bit.astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(flips.astype(np.uint8)).view(np.int64)
+
+
 def _lists(values: list, width: int | None = None):
     """Arrow list<int64> from arrays (or a matrix) and places without any."""
     sizes = [len(v) for v in values]
@@ -103,7 +117,7 @@ def _sign(batches):
         at = 0
         while at < len(texts):
             sets, total, first = [], 0, at
-            while at < len(texts) and (total < CHUNK):
+            while at < len(texts) and total < CHUNK and at - first < CHUNK_ROWS:
                 sets.append(shingles(texts[at].as_py()))
                 total += len(sets[-1])
                 at += 1
@@ -117,6 +131,7 @@ def _sign(batches):
                 ids.slice(first, at - first), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                 _lists(bands), _lists(sketch)], names=["doc_id", "n_shingles", "set_key", "bands", "sketch"])
+        pa.default_memory_pool().release_unused()
 
 
 def _shingle(batches):
@@ -125,12 +140,14 @@ def _shingle(batches):
         at = 0
         while at < len(texts):
             sets, total, first = [], 0, at
-            while at < len(texts) and total < 8 * CHUNK:
+            while at < len(texts) and total < 4 * CHUNK and at - first < CHUNK_ROWS:
                 sets.append(shingles(texts[at].as_py()))
                 total += len(sets[-1])
                 at += 1
-            yield pa.RecordBatch.from_arrays([ids.slice(first, at - first), _lists(sets)],
-                                             names=["doc_id", "shingles"])
+            yield pa.RecordBatch.from_arrays(
+                [ids.slice(first, at - first), _lists(sets), _lists([parity(s) for s in sets])],
+                names=["doc_id", "shingles", "parity"])
+        pa.default_memory_pool().release_unused()
 
 
 def sketch_distance(a: Column, b: Column) -> Column:
@@ -153,17 +170,23 @@ def _possible(n_a, u_a, n_b, u_b, link: int):
     return common * 100 >= (common + u_a + u_b) * link
 
 
+def _side(table: DataFrame, key: str, *cols: str) -> DataFrame:
+    return table.select(F.col("doc_id").alias(key), *[F.col(c).alias(f"{key}_{c}") for c in cols])
+
+
+def _common(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """pairs (a, b) with sizes and common shingles of their full sets."""
+    both = pairs.join(_side(sets, "a", "shingles"), "a").join(_side(sets, "b", "shingles"), "b")
+    return both.select("a", "b", F.size("a_shingles").alias("n_a"), F.size("b_shingles").alias("n_b"),
+                       F.size(F.array_intersect("a_shingles", "b_shingles")).alias("common"))
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, sketches: DataFrame, link: int) -> DataFrame:
     """The pairs (a, b) that are linked: sketches first, full sets decide."""
-    def side(table: DataFrame, key: str, *cols: str) -> DataFrame:
-        return table.select(F.col("doc_id").alias(key), *[F.col(c).alias(f"{key}_{c}") for c in cols])
-
-    near = (pairs.join(side(sketches, "a", "sketch"), "a").join(side(sketches, "b", "sketch"), "b")
+    near = (pairs.join(_side(sketches, "a", "sketch"), "a").join(_side(sketches, "b", "sketch"), "b")
             .where(sketch_distance(F.col("a_sketch"), F.col("b_sketch")) <= sketch_limit(link)).select("a", "b"))
-    both = near.join(side(sets, "a", "shingles"), "a").join(side(sets, "b", "shingles"), "b")
-    common = F.size(F.array_intersect("a_shingles", "b_shingles"))
-    union = F.size("a_shingles") + F.size("b_shingles") - F.col("common")
-    return both.withColumn("common", common).where(F.col("common") * 100 >= union * link).select("a", "b")
+    return (_common(near, sets).where("common * 100 >= (n_a + n_b - common) * %d" % link)
+            .select("a", "b").distinct())
 
 
 def classes(docs: DataFrame, link: int = LINK) -> DataFrame:
@@ -210,10 +233,25 @@ def classes(docs: DataFrame, link: int = LINK) -> DataFrame:
     main = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("m"), F.count(F.lit(1)).alias("labels")) \
         .where("labels > 1").select("key", F.col("m.label").alias("main"))
     split = stored(members.join(main, "key"), "split")
-    left = split.where("label != main AND doc_id != pivot").select(
-        "key", *[F.col(c).alias(f"{c}_x") for c in ("doc_id", "n", "u", "label")])
-    rest = (left.join(split.where("doc_id != pivot"), "key")
-            .where((F.col("label_x") != F.col("label"))
+    # what members share with the pivot; unknown for ids with several sets
+    shared_with_pivot = (
+        _common(split.select(F.col("pivot").alias("a"), F.col("doc_id").alias("b")).distinct(), sets)
+        .groupBy("a", "b").agg(F.when(F.count(F.lit(1)) == 1, F.min("common")).alias("c"))
+        .select(F.col("a").alias("pivot"), F.col("b").alias("doc_id"), "c"))
+    sketched = sets.groupBy("doc_id").agg(F.when(F.count(F.lit(1)) == 1, F.min("parity")).alias("parity"))
+    split = stored(split.join(shared_with_pivot, ["pivot", "doc_id"]).where("doc_id != pivot")
+                   .join(sketched, "doc_id"), "split")
+    left = split.where("label != main").select(
+        "key", *[F.col(c).alias(f"{c}_x") for c in ("doc_id", "n", "u", "label", "c", "parity")])
+    # A linked pair differs in at most this share of its sizes.  It differs in
+    # the shingles that one alone has, in those of the pivot that one lacks, and
+    # in at least as many as the parity sketches of the whole sets.
+    room = (F.col("n_x") + F.col("n")) * (100 - link)
+    differs = F.col("u_x") + F.col("u") + F.coalesce(F.abs(F.col("c_x") - F.col("c")), F.lit(0))
+    near = (differs * (100 + link) <= room) & F.coalesce(
+        sketch_distance(F.col("parity_x"), F.col("parity")) * (100 + link) <= room, F.lit(True))
+    rest = (left.join(split, "key")
+            .where((F.col("label_x") != F.col("label")) & near
                    & ((F.col("label") == F.col("main")) | (F.col("doc_id_x") < F.col("doc_id")))
                    & _possible(F.col("n_x"), F.col("u_x"), F.col("n"), F.col("u"), link))
             .select(F.least("doc_id_x", "doc_id").alias("a"), F.greatest("doc_id_x", "doc_id").alias("b")).distinct())
