@@ -78,9 +78,12 @@ def likeness(a: Column, b: Column) -> Column:
     return let(hashes(a), lambda x: let(hashes(b), lambda y: of(x, y)))
 
 
-def with_next(docs: DataFrame, columns: list) -> DataFrame:
+def with_next(docs: DataFrame, columns: list, derived: dict | None = None) -> DataFrame:
     """Adds ``next``: a struct of ``columns`` of the row after, by doc_id.
 
+    ``derived`` columns (name: expression) are added on the way, after the
+    copies are chosen, so that they are computed once for each row.
+
     Rows are ordered inside ranges of ids.  The first row of a range is also
     put at the end of the range before (and the first of all at the end of the
     last), so each range knows the row after its own; those copies are dropped
@@ -101,6 +104,7 @@ def with_next(docs: DataFrame, columns: list) -> DataFrame:
                         F.col("doc_id").eqNullSafe(F.col("_head")))
               .select(*docs.columns, "_b", F.lit(True).alias("_copy")))
     rows = docs.select(*docs.columns, bucket.alias("_b"), F.lit(False).alias("_copy")).unionByName(copies)
+    rows = rows.withColumns(derived) if derived else rows
     order = Window.partitionBy("_b").orderBy("_copy", F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text")
     return (rows.withColumn("next", F.lead(F.struct(*columns)).over(order))
             .where(~F.col("_copy")).drop("_b", "_copy"))
@@ -113,7 +117,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     as many of the next document.
     """
     own = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    paired = with_next(own.withColumn("fp", fingerprint(F.col("text"))), ["text", "fp"])
+    paired = with_next(own, ["text", "fp"], {"fp": fingerprint(F.col("text"))})
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), n - half), F.substring(F.col("next.text"), F.lit(1), half))
