@@ -30,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import let
+from .common import let, stored
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
@@ -114,7 +114,7 @@ def train(docs: DataFrame, text: str = "text", most: int = SAMPLE) -> tuple[list
     smoothed lightly.
     """
     size = len(ALPHABET)
-    labelled = samples(docs, text, most)
+    labelled = stored(samples(docs, text, most), "identifiers")
     pairs = labelled.select("random", _characters(F.col("token")).alias("c")).select(
         "random", F.explode(F.zip_with("c", F.slice("c", 2, F.size("c")), lambda a, b: a * size + b)).alias("pair"))
     counts = {True: [0.0] * size * size, False: [0.0] * size * size}
