@@ -33,8 +33,9 @@ from pyspark.sql import types as T
 DEFAULT_VOCABULARY = "piece_bpe_32k.model"
 MARKER = "▁"
 UNKNOWN_PENALTY = 10.0      # below the least score of a piece
-SLICE = 1 << 22             # bytes of text encoded together
-CACHED = 400_000            # units kept by a task
+SLICE = 1 << 20             # bytes of text encoded together
+CACHED = 150_000            # units kept by a task
+TOGETHER = 8_000            # units searched together
 LONG = 96                   # bytes from which a unit is searched alone
 _UNIT = re.compile(rb" *[^ ]+| +")
 
@@ -261,8 +262,8 @@ class Encoder:
             self._forget()
         short = sorted((u for u in units if len(u) < LONG), key=len)
         parts, counts, order = [], [], []
-        for at in range(0, len(short), 20_000):
-            some = short[at:at + 20_000]
+        for at in range(0, len(short), TOGETHER):
+            some = short[at:at + TOGETHER]
             ids, n = search(self.model, some)
             parts.append(ids)
             counts.append(n)
@@ -355,8 +356,8 @@ def decode(encoded: DataFrame, model: dict, ids: str = "ids", out: str = "decode
     """Adds ``out``: the text of the ids."""
     def run(batches):
         for batch in batches:
-            for at in range(0, len(batch), 1024):
-                part = batch.slice(at, 1024)
+            for at in range(0, len(batch), 256):
+                part = batch.slice(at, 256)
                 lists = part.column(part.schema.get_field_index(ids))
                 counts = np.diff(lists.offsets.to_numpy())
                 data, bounds = join_pieces(model, lists.flatten().to_numpy(), np.where(lists.is_valid(), counts, 0))
