@@ -160,5 +160,13 @@ def judge(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
-    """The rows that pass, with the columns of ``docs`` only."""
-    return judge(docs, text, rules).where("kept").select(*docs.columns)
+    """The rows that pass, with the columns of ``docs`` only.
+
+    The verdict is one expression in which the counts are bound once; a filter
+    on the columns of :func:`judge` would be pushed below them and compute the
+    counts again for every use.
+    """
+    def verdict(m: Column) -> Column:
+        base, failed = compile_rules(m, rules)
+        return ~base & (F.size(failed) == 0)
+    return docs.where(let(_measures(F.coalesce(F.col(text), F.lit(""))), verdict))
