@@ -35,12 +35,12 @@ m AS (
 f AS (
   SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
     concat_ws(',',
-      CASE WHEN word_chars / n_words < 2.0 OR word_chars / n_words > 20.0 THEN 'word_length' END,
-      CASE WHEN n_symbols / n_words > 0.25 THEN 'symbols' END,
-      CASE WHEN n_exclamations / n_words > 0.5 THEN 'exclamations' END,
-      CASE WHEN n_letter_words / n_words < 0.6 THEN 'letters' END,
-      CASE WHEN n_stop_words / n_words < 0.005 THEN 'stop_words' END,
-      CASE WHEN n_dup_lines / n_lines > 0.5 THEN 'repeated_lines' END) AS failed_rules
+      CASE WHEN word_chars / nullif(n_words, 0) < 2.0 OR word_chars / nullif(n_words, 0) > 20.0 THEN 'word_length' END,
+      CASE WHEN n_symbols / nullif(n_words, 0) > 0.25 THEN 'symbols' END,
+      CASE WHEN n_exclamations / nullif(n_words, 0) > 0.5 THEN 'exclamations' END,
+      CASE WHEN n_letter_words / nullif(n_words, 0) < 0.6 THEN 'letters' END,
+      CASE WHEN n_stop_words / nullif(n_words, 0) < 0.005 THEN 'stop_words' END,
+      CASE WHEN n_dup_lines / nullif(n_lines, 0) > 0.5 THEN 'repeated_lines' END) AS failed_rules
   FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND failed_rules = '' AS kept, failed_rules

@@ -83,7 +83,7 @@ def same_as_sql(spark, path, files):
     assert cols == sorted(want.columns)
     key = ["doc_id", "n_words"]
     a, b = (d[cols].sort_values(key).reset_index(drop=True).astype(str) for d in (got, want))
-    assert a.equals(b)
+    assert a.equals(b), (a[(a != b).any(axis=1)].to_dict('records'), b[(a != b).any(axis=1)].to_dict('records'))
     return got
 
 
