@@ -4,12 +4,16 @@ Two first-order models over the characters of identifiers are trained from
 labelled samples of the corpus itself: values that the base patterns find
 (random strings) and other long identifiers (ordinary ones).  A candidate run
 of characters is a secret if its mean log-likelihood ratio per transition is
-above a threshold that lies between the two training samples.  The base
-patterns' own matches are always kept.
+above a threshold.  The base patterns' own matches are always kept.
 
-The sample is bounded: the ``SAMPLE`` distinct identifiers of each label with
-the least hashes, out of all documents.  What reaches the driver is a count
-for each pair of characters.
+The documents that are scanned are also trained on, so identifiers without a
+label may be secrets themselves.  A candidate is therefore judged without its
+own transitions, and the threshold comes from the lower half of the ordinary
+ratios: ``SPREADS`` times the distance from their 10 % quantile to the median,
+above the median, which a minority of secrets hardly moves.
+
+All distinct identifiers are used.  What reaches the driver is a count for
+each pair of characters and two quantiles.
 
 Offsets are code points.  They come from the lengths of the matches and of
 the pieces between them, summed by doubling steps, so a text with very many
@@ -40,7 +44,9 @@ HEX = r"[0-9a-f]{16,}"
 CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
 IDENTIFIER = r"[A-Za-z0-9+/_-]{12,}={0,2}"
 
-SAMPLE = 20_000
+EVEN = 0.8                # share of the even model in that of random strings
+SMOOTH = 0.05             # of a pair that no ordinary identifier has
+SPREADS = 5.5             # threshold: so many times 10 % to median above the median
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _NONE = "array<struct<start:int,kind:int,end:int>>"
 
@@ -79,19 +85,45 @@ def _characters(token: Column) -> Column:
     return F.transform(F.filter(F.split(token, ""), lambda c: c != ""), lambda c: F.get(codes, F.ascii(c)))
 
 
-def _ratio(table: Column, token: Column) -> Column:
-    """Mean log-likelihood ratio of the transitions of a token."""
+def _pairs(token: Column) -> Column:
+    """Transitions of a token as sorted numbers; those outside the alphabet are left out."""
+    size = len(ALPHABET)
+    return F.array_sort(F.filter(let(_characters(token), lambda c: F.zip_with(
+        F.slice(c, 1, F.greatest(F.size(c) - 1, F.lit(0))), F.slice(c, 2, F.size(c)),
+        lambda a, b: F.when((a >= 0) & (b >= 0), a * size + b))), lambda x: x.isNotNull()))
+
+
+def _ratio(model: tuple, token: Column) -> Column:
+    """Mean log-likelihood ratio of the transitions of a token.
+
+    The token's own transitions don't count as ordinary ones, else a key in the
+    training text would vouch for itself.  Equal transitions are next to each
+    other, so the work is one sort.
+    """
     size = len(ALPHABET)
+    log_rand, plain, rows = (_table(t) for t in model[:3])
+
+    def mean(pairs: Column) -> Column:
+        first = F.filter(F.transform(pairs, lambda x, i: F.when((i == 0) | (x != F.get(pairs, i - 1)), i)),
+                         lambda i: i.isNotNull())
+
+        counted = let(first, lambda f: F.transform(f, lambda i, j: F.struct(
+            F.get(pairs, i).alias("x"), (F.coalesce(F.get(f, j + 1), F.size(pairs)) - i).alias("own"))))
 
-    def mean(codes: Column) -> Column:
-        steps = F.zip_with(codes, F.slice(codes, 2, F.size(codes)), lambda a, b: F.get(table, a * size + b))
-        total = F.aggregate(steps, F.lit(0.0), lambda acc, x: acc + F.coalesce(x, F.lit(0.0)))
-        return F.when(F.size(codes) > 1, total / (F.size(codes) - 1)).otherwise(F.lit(0.0))
-    return let(_characters(token), mean)
+        def total(counted: Column) -> Column:
+            def part(c: Column, trained: Column) -> Column:
+                less = F.when(trained, c["own"]).otherwise(F.lit(0))
+                q = (F.get(plain, c["x"]) - less + SMOOTH) / (
+                    F.get(rows, F.floor(c["x"] / size).cast("int")) - less + SMOOTH * size)
+                return c["own"] * (F.get(log_rand, c["x"]) - F.log(q))
+            return let(F.forall(counted, lambda c: F.get(plain, c["x"]) >= c["own"]), lambda trained: F.aggregate(
+                F.transform(counted, lambda c: part(c, trained)), F.lit(0.0), lambda acc, x: acc + x))
+        return F.when(F.size(pairs) > 0, let(counted, total) / F.size(pairs)).otherwise(F.lit(0.0))
+    return let(_pairs(token), mean)
 
 
-def samples(docs: DataFrame, text: str = "text", most: int = SAMPLE) -> DataFrame:
-    """Labelled identifiers (token, random): bounded, distinct, from all rows."""
+def labelled(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Distinct identifiers of all rows with their labels (token, random)."""
     body = F.coalesce(F.col(text), F.lit(""))
     values = F.filter(F.regexp_extract_all(body, F.lit(ASSIGN), F.lit(1)), lambda v: F.length(v) >= 12)
     tokens = docs.select(values.alias("v"), F.regexp_extract_all(body, F.lit(IDENTIFIER), F.lit(0)).alias("t")) \
@@ -99,48 +131,42 @@ def samples(docs: DataFrame, text: str = "text", most: int = SAMPLE) -> DataFram
             F.transform("v", lambda x: F.struct(x.alias("token"), F.lit(True).alias("valued"))),
             F.transform("t", lambda x: F.struct(x.alias("token"), F.lit(False).alias("valued"))))).alias("x")) \
         .select("x.token", "x.valued")
-    labelled = tokens.groupBy("token").agg(F.max("valued").alias("valued")).select(
+    return tokens.groupBy("token").agg(F.max("valued").alias("valued")).select(
         "token", (F.col("valued") | F.rlike("token", F.lit(HEX)) | F.rlike("token", F.lit(ACCESS))).alias("random"))
-    least = [F.xxhash64("token"), F.col("token")]
-    return labelled.where("random").orderBy(*least).limit(most).unionByName(
-        labelled.where("NOT random").orderBy(*least).limit(most))
 
 
-def train(docs: DataFrame, text: str = "text", most: int = SAMPLE) -> tuple[list, float] | None:
-    """(table of log ratios by pair of characters, threshold), or None.
+def train(docs: DataFrame, text: str = "text") -> tuple | None:
+    """(log probabilities of random pairs, counts of ordinary pairs, their sums
+    by first character, threshold), or None.
 
-    The model of random strings is mixed with an even one over the alphabet,
+    The model of random strings is mixed mostly with an even one over the alphabet,
     since any character may follow any other in a key; the ordinary model is
     smoothed lightly.
     """
     size = len(ALPHABET)
-    labelled = stored(samples(docs, text, most), "identifiers")
-    pairs = labelled.select("random", _characters(F.col("token")).alias("c")).select(
-        "random", F.explode(F.zip_with("c", F.slice("c", 2, F.size("c")), lambda a, b: a * size + b)).alias("pair"))
+    tokens = stored(labelled(docs, text), "identifiers")
     counts = {True: [0.0] * size * size, False: [0.0] * size * size}
-    for r in pairs.where("pair IS NOT NULL").groupBy("random", "pair").count().collect():   # 2 * 67^2 at most
+    pairs = tokens.select("random", F.explode(_pairs(F.col("token"))).alias("pair"))
+    for r in pairs.groupBy("random", "pair").count().collect():   # 2 * 67^2 at most
         counts[r["random"]][r["pair"]] = float(r["count"])
     if not any(counts[True]) or not any(counts[False]):
         return None
-    table = []
+    log_rand, rows = [], []
     for a in range(size):
         rand, plain = (counts[k][a * size:(a + 1) * size] for k in (True, False))
-        n_rand, n_plain = sum(rand), sum(plain)
-        for b in range(size):
-            p = 0.5 * (rand[b] + 1.0) / (n_rand + size) + 0.5 / size
-            q = (plain[b] + 0.05) / (n_plain + 0.05 * size)
-            table.append(round(math.log(p / q), 6))
-    scored = labelled.select("random", _ratio(_table(table), F.col("token")).alias("r"))
-    t = scored.agg(F.max(F.when(~F.col("random"), F.col("r"))).alias("plain"),
-                   F.percentile_approx(F.when(F.col("random"), F.col("r")), 0.05, F.lit(10_000)).alias("rand")).first()
-    return table, max(0.0, (t["plain"] + t["rand"]) / 2 if t["rand"] > t["plain"] else t["plain"])
+        rows.append(sum(plain))
+        log_rand += [round(math.log((1 - EVEN) * (r + 1.0) / (sum(rand) + size) + EVEN / size), 6) for r in rand]
+    model = (log_rand, counts[False], rows)
+    low, middle = (tokens.where("NOT random").select(_ratio(model, F.col("token")).alias("r"))
+                   .agg(F.percentile_approx("r", [0.1, 0.5], F.lit(10_000))).first()[0])
+    return *model, middle + SPREADS * (middle - low)
 
 
 def _table(table: list) -> Column:
     return F.from_json(F.lit(json.dumps(table)), "array<double>")
 
 
-def scan(docs: DataFrame, model: tuple[list, float] | None, text: str = "text") -> DataFrame:
+def scan(docs: DataFrame, model: tuple | None, text: str = "text") -> DataFrame:
     """Adds ``spans``: array of (start, kind, end) by start, then kind; kind is
     an index into ``KINDS``."""
     body = F.coalesce(F.col(text), F.lit(""))
@@ -150,8 +176,7 @@ def scan(docs: DataFrame, model: tuple[list, float] | None, text: str = "text")
         _spans(body, HEX, 2),
     ]
     if model is not None:
-        table, threshold = model
-        found.append(_spans(body, CANDIDATE, 3, lambda m: _ratio(_table(table), m) > threshold))
+        found.append(_spans(body, CANDIDATE, 3, lambda m: _ratio(model, m) > model[3]))
     return docs.withColumn("spans", F.sort_array(F.concat(*found)))
 
 
@@ -161,7 +186,7 @@ def as_string(spans: Column) -> Column:
         ":", F.get(kinds, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact(docs: DataFrame, model: tuple[list, float] | None, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
+def redact(docs: DataFrame, model: tuple | None, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """Texts with every span, or group of overlapping spans, replaced by ``mark``."""
     found = scan(docs, model, text)
     body = F.col(text)

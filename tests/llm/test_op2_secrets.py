@@ -1,5 +1,7 @@
 import hashlib
+import random
 import re
+import string
 
 from pyspark.sql import functions as F
 
@@ -90,3 +92,32 @@ def test_redaction_replaces_exactly_the_spans(spark):
                 want += text[at:s] + "[SECRET]"
             at = max(at, e)
         assert out[d] == (want + text[at:] if text is not None else None)
+
+
+def unkeyed(n, seed=3):
+    rng = random.Random(seed)
+    return ["".join(rng.choice(string.ascii_letters + string.digits) for _ in range(32)) for _ in range(n)]
+
+
+def test_unlabelled_keys_in_the_trained_table_are_found(spark, tmp_path):
+    for name, large in (("sf0.001", False), ("sf0.1", True)):      # few identifiers, and over 20,000
+        docs = spark.read.parquet(f"/root/testdata/{name}/documents.parquet").select("doc_id", "text")
+        keys = [k for k in unkeyed(30) if not re.search(sc.HEX, k)]
+        rows = spark.createDataFrame([(10**12 + i, f"see {k} here") for i, k in enumerate(keys)], docs.schema)
+        if large:
+            found = sc.scan(rows, sc.train(docs.union(rows)))
+        else:
+            path = str(tmp_path / name)
+            docs.union(rows).write.parquet(f"{path}/documents.parquet")
+            found = QUERIES["op2_markov_secrets"](spark, path).where(f"doc_id >= {10**12}").select(
+                F.when(F.col("spans") == "random:4:36", F.array(F.struct(F.lit(3).alias("kind"))))
+                .otherwise(F.array().cast("array<struct<kind:int>>")).alias("spans"))
+        assert [[s["kind"] for s in r["spans"]] for r in found.collect()] == [[3]] * len(keys), name
+
+
+def test_long_run_is_scored_without_itself(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text")
+    long = "".join(unkeyed(3000))
+    docs = docs.union(spark.createDataFrame([(f"see {long} here",)], "text string"))
+    (row,) = sc.scan(docs, sc.train(docs)).where("length(text) > 90000").collect()
+    assert (3, 4, 4 + len(long)) in [(s["kind"], s["start"], s["end"]) for s in row["spans"]]
