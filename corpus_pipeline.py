@@ -20,6 +20,9 @@ from latentforge.llm import near_dedup, packing, quality_rules, secrets, suffix_
 from latentforge.session import ensure_checkpoint_dir, ship_package  # noqa: E402
 
 
+LINK = 80                 # percent of the union of two documents' shingles that makes them near duplicates
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
     return quality_rules.keep_good(docs)
@@ -28,7 +31,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near duplicates."""
     ship_package(spark)
-    return near_dedup.dedup(docs)
+    return near_dedup.dedup(docs, link=LINK)
 
 
 def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

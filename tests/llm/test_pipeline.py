@@ -90,3 +90,20 @@ def test_empty_and_null_documents(spark, tmp_path):
             (None, good + " token = abcdefabcdefabcdef", None, None, 9)]
     spark.createDataFrame(rows, schema).write.parquet(f"{path}/documents.parquet")
     assert cp.run(spark, path).count() > 0
+
+
+def test_near_duplicates_from_four_fifths_on(spark):
+    def text(group, own, n):
+        return " ".join([f"g{group}w{i}" for i in range(104)] + [f"g{group}{own}{i}" for i in range(n)])
+    rows = [(1, text(1, "a", 10)), (2, text(1, "b", 10)),        # 100 common of 120 shingles
+            (3, text(2, "a", 12)), (4, text(2, "b", 13)),        # 100 of 125
+            (5, text(3, "a", 13)), (6, text(3, "b", 13))]        # 100 of 126
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in cp.near_duplicates(spark, docs, "").collect()) == [1, 3, 5, 6]
+    assert {d for d, (_, _, first) in near_brute(rows, 80).items() if first} == {1, 3, 5, 6}
+
+
+def test_near_duplicates_of_the_table_against_brute_force(staged):
+    before, after = texts(staged[1]), texts(staged[2])
+    firsts = {d for d, (_, _, first) in near_brute(list(before.items()), 80).items() if first}
+    assert after == {d: x for d, x in before.items() if d in firsts}
