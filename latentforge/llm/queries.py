@@ -11,7 +11,8 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import near_dedup, packing, pii, quality_rules, secrets, sentencepiece_unigram, sharding, suffix_dedup, toxicity, winnowing
+from . import (hard_negatives, near_dedup, packing, pii, quality_rules, secrets, sentencepiece_unigram, sharding,
+               suffix_dedup, toxicity, winnowing)
 from .common import documents
 
 
@@ -100,6 +101,11 @@ def op10_boosted_pii(spark, sf_dir):
         pii.as_string(F.col("spans")).alias("spans"), count(4).alias("n_other"))
 
 
+def op11_hard_negatives(spark, sf_dir):
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "label", "embedding")
+    return hard_negatives.mine(rows, F.col("id") % 50 == 0).drop("positive_rank")
+
+
 QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_markov_secrets": op2_markov_secrets,
@@ -111,4 +117,5 @@ QUERIES = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_compression_distance": op9_compression_distance,
     "op10_boosted_pii": op10_boosted_pii,
+    "op11_hard_negatives": op11_hard_negatives,
 }
