@@ -123,5 +123,78 @@ WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * po
 QUALIFY rank <= 3
 """
 
+_FIELD = "coalesce(CAST(strlen(CAST({0} AS VARCHAR)) AS VARCHAR) || ':' || CAST({0} AS VARCHAR), '-')"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+# CRC-32 of the decimal id, bit by bit
+_CRC = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ord(c) AS BIGINT))),
+  lambda c, b: list_reduce(list_prepend(xor(c, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])),
+    lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS BIGINT)) ELSE x >> 1 END)),
+  CAST(4294967295 AS BIGINT))"""
+
+OP12 = f"""
+WITH RECURSIVE l AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+         count(*) OVER (PARTITION BY lang) AS n
+  FROM (SELECT doc_id, lang, {_leaf("n_chars")} AS leaf,
+               CASE WHEN {_CRC} % 7 = 0 THEN {_leaf("(n_chars + 1)")} ELSE {_leaf("n_chars")} END AS claim
+        FROM documents)),
+t(tree, level, idx, h, n) AS (
+  SELECT coalesce('=' || lang, ''), 0, pos, leaf, n FROM l
+  UNION ALL
+  SELECT tree, level + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (n + 1) // 2
+  FROM t WHERE n > 1 GROUP BY tree, level, idx // 2, n),
+r AS (
+  SELECT tree, h AS subroot, row_number() OVER (ORDER BY encode(tree)) - 1 AS place, count(*) OVER () AS n
+  FROM t WHERE n = 1),
+u(level, idx, h, n) AS (
+  SELECT 0, place, subroot, n FROM r
+  UNION ALL
+  SELECT level + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (n + 1) // 2
+  FROM u WHERE n > 1 GROUP BY level, idx // 2, n),
+steps AS (
+  SELECT l.pos AS pos, l.lang AS lang, 0 AS part, t.level, CASE WHEN s.h IS NULL THEN 'N' WHEN t.idx % 2 = 1 THEN 'L' || s.h
+         ELSE 'R' || s.h END AS step
+  FROM l JOIN t ON t.tree = coalesce('=' || l.lang, '') AND t.idx = l.pos >> t.level AND t.n > 1
+  LEFT JOIN t s ON s.tree = t.tree AND s.level = t.level AND s.idx = xor(t.idx, 1)
+  UNION ALL
+  SELECT l.pos, l.lang, 1, u.level, CASE WHEN s.h IS NULL THEN 'N' WHEN u.idx % 2 = 1 THEN 'L' || s.h ELSE 'R' || s.h END
+  FROM l JOIN r ON r.tree = coalesce('=' || l.lang, '') JOIN u ON u.idx = r.place >> u.level AND u.n > 1
+  LEFT JOIN u s ON s.level = u.level AND s.idx = xor(u.idx, 1)),
+p AS (SELECT pos, lang, list(step ORDER BY part, level) AS path FROM steps GROUP BY pos, lang),
+f AS (
+  SELECT l.doc_id, l.leaf, r.subroot, (SELECT h FROM u WHERE n = 1) AS root,
+         sha256(array_to_string(list_transform(coalesce(path, []), lambda x: x[2:]), '')) AS proof_sha256,
+         list_reduce(list_prepend(l.claim, coalesce(path, [])), lambda h, x: sha256(
+           CASE x[1] WHEN 'L' THEN x[2:] || h WHEN 'R' THEN h || x[2:] ELSE h END)) AS folded_root
+  FROM l JOIN r ON r.tree = coalesce('=' || l.lang, '')
+  LEFT JOIN p ON p.pos = l.pos AND p.lang IS NOT DISTINCT FROM l.lang)
+SELECT *, folded_root = root AS verified FROM f
+"""
+
+OP13 = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda c: CAST(c AS DOUBLE)) AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.9),
+r(id, seen) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION
+  SELECT r.id, l.b FROM r JOIN l ON l.a = r.seen),
+n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, min(seen) AS component_id, vec_id = min(seen) AS kept
+FROM r JOIN embeddings ON id = vec_id LEFT JOIN n USING (vec_id) GROUP BY vec_id, n
+"""
+
 ORACLES = {"op4_prefix_free_parsing": OP4, "op3_odd_sketches": OP3, "op6_quality_rules": OP6,
-           "op11_hard_negatives": OP11}
+           "op11_hard_negatives": OP11, "op12_octopus_manifest": OP12,
+           "op13_spherical_caps": OP13}

@@ -11,9 +11,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..session import ensure_checkpoint_dir
-from . import (hard_negatives, near_dedup, packing, pii, quality_rules, secrets, sentencepiece_unigram, sharding,
-               suffix_dedup, toxicity, winnowing)
-from .common import documents
+from . import (hard_negatives, merkle, near_dedup, packing, pii, quality_rules, secrets, sentencepiece_unigram,
+               sharding, spherical_caps, suffix_dedup, toxicity, winnowing)
+from .common import documents, stored
 
 
 def op1_winnowing(spark, sf_dir):
@@ -106,6 +106,21 @@ def op11_hard_negatives(spark, sf_dir):
     return hard_negatives.mine(rows, F.col("id") % 50 == 0).drop("positive_rank")
 
 
+def op12_octopus_manifest(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*merkle.FIELDS)
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    tampered = {"n_chars": F.when(hit, F.try_add("n_chars", F.lit(1))).otherwise(F.col("n_chars"))}
+    placed = stored(merkle.leaves(docs, claim=tampered), "leaves")
+    rows = merkle.prove(placed, *merkle.manifest(placed)).withColumn("folded_root", merkle.fold(F.col("claim")))
+    return rows.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join("proof", ""), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_spherical_caps(spark, sf_dir):
+    return spherical_caps.link_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet").select("vec_id", "embedding"))
+
+
 QUERIES = {
     "op1_winnowing": op1_winnowing,
     "op2_markov_secrets": op2_markov_secrets,
@@ -118,4 +133,6 @@ QUERIES = {
     "op9_compression_distance": op9_compression_distance,
     "op10_boosted_pii": op10_boosted_pii,
     "op11_hard_negatives": op11_hard_negatives,
+    "op12_octopus_manifest": op12_octopus_manifest,
+    "op13_spherical_caps": op13_spherical_caps,
 }
