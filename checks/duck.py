@@ -137,3 +137,31 @@ def normal(seed, key: str, i: str) -> str:
 
 def randint(seed, key: str, upper: int) -> str:
     return f"CAST(floor({uniform(seed, key)} * {upper}) AS INTEGER)"
+
+
+def permuted(pos: str, n: str, seed) -> str:
+    """Twin of ``rand.permuted``: a Feistel network over an a x b rectangle,
+    walked until the result is below n."""
+    from latentforge.functions.rand import PRIME, WALK, round_keys
+
+    a = f"CAST(ceil(sqrt(CAST({n} AS DOUBLE))) AS BIGINT)"
+    b = f"(({n} + {a} - 1) // {a})"
+    keys = f"CAST({round_keys(seed)} AS BIGINT[][])"
+
+    def mixed(x: str, k: int) -> str:
+        one, two = (f"(({x} * k[{k + 2 * j}] + k[{k + 2 * j + 1}]) % {PRIME})" for j in (0, 1))
+        return f"({one} * {two} % {PRIME})"
+
+    def once(y: str) -> str:
+        left = f"((s[1] + {mixed('s[2]', 1)}) % {a})"
+        turn = f"[{left}, (s[2] + {mixed(left, 5)}) % {b}]"
+        return (f"list_transform([list_reduce(list_prepend([{y} // {b}, {y} % {b}], {keys}), lambda s, k: {turn})], "
+                f"lambda r: r[1] * {b} + r[2])[1]")
+    return (f"list_reduce(list_prepend({once(pos)}, CAST({[0] * WALK} AS BIGINT[])), "
+            f"lambda y, z: CASE WHEN y < {n} THEN y ELSE {once('y')} END)")
+
+
+def shuffled(src: str, seed, key: str = "id", out: str = "perm") -> str:
+    """(key, out, n): the permuted position of each row of ``src``."""
+    return (f"SELECT {key}, {permuted('idx', 'n', seed)} AS {out}, n FROM (SELECT {key}, row_number() OVER "
+            f"(ORDER BY {key}) - 1 AS idx, count(*) OVER () AS n FROM {src})")

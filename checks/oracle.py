@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from latentforge.functions import lexicon as lx
-from latentforge.operators.diffusion import _grid_with_abar, schedule_params
+from latentforge.operators.diffusion import schedule_params
 
 from . import duck as D
 
@@ -67,8 +67,7 @@ def batch_totals(batch: int):
 
 def sampler_sql():
     return ("WITH d AS (" + D.VIEWS["dataset"] + "), "
-            f"p AS (SELECT id, row_number() OVER (ORDER BY {D.md5_of(1, 'id')}, id) - 1 AS perm, "
-            "count(*) OVER () AS n FROM d), "
+            f"p AS ({D.shuffled('d', 1)}), "
             "s AS (SELECT id, perm, CAST(perm % 4 AS INTEGER) AS rank, perm // 4 AS local FROM p "
             "WHERE perm < (n // 4) * 4) ")
 
@@ -273,7 +272,7 @@ def oracle() -> dict:
                       "FROM captions GROUP BY image_id", "captions"),
         "sample_n": V(f"SELECT id FROM dataset ORDER BY {D.md5_of(3, 'id')}, id LIMIT 50", "dataset"),
         "sample_by_hash": V(f"SELECT pos FROM results WHERE {D.uniform(5, 'pos')} < 0.1", "results"),
-        "epoch_shuffle": V(f"SELECT id, row_number() OVER (ORDER BY {D.md5_of(13, 'id')}, id) - 1 AS pos FROM dataset",
+        "epoch_shuffle": V(f"SELECT id, pos FROM ({D.shuffled('dataset', 13, out='pos')})",
                            "dataset"),
         # ---- B
         "chunks_floor": V(f"SELECT id, CAST(pos // CASE WHEN n // 7 = 0 THEN n ELSE n // 7 END AS BIGINT) AS chunk "
@@ -455,8 +454,7 @@ def oracle_more() -> dict:
         + D.normal("0e1", "b.id", "e.i") + "), 6) AS noisy_sum, round(sum(" + D.normal("0e1", "b.id", "e.i")
         + "), 6) AS target_sum FROM b JOIN e ON b.id = e.id GROUP BY b.id, b.rank, b.batch, b.t",
         "latents", extra={**{"sched": schedule_cte()},
-                          "p": (f"SELECT id, row_number() OVER (ORDER BY {D.md5_of(1, 'id')}, id) - 1 AS perm, "
-                                "count(*) OVER () AS n FROM latents"),
+                          "p": D.shuffled("latents", 1),
                           "s": ("SELECT id, CAST(perm % 4 AS INTEGER) AS rank, perm // 4 AS local FROM p "
                                 "WHERE perm < (n // 4) * 4"),
                           "r": "SELECT rank, count(*) AS rn FROM s GROUP BY rank",
@@ -476,6 +474,15 @@ def oracle_more() -> dict:
         "AS pixels FROM s3", "dataset", extra=ctes)
     out["prepare_images_numpy"] = out["prepare_images"]
     out["load_images"] = out["read_images"]
+    out["generate_files"] = out["generate"]
+    out["read_annotations_document"] = out["read_annotations"]
+    out["read_annotations_document_images"] = out["read_annotations_images"]
+    out["lazy_model"] = V("SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(1 AS BIGINT) AS loads_per_worker FROM results",
+                          "results")
+    out["resume_partial"] = V(
+        "SELECT status, count(*) AS n, round(coalesce(sum(result), 0.0), 3) AS total FROM (SELECT CASE WHEN value > 40 "
+        "THEN 'error' ELSE 'success' END AS status, CASE WHEN value <= 40 THEN value * 2.0 END AS result FROM results) "
+        "GROUP BY status", "results")
     g_ctes, g_final = denoise_sql(steps=4, prev="grid")
     out["denoise_prev_grid"] = V(g_final, "latents", extra=g_ctes)
     out["ema_default_decay"] = (
@@ -485,8 +492,7 @@ def oracle_more() -> dict:
         "event_id) - 1 AS i, count(*) OVER (PARTITION BY user_id) AS n FROM events) GROUP BY user_id")
     out["epoch_sampler_padded"] = (
         "WITH d AS (" + D.VIEWS["dataset"] + "), "
-        f"p AS (SELECT id, row_number() OVER (ORDER BY {D.md5_of(3, 'id')}, id) - 1 AS perm, "
-        "count(*) OVER () AS n FROM d), "
+        f"p AS ({D.shuffled('d', 3)}), "
         "a AS (SELECT id, perm FROM p UNION ALL SELECT id, perm + n AS perm FROM p "
         "WHERE perm < CAST(ceil(n / 3) AS BIGINT) * 3 - n) "
         "SELECT id, perm, CAST(perm % 3 AS INTEGER) AS rank, perm // 3 AS local FROM a")

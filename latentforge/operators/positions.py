@@ -1,217 +1,107 @@
 """Explicit row positions and running totals without a single-task window.
 
 The original jobs are positional: list index, ``data[:n]``, ``chunk i``,
-running counts.  A global ``Window.orderBy`` would put every row in one task,
-and ``spark_partition_id`` is not stable across AQE re-planning, so positions
-are computed in three distributed steps:
-
-1. every row gets a *bucket* — a value that never decreases along the order
-   (range bounds of the first order key, or a hash prefix for random orders);
-2. per (group, bucket) totals are aggregated (map-side partial aggregation,
-   so a hot group is pre-aggregated before the shuffle) and turned into
-   per-bucket offsets with a window over that small table;
-3. a window partitioned by (group, bucket) gives the position/running sum
-   inside the bucket, and the offset is added through an equi-join on
-   (group, bucket).  AQE turns that join into a broadcast when the offsets
-   table is small and keeps a shuffle join otherwise.
-
-A hot group is therefore split over many buckets and many tasks.  Only ties
-of the first order key cannot be split; the order key must be total (add the
-row id as tie-breaker).
+running counts.  A global ``Window.orderBy`` would put every row in one task.
+Here the rows are sorted once, over all tasks:
+
+1. ``repartitionByRange`` over the whole order key (group columns first, then
+   every column of ``order``) gives each task one range of it.  A hot group, or
+   a hot first key, is split wherever a later key differs.
+2. The sorted rows are written once, to the shared folder, each with its place
+   in its range; so the ranges stay as they are, however often the table is
+   read and whatever adaptive execution makes of the later plan.
+3. Counts of each (group, range) — from the places alone, a column of its own
+   in the file — become offsets, and an equi-join adds them.  That table has a
+   row for each group and range; AQE broadcasts it while it is small.
+
+Only rows that are equal in the whole order key can't be split over ranges;
+their order among each other is any, but fixed by the write.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_B = "_lf_bucket"
-_K = "_lf_key"
+from .parallel import stored
 
-
-def default_buckets(spark) -> int:
-    return max(8, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+_AT = "_lf_at"             # range << 33 | place in the range
+_RANGE = "_lf_range"
 
 
 def _names(cols) -> list:
     return [F.col(c) if isinstance(c, str) else c for c in (cols or [])]
 
 
-def _order_parts(key) -> tuple[Column, bool, bool]:
-    """(column, descending, nulls first) of an order key."""
-    key = F.col(key) if isinstance(key, str) else key
-    node = key._jc.node()
-    if node.getClass().getSimpleName() != "SortOrder":
-        return key, False, True
-    jvm = SparkSession.active()._jvm
-    inner = Column(jvm.org.apache.spark.sql.Column(node.child()))
-    return inner, "Desc" in node.sortDirection().toString(), "First" in node.nullOrdering().toString()
+def ranked(df: DataFrame, order, partition_by=(), num_buckets: int | None = None) -> DataFrame:
+    """``df`` sorted by (groups, order) over ranges and stored, with the place
+    of each row in ``_lf_at``."""
+    keys = [*_names(partition_by), *_names(order)]
+    ranges = df.repartitionByRange(num_buckets, *keys) if num_buckets else df.repartitionByRange(*keys)
+    placed = ranges.sortWithinPartitions(*keys).withColumn(_AT, F.monotonically_increasing_id())
+    return stored(placed, "ranked")
 
 
-def range_bucket(df: DataFrame, key, num_buckets: int, rel_err: float | None = None):
-    """Bucket of an order key: a value that never decreases along the order.
+def _range() -> Column:
+    return F.call_function("shiftright", F.col(_AT), F.lit(33))
 
-    Numbers and times use approximate quantiles; other orderable types
-    (strings, binary, structs) the values at even ranks of a sample of
-    ``SAMPLE_PER_BUCKET * num_buckets`` keys, those with the least hashes.
-    Only these bounds come back to the driver.  Rows are bucketed in the JVM,
-    never by a per-row Python call.
-    """
-    key, descending, nulls_first = _order_parts(key)
-    dtype = df.select(key.alias(_K)).schema[_K].dataType
-    if num_buckets <= 1:
-        return F.lit(0)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        numeric = F.unix_micros(key.cast("timestamp")).cast("double")
-    elif isinstance(dtype, T.DateType):
-        numeric = F.unix_date(key).cast("double")
-    elif isinstance(dtype, (T.NumericType, T.BooleanType)):
-        numeric = key.cast("double")
-    else:
-        return _sampled_bucket(df, key, num_buckets, descending, nulls_first)
-    probs = [i / num_buckets for i in range(1, num_buckets)]
-    rel_err = rel_err if rel_err is not None else 1.0 / (4 * num_buckets)
-    bounds = df.select(numeric.alias(_K)).approxQuantile(_K, probs, rel_err)
-    splits = sorted({b for b in bounds if b == b})
-    return _BucketSpec(numeric, splits, descending, nulls_first)
-
-
-SAMPLE_PER_BUCKET = 32
-
-
-def _sampled_bucket(df: DataFrame, key: Column, num_buckets: int, descending: bool, nulls_first: bool) -> Column:
-    sample = (df.select(key.alias(_K)).where(F.col(_K).isNotNull()).distinct()
-              .orderBy(F.xxhash64(_K), _K).limit(SAMPLE_PER_BUCKET * num_buckets))
-    ranked = [r[0] for r in sample.orderBy(_K).collect()]
-    bounds = [ranked[len(ranked) * i // num_buckets] for i in range(1, num_buckets)] if ranked else []
-    spark = df.sparkSession
-    kind = sample.schema[_K].dataType
-    table = spark.createDataFrame([(b,) for b in bounds], T.StructType([T.StructField(_K, kind)]))
-    limits = [r[0] for r in table.distinct().orderBy(_K).collect()]
-    if not limits:
-        place = F.lit(0)
-    else:
-        known = F.array(*[F.lit(b).cast(kind) for b in limits])
-        place = F.size(F.filter(known, lambda b: b <= key))
-    if descending:
-        place = F.lit(len(limits)) - place
-    edge = F.lit(-1 if nulls_first else len(limits) + 1)
-    return F.when(key.isNull(), edge).otherwise(place)
-
-
-class _BucketSpec:
-    """A deferred bucket: applied with ``Bucketizer`` to the frame."""
-
-    def __init__(self, numeric: Column, splits: list, descending: bool = False, nulls_first: bool = True):
-        self.numeric = numeric
-        self.splits = splits
-        self.descending = descending
-        self.nulls_first = nulls_first
-
-    def apply(self, df: DataFrame) -> DataFrame:
-        from pyspark.ml.feature import Bucketizer
-
-        k2 = _K + "_in"
-        tmp = df.withColumn(_K, self.numeric)
-        top = len(self.splits) + 1
-        # Spark takes NaN as greater than every number and puts NULL at an
-        # end: give them buckets of their own there.
-        edge = F.when(F.col(_K).isNull(), F.lit(-2 if self.nulls_first else top + 1)) \
-            .when(F.isnan(F.col(_K)), F.lit(-1 if self.descending else top))
-        if not self.splits:
-            return tmp.withColumn(_B, edge.otherwise(F.lit(0))).drop(_K)
-        bz = Bucketizer(splits=[float("-inf")] + self.splits + [float("inf")],
-                        inputCol=k2, outputCol=_B, handleInvalid="keep")
-        out = bz.transform(tmp.withColumn(k2, F.coalesce(F.col(_K), F.lit(float("nan")))))
-        place = F.col(_B).cast("int")
-        if self.descending:
-            place = F.lit(len(self.splits)) - place
-        return out.withColumn(_B, edge.otherwise(place)).drop(_K, k2)
-
-
-def dense_bucket(key, total, num_buckets: int) -> Column:
-    """Bucket of a dense 0-based integer key when its count ``total`` is
-    known (a column or number): ``key·nb div total`` — monotone, even, and
-    needs no sampling job."""
-    key = F.col(key) if isinstance(key, str) else key
-    total = F.col(total) if isinstance(total, str) else (total if isinstance(total, Column) else F.lit(total))
-    return F.when(total > 0, F.floor(key * F.lit(num_buckets) / total)).otherwise(F.lit(0)).cast("int")
-
-
-def hash_bucket(hex_col: Column, digits: int = 3) -> Column:
-    """Bucket from the leading hex digits of a hex hash used as the order key."""
-    return F.conv(F.substring(hex_col, 1, digits), 16, 10).cast("int")
-
-
-def _with_bucket(df, order, bucket, num_buckets):
-    if bucket is None:
-        first = _names(order)[0]
-        bucket = range_bucket(df, first, num_buckets or default_buckets(df.sparkSession))
-    if isinstance(bucket, _BucketSpec):
-        return bucket.apply(df)
-    return df.withColumn(_B, bucket)
+
+def _offsets(counts: DataFrame, part: list, sums: dict, totals: bool) -> DataFrame:
+    """Per (group, range): what the group has in earlier ranges."""
+    earlier = Window.partitionBy(*part).orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    return counts.select(
+        *part, _RANGE, *[c for c in counts.columns if c not in (*part, _RANGE, *sums)],
+        *[F.coalesce(F.sum(s).over(earlier), F.lit(0)).alias(f"_lf_o_{n}") for s, n in sums.items()],
+        *([F.sum(s).over(Window.partitionBy(*part)).alias(f"_lf_t_{n}") for s, n in sums.items()] if totals else []))
 
 
 def _null_safe_join(left: DataFrame, right: DataFrame, keys: list) -> DataFrame:
-    r = right
-    renamed = {}
-    for k in keys:
-        renamed[k] = f"_lf_r_{k}"
-        r = r.withColumnRenamed(k, renamed[k])
+    renamed = {k: f"_lf_r_{k}" for k in keys}
+    r = right.withColumnsRenamed(renamed)
     cond = reduce(lambda a, b: a & b, [left[k].eqNullSafe(r[renamed[k]]) for k in keys])
     return left.join(r, cond, "inner").drop(*renamed.values())
 
 
-def cumulative(df: DataFrame, order, sums: dict, partition_by=(), bucket=None,
-               num_buckets: int | None = None, totals: bool = False,
-               inclusive: bool = True) -> DataFrame:
-    """Running sums of ``sums`` (name → Column) along ``order`` within groups.
-
-    ``inclusive`` sums include the current row.  With ``totals=True`` the
-    group total of each sum is added as ``<name>_total``.
-    """
-    part = [c for c in (partition_by or [])]
-    order_cols = _names(order)
-    b = _with_bucket(df, order, bucket, num_buckets)
-    names = list(sums)
-    tmp = {n: f"_lf_v_{n}" for n in names}
-    b = b.select("*", *[sums[n].alias(tmp[n]) for n in names])
-
-    per_bucket = b.groupBy(*part, _B).agg(*[F.sum(tmp[n]).alias(tmp[n]) for n in names])
-    wb = Window.partitionBy(*part).orderBy(_B)
-    before = wb.rowsBetween(Window.unboundedPreceding, -1)
-    offs = per_bucket.select(
-        *part, _B,
-        *[F.coalesce(F.sum(tmp[n]).over(before), F.lit(0)).alias(f"_lf_o_{n}") for n in names],
-        *([F.sum(tmp[n]).over(Window.partitionBy(*part)).alias(f"{n}_total") for n in names]
-          if totals else []))
-
-    wi = Window.partitionBy(*part, _B).orderBy(*order_cols)
-    frame = wi.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    inner = b.select("*", *[F.coalesce(F.sum(tmp[n]).over(frame), F.lit(0)).alias(f"_lf_i_{n}")
-                            for n in names])
-    joined = _null_safe_join(inner, offs, part + [_B])
-    out = joined.select(
-        *df.columns,
-        *[(F.col(f"_lf_o_{n}") + F.col(f"_lf_i_{n}")).alias(n) for n in names],
-        *([F.col(f"{n}_total") for n in names] if totals else []))
-    return out
-
-
-def with_position(df: DataFrame, order, partition_by=(), bucket=None,
-                  num_buckets: int | None = None, pos_col: str = "pos",
+def with_position(df: DataFrame, order, partition_by=(), num_buckets: int | None = None, pos_col: str = "pos",
                   size_col: str | None = None) -> DataFrame:
     """0-based position along ``order`` within ``partition_by`` groups.
 
     ``size_col`` (optional) receives the group size — what the original
-    jobs get from ``len(data)``.
+    jobs get from ``len(data)``.  Nulls and NaN stand where Spark sorts them.
+    """
+    part = list(partition_by or [])
+    rows = ranked(df, order, part, num_buckets).withColumn(_RANGE, _range())
+    counts = rows.groupBy(*part, _RANGE).agg(F.min(_AT).alias("_lf_first"), F.count(F.lit(1)).alias("_lf_n"))
+    offsets = _offsets(counts, part, {"_lf_n": "pos"}, size_col is not None)
+    joined = _null_safe_join(rows, offsets, part + [_RANGE])
+    return joined.select(
+        *[joined[c] for c in df.columns if c not in (pos_col, size_col)],
+        (F.col(_AT) - F.col("_lf_first") + F.col("_lf_o_pos")).alias(pos_col),
+        *([F.col("_lf_t_pos").alias(size_col)] if size_col is not None else []))
+
+
+def cumulative(df: DataFrame, order, sums: dict, partition_by=(), num_buckets: int | None = None,
+               totals: bool = False, inclusive: bool = True) -> DataFrame:
+    """Running sums of ``sums`` (name → Column) along ``order`` within groups.
+
+    ``inclusive`` sums include the current row.  With ``totals=True`` the
+    group total of each sum is added as ``<name>_total``.  Sums run inside
+    ranges, and the sums of earlier ranges are added.
     """
-    out = cumulative(df, order, {pos_col: F.lit(1).cast("long")}, partition_by,
-                     bucket, num_buckets, totals=size_col is not None)
-    out = out.withColumn(pos_col, F.col(pos_col) - 1)
-    if size_col is not None:
-        out = out.withColumnRenamed(f"{pos_col}_total", size_col)
-    return out
+    part = list(partition_by or [])
+    value = {n: f"_lf_v_{n}" for n in sums}
+    rows = ranked(df.select("*", *[c.alias(value[n]) for n, c in sums.items()]), order, part, num_buckets) \
+        .withColumn(_RANGE, _range())
+    counts = rows.groupBy(*part, _RANGE).agg(*[F.sum(v).alias(v) for v in value.values()])
+    offsets = _offsets(counts, part, {v: n for n, v in value.items()}, totals)
+    inside = Window.partitionBy(*part, _RANGE).orderBy(_AT) \
+        .rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+    inner = rows.select(*df.columns, _RANGE, *[
+        F.coalesce(F.sum(v).over(inside), F.lit(0)).alias(f"_lf_i_{n}") for n, v in value.items()])
+    joined = _null_safe_join(inner, offsets, part + [_RANGE])
+    return joined.select(
+        *[joined[c] for c in df.columns],
+        *[(F.col(f"_lf_o_{n}") + F.col(f"_lf_i_{n}")).alias(n) for n in sums],
+        *([F.col(f"_lf_t_{n}").alias(f"{n}_total") for n in sums] if totals else []))

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -86,9 +87,7 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     is absent *and* the master is local (tests, the bench) is a local
     temporary folder created and registered as the checkpoint dir.
     """
-    base = ensure_checkpoint_dir(spark)
-    path = os.path.join(base, f"{name}-{os.getpid()}-{next(_counter)}")
-    return path
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
@@ -109,12 +108,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
 
-
-def _count():
-    i = 0
-    while True:
-        i += 1
-        yield i
-
-
-_counter = _count()

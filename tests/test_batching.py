@@ -171,10 +171,113 @@ def test_spread_decisions(spark, sf):
     assert shuffles(spread(limited)) == 0
 
 
-def test_hot_group_is_split_over_buckets(spark):
+def test_hot_group_is_split_over_ranges(spark):
     from latentforge.operators import positions as ps
     df = spark.range(30000).select("id", F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id")).alias("g"))
-    b = ps._with_bucket(df, ["id"], None, 16)
-    hot = b.where("g = 0").groupBy(ps._B).count().collect()
-    assert len(hot) >= 12                                  # ~1/16 of the hot group per bucket
+    b = ps.ranked(df, ["id"], ["g"], 48).withColumn("r", ps._range())
+    hot = b.where("g = 0").groupBy("r").count().collect()
+    assert len(hot) >= 12                                  # about a third of the ranges
     assert max(r["count"] for r in hot) < 10000 / 4
+
+
+def test_hot_first_key_is_split_by_the_later_ones(spark):
+    from latentforge.operators import positions as ps
+    df = spark.range(20000).select("id", F.when(F.col("id") % 10 != 0, F.lit("x")).alias("k")).repartition(7)
+    order = [F.col("k").desc(), F.col("id").desc()]
+    b = ps.ranked(df, order, num_buckets=16).withColumn("r", ps._range())
+    assert max(r["count"] for r in b.groupBy("r").count().collect()) < 20000 / 8
+    got = {r.id: r.pos for r in with_position(df, order, num_buckets=16).collect()}
+    assert got == {r.id: i for i, r in enumerate(df.orderBy(*order).collect())}
+
+
+def test_positions_read_the_input_no_more_than_the_sort_does(spark):
+    """The stored rows are numbered: the plan scans one file table, twice."""
+    import contextlib
+    import io
+    df = with_position(ids(spark, 100), ["id"], size_col="n")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    plan = buf.getvalue()
+    assert "Range (" not in plan and plan.count("FileScan parquet") == 2
+    assert "ReadSchema: struct<_lf_at:bigint>" in plan                    # counting reads one column
+
+
+def test_position_columns_that_exist_are_replaced(spark):
+    df = ids(spark, 10).withColumns({"pos": F.lit(-1), "n": F.lit(-1)})
+    got = with_position(df, ["id"], size_col="n")
+    assert sorted(got.columns) == ["id", "n", "pos"]
+    assert sorted(map(tuple, got.select("id", "pos", "n").collect())) == [(k, k, 10) for k in range(10)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 5, 10, 97, 576, 577, 5000])
+def test_permutations_are_exact(spark, n):
+    from latentforge.functions.rand import permuted
+    df = spark.range(n)
+    seen = set()
+    for seed in range(3):
+        p = [r[0] for r in df.select(permuted(F.col("id"), F.lit(n).cast("long"), seed)).collect()]
+        assert sorted(p) == list(range(n))
+        seen.add(tuple(p))
+    assert n < 5 or len(seen) == 3
+
+
+def test_permutations_mix(spark):
+    """Neighbours are parted, and the permuted places are spread evenly."""
+    from latentforge.functions.rand import permuted
+    n = 40_000
+    p = [r[0] for r in spark.range(n, numPartitions=1).select(permuted(F.col("id"), F.lit(n).cast("long"), 11)).collect()]
+    close = sum(abs(a - b) <= 20 for a, b in zip(p, p[1:]))
+    assert close < 3 * n * 40 / n + 40
+    first = [x for x in p[:n // 10] if x < n // 10]
+    assert abs(len(first) - n / 100) < 5 * (n / 100) ** 0.5
+    rising = sum(a < b for a, b in zip(p, p[1:]))
+    assert abs(rising - n / 2) < 5 * (n / 12) ** 0.5
+
+
+def test_large_numbers_are_permuted_within_range(spark):
+    from latentforge.functions.rand import permuted
+    n = 10 ** 15 + 37
+    got = [r[0] for r in spark.range(n - 2000, n).select(permuted(F.col("id"), F.lit(n), "x")).collect()]
+    assert len(set(got)) == 2000 and 0 <= min(got) and max(got) < n
+    assert abs(sum(got) / 2000 / n - 0.5) < 0.05
+
+
+def test_epochs_of_numbered_rows_sort_nothing(spark):
+    import contextlib
+    import io
+    rows = with_position(ids(spark, 300), ["id"], pos_col="index", size_col="n").checkpoint()
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        epoch_shuffle(rows, "id", 5).explain()
+    assert "Exchange" not in buf.getvalue() and "Sort" not in buf.getvalue()
+    again = {r.id: r.pos for r in epoch_shuffle(ids(spark, 300).repartition(3), "id", 5).collect()}
+    assert {r.id: r.pos for r in epoch_shuffle(rows, "id", 5).collect()} == again
+
+
+def test_samples_are_the_rows_with_the_smallest_hashes(spark):
+    from latentforge.functions.rand import hash_hex
+    from latentforge.operators.sampling import sample_n
+    df = ids(spark, 3000).repartition(6)
+    want = [r.id for r in df.orderBy(hash_hex(4, F.col("id")), "id").collect()]
+    for n in (0, 1, 7, 1500, 2999, 3000, 4000):
+        assert sorted(r.id for r in sample_n(df, n, "id", 4).collect()) == sorted(want[:n])
+    with pytest.raises(ValueError):
+        sample_n(df, 3001, "id", 4, strict=True)
+    assert sample_n(df, 3000, "id", 4, strict=True).count() == 3000
+    same = spark.createDataFrame([(1, k) for k in range(50)] + [(2, 0), (None, 1)], "id long, x int")
+    assert sample_n(same, 20, "id").count() == 20 and sample_n(same, 60, "id").count() == 52
+    assert sample_n(df.where("false"), 5, "id").count() == 0
+
+
+@pytest.mark.parametrize("order", [["id"], ["s", "id"], ["d", "id"]])
+def test_both_ways_to_take_a_prefix_agree(spark, monkeypatch, order):
+    from latentforge.operators import filters as flt
+    df = spark.range(500).select("id", F.when(F.col("id") % 9 != 0, F.md5(F.col("id").cast("string"))).alias("s"),
+                                 F.when(F.col("id") % 11 == 0, F.lit(float("nan"))).otherwise(-F.col("id") % 7 / 2)
+                                 .alias("d")).repartition(4)
+    for keys in (order, [F.col(c).desc() for c in order], [F.col(order[0]).desc_nulls_first(), *order[1:]]):
+        small = sorted(r.id for r in flt.take_prefix(df, 123, keys).collect())
+        with monkeypatch.context() as m:
+            m.setattr(flt, "TOPK_ROWS", 0)
+            assert sorted(r.id for r in flt.take_prefix(df, 123, keys).collect()) == small
