@@ -21,7 +21,7 @@ from ..functions.arrays import clamp, clamp_value
 from ..functions.text import col_
 from .joins import lookup_schedule
 from .parallel import spread
-from .windows import cumulative_product
+from .windows import _cumulative_product
 
 LATENT_SCALE = 0.18215
 
@@ -42,7 +42,7 @@ def noise_schedule(spark: SparkSession, T: int = 1000, b0: float = 1e-4, b1: flo
     base = spark.range(T).select(F.col("id").cast("int").alias("t"))
     beta = F.lit(b0) + F.col("t") * F.lit(step)
     s = base.select("t", beta.alias("beta"), (F.lit(1.0) - beta).alias("alpha"))
-    s = cumulative_product(s, "alpha", ["t"], out="alpha_cumprod")
+    s = _cumulative_product(s, "alpha", ["t"], out="alpha_cumprod")
     return s.select("t", "beta", "alpha", "alpha_cumprod",
                     F.sqrt("alpha_cumprod").alias("sqrt_alpha_cumprod"),
                     F.sqrt(F.lit(1.0) - F.col("alpha_cumprod")).alias("sqrt_one_minus"))

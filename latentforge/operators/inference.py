@@ -15,7 +15,7 @@ from collections import OrderedDict
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as Ty
 
@@ -156,21 +156,44 @@ def embed_text(df: DataFrame, text_col: str, out_col: str = "text_embedding",
     return spread(df).withColumn(out_col, udf(text))
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is computed once per row."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def hashed_sums(tokens: Column, dim: int) -> Column:
+    """Signed sums of hashed tokens as an array of ``dim`` longs, in the row.
+
+    A token's code is twice its bucket, plus one for a negative sign.  The
+    codes are sorted together with one of each kind, so that the place where
+    each code starts follows from one pass, and with it every count.
+    """
+    def code(h: Column) -> Column:
+        bucket = F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % dim
+        return (2 * bucket + F.conv(F.substring(h, 9, 2), 16, 10).cast("int") % 2).cast("int")
+    codes = F.transform(tokens, lambda w: _bound(F.md5(w), code))
+
+    def counts(c: Column) -> Column:
+        starts = F.filter(F.transform(c, lambda x, i: F.when((i == 0) | (x != F.get(c, i - 1)), i)),
+                          lambda i: i.isNotNull())
+        return _bound(starts, lambda s: F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda j: (
+            2 * F.get(s, 2 * j + 1) - F.get(s, 2 * j) - F.get(s, 2 * j + 2)).cast("long")))
+    return _bound(F.sort_array(F.concat(codes, F.sequence(F.lit(0), F.lit(2 * dim)))), counts)
+
+
 def hash_embed(df: DataFrame, key: str, text_col: str, dim: int = 64) -> DataFrame:
-    """The same feature hashing as :class:`HashTextEncoder`, written as a
-    Spark job: words → (bucket, sign) from md5 → partial sums per (key,
-    bucket) on the map side → L2 norm per key.  Returns sparse rows
-    (key, bucket, value) for non-zero buckets.
+    """The same feature hashing as :class:`HashTextEncoder` in column
+    functions: words → (bucket, sign) from md5 → signed sums in a fixed array
+    of the row → L2 norm.  Nothing is exploded but the result, and nothing is
+    shuffled.  Returns sparse rows (key, bucket, value) for non-zero buckets.
     """
-    words = spread(df.select(key, text_col)).select(
-        F.col(key), F.explode(tx.tokens(F.lower(F.col(text_col)))).alias("w"))
-    h = F.md5(F.col("w"))
-    b = words.select(key, (F.conv(F.substring(h, 1, 8), 16, 10).cast("long") % dim).cast("int").alias("bucket"),
-                     F.when(F.conv(F.substring(h, 9, 2), 16, 10).cast("int") % 2 == 0, F.lit(1.0))
-                     .otherwise(F.lit(-1.0)).alias("s"))
-    sums = b.groupBy(key, "bucket").agg(F.sum("s").alias("s")).where(F.col("s") != 0)
-    norm = F.sqrt(F.sum(F.col("s") * F.col("s")).over(Window.partitionBy(key)))     # at most dim rows a key
-    return sums.select(key, "bucket", (F.col("s") / norm).alias("value"))
+    def entries(sums: Column) -> Column:
+        norm = F.sqrt(F.aggregate(sums, F.lit(0.0), lambda a, s: a + s.cast("double") * s))
+        return _bound(norm, lambda n: F.filter(F.transform(sums, lambda s, j: F.struct(
+            j.cast("int").alias("bucket"), F.try_divide(s, n).alias("value"))), lambda e: e["value"] != 0))
+    rows = spread(df.select(key, text_col)).select(
+        F.col(key), F.explode(_bound(hashed_sums(tx.tokens(F.lower(F.col(text_col))), dim), entries)).alias("e"))
+    return rows.select(key, "e.bucket", "e.value")
 
 
 def dense_from_sparse(sparse: DataFrame, key: str, dim: int, index: str = "bucket",

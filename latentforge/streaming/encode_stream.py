@@ -13,9 +13,11 @@ without losing or doubling rows (T4).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..operators.inference import safe_map
 
@@ -71,3 +73,77 @@ def latest_progress(spark: SparkSession, progress_dir: str) -> DataFrame:
     p = spark.read.parquet(progress_dir)
     last = p.agg(F.max("batch_id").alias("batch_id"))
     return p.join(last, "batch_id").select("status", "n", "pct")
+
+
+PROGRESS = T.StructType([T.StructField("status", T.StringType()), T.StructField("n", T.LongType()),
+                         T.StructField("total", T.DoubleType()), T.StructField("files", T.IntegerType())])
+
+
+class _Progress(StatefulProcessor):
+    """Keeps, for each status, its rows, the sum of their values and the number
+    of micro-batches that brought any; emits them after each micro-batch."""
+
+    def init(self, handle):
+        self.state = handle.getValueState("progress", "n long, total double, files int")
+
+    def handleInputRows(self, key, rows, timerValues):
+        n, total, files = self.state.get() if self.state.exists() else (0, 0.0, 0)
+        for r in rows:
+            n, total = n + 1, total + (r["result"] or 0.0)
+        self.state.update((n, total, files + 1))
+        yield Row(status=key[0], n=n, total=total, files=files + 1)
+
+    def close(self):
+        pass
+
+
+_PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+_ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def resume_progress(spark: SparkSession, src_dir: str, schema: T.StructType, fn, keys, value_col: str,
+                    out_dir: str, checkpoint_dir: str, files_per_batch: int = 1, batch_size: int = 8,
+                    stop_after: int | None = None) -> bool:
+    """T4: encode the files of ``src_dir`` and keep running progress per status
+    as state of the query; True when all input is done.
+
+    ``stop_after`` interrupts the run after so many micro-batches: rows and
+    state up to there are saved.  The next call with the same checkpoint goes
+    on behind them.  Each micro-batch writes under its number, so that one
+    that is repeated after a crash replaces its own output.
+    """
+    out = safe_map(source(spark, src_dir, schema, files_per_batch), fn, keys, value_col, T.DoubleType(),
+                   batch_size=batch_size)
+    progress = out.select("status", "result").groupBy("status").transformWithState(
+        statefulProcessor=_Progress(), outputStructType=PROGRESS, outputMode="Update", timeMode="None")
+
+    class Interrupted(Exception):
+        pass
+
+    seen = []
+
+    def write(batch: DataFrame, batch_id: int):
+        if stop_after is not None and len(seen) == stop_after:
+            raise Interrupted
+        seen.append(batch_id)
+        batch.write.mode("overwrite").parquet(f"{out_dir}/batch_id={batch_id}")
+
+    before = spark.conf.get(_PROVIDER, None)
+    spark.conf.set(_PROVIDER, _ROCKS)
+    try:
+        query = (progress.writeStream.outputMode("update").option("checkpointLocation", checkpoint_dir)
+                 .foreachBatch(write).trigger(availableNow=True).start())
+        query.awaitTermination()
+    except StreamingQueryException as e:
+        if "Interrupted" not in str(e):
+            raise
+        return False
+    finally:
+        spark.conf.unset(_PROVIDER) if before is None else spark.conf.set(_PROVIDER, before)
+    return True
+
+
+def last_progress(spark: SparkSession, out_dir: str) -> DataFrame:
+    """(status, n, total): the latest progress of each status."""
+    rows = spark.read.schema(T.StructType([*PROGRESS.fields, T.StructField("batch_id", T.LongType())])).parquet(out_dir)
+    return rows.groupBy("status").agg(F.max_by(F.struct("n", "total"), "batch_id").alias("p")).select("status", "p.*")

@@ -186,3 +186,47 @@ def test_stream_split_by_status(spark):
                      split_by_status=True)
     assert {"status=error", "status=success"} <= set(os.listdir(sink))
     assert spark.read.parquet(sink + "/status=error").count() == 18
+
+
+def test_hash_embedding_equals_the_encoder_and_shuffles_nothing(spark):
+    import contextlib
+    import io as text_io
+
+    import numpy as np
+    texts = ["a cat and a dog", "", None, "Été été ÉTÉ x", "word " * 3000 + "other", "...", "the the the a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, caption string").coalesce(1)
+    for dim in (1, 2, 64):
+        sparse = inf.hash_embed(df, "id", "caption", dim)
+        got = np.zeros((len(texts), dim))
+        for r in sparse.collect():
+            assert r.value != 0
+            got[r.id, r.bucket] = r.value
+        assert np.allclose(got, inf.HashTextEncoder(dim)(np.array(texts, dtype=object)))
+    buf = text_io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        inf.hash_embed(spark.range(0, 100, 1, 64).select("id", F.lit("a b").alias("caption")), "id", "caption").explain()
+    assert "Exchange" not in buf.getvalue()
+
+
+def test_interrupted_run_is_taken_up_again(spark):
+    """T4 with state: a run stopped in its middle, and one that is repeated."""
+    src, out, ckpt = scratch() + "/in", scratch() + "/out", scratch()
+    schema = T.StructType([T.StructField("pos", T.LongType()), T.StructField("value", T.DoubleType())])
+    data = [(i, float(i % 50)) for i in range(300)]
+    spark.createDataFrame(data, schema).repartition(6).write.parquet(src)
+
+    def run(stop=None):
+        return es.resume_progress(spark, src, schema, _fn, ["pos"], "value", out, ckpt, stop_after=stop)
+
+    def progress():
+        return {r.status: (r.n, r.total) for r in es.last_progress(spark, out).collect()}
+    assert run(2) is False
+    part = progress()
+    assert 0 < sum(n for n, _ in part.values()) < 300
+    assert run(0) is False and progress() == part          # interrupted at once: nothing is lost or doubled
+    assert run(1) is False and run() is True
+    batch = inf.safe_map(spark.createDataFrame(data, schema), _fn, ["pos"], "value", T.DoubleType(), 8)
+    want = {r.status: (r.n, r.total) for r in batch.groupBy("status").agg(
+        F.count("*").alias("n"), F.coalesce(F.sum("result"), F.lit(0.0)).alias("total")).collect()}
+    assert progress() == want
+    assert run() is True and progress() == want            # nothing left to do

@@ -116,3 +116,64 @@ def test_hot_key_reductions_aggregate_partially(spark):
     hot = e.where("k = 0").collect()[0]
     assert hot.updates == 10000 and abs(hot.ema - 1.0) < 1e-12
     assert "partial_count" in _plan(agg.demographics(caps.select("caption")))
+
+
+def test_ema_equals_a_recursive_query(spark, sf):
+    """The merged pairs give what the recurrence gives, update by update."""
+    import duckdb
+    ev = spark.read.parquet(f"{sf}/events.parquet")
+    con = duckdb.connect()
+    want = con.sql(f"""
+        WITH RECURSIVE x AS (
+          SELECT user_id, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i
+          FROM '{sf}/events.parquet'),
+        s(user_id, i, shadow) AS (
+          SELECT user_id, i, value FROM x WHERE i = 1
+          UNION ALL
+          SELECT x.user_id, x.i, CAST(0.3 AS DOUBLE) * x.value + CAST(0.7 AS DOUBLE) * s.shadow
+          FROM s JOIN x ON x.user_id = s.user_id AND x.i = s.i + 1)
+        SELECT user_id, arg_max(shadow, i), max(i) FROM s GROUP BY user_id""").fetchall()
+    want = {u: (s, n) for u, s, n in want}
+    for bucket in (None, F.lit(0), F.date_trunc("day", "ts"), F.col("ts")):
+        got = {r.user_id: (r.ema, r.updates) for r in win.ema(ev, "user_id", ["ts", "event_id"], "value", 0.7,
+                                                              bucket).collect()}
+        assert got.keys() == want.keys()
+        for u, (s, n) in want.items():
+            assert got[u][1] == n and math.isclose(got[u][0], s, rel_tol=1e-9)
+
+
+def test_ema_of_other_keys_and_odd_rows(spark):
+    for kind, keys in (("string", ["aa1", "aa2", "b"]), ("long", [-70000, 3, 900000]), ("double", [0.5, 1.5, 1e9])):
+        df = spark.createDataFrame([(1, k, v) for k, v in zip(keys, (1.0, 2.0, 3.0))], f"k long, t {kind}, v double")
+        assert win.ema(df, "k", ["t"], "v", 0.5).collect()[0].ema == 2.25
+    df = spark.createDataFrame([(1, None, 4.0), (1, 2, None), (None, 1, 5.0)], "k long, t long, v double")
+    assert {(r.k, r.ema, r.updates) for r in win.ema(df, "k", ["t"], "v", 0.5).collect()} == {(1, 2.0, 2), (None, 5.0, 1)}
+    assert win.ema(df.where("false"), "k", ["t"], "v").count() == 0
+
+
+def test_log_windows_with_gaps_and_long_tails(spark):
+    """Windows run on over epochs without a log point and over missing batches."""
+    import random
+    rng = random.Random(3)
+    rows = [(e, b, float(rng.randrange(9))) for e in (0, 1, 4, 5, 9) for b in range(rng.randrange(1, 30))
+            if rng.random() < 0.8]
+    rows += [(2, 1, 1.0), (2, 2, 2.0)]                       # an epoch without any log point
+    want, total, n = [], 0.0, 0
+    for e, b, x in sorted(rows):
+        total, n = total + x, n + 1
+        if b % 7 == 0:
+            want.append((e, b, round(total / 7, 6), round(total / n, 6)))
+            total, n = 0.0, 0
+    df = spark.createDataFrame(rows, "epoch int, batch_idx long, loss double").repartition(5)
+    assert sorted(map(tuple, win.log_windows(df, 7).collect())) == want
+
+
+def test_progress_of_many_batches(spark):
+    df = spark.range(5000).select(F.col("id").alias("pos"), F.when(F.col("id") % 7 == 0, F.lit("error"))
+                                  .otherwise(F.lit("success")).alias("status"), F.lit(0.5).alias("value")).repartition(9)
+    p = sorted(win.progress(df, ["pos"], 3).collect())
+    assert [(r.batch, r.processed, r.elapsed, r.remaining) for r in p] == [
+        (k, min(3 * k + 3, 5000), min(3 * k + 3, 5000) * 0.5, 5000 - min(3 * k + 3, 5000)) for k in range(1667)]
+    s = sorted(win.running_success_rate(df, ["pos"], 3).collect())
+    assert [r.received for r in s] == [r.processed for r in p]
+    assert s[-1].success_rate_pct == round(100.0 * (5000 - 715) / 5000, 1)
