@@ -472,6 +472,15 @@ def _annotations(s, d, which):
     return ann if which == "annotations" else img
 
 
+def _annotation_document(s, d, which):
+    """S1 in the classic format: one document, read in byte ranges."""
+    from ..sources import annotations as an
+    path = _scratch(s, "annotation-document")
+    an.write_annotation_document(vw.captions(s, d), vw.images(s, d), path)
+    ann, img = an.read_annotations(s, path, multi_line=True, range_bytes=1 << 18)
+    return ann if which == "annotations" else img
+
+
 def _records(s, d):
     from ..sources import sinks
     path = _scratch(s, "records")
@@ -560,6 +569,35 @@ def _stream_progress(s, d):
     return es.latest_progress(s, prog)
 
 
+def _resume_partial(s, d):
+    """T4: a run that is interrupted after three micro-batches and taken up again."""
+    from ..streaming import encode_stream as es
+    src = _stream_src(s, d)
+    out, ckpt = _scratch(s, "resume"), _scratch(s, "resume-ckpt")
+    schema = s.read.parquet(src).schema
+    for stop in (3, None):
+        es.resume_progress(s, src, schema, double_or_fail, ["pos"], "value", out, ckpt, stop_after=stop)
+    return es.last_progress(s, out).select("status", "n", F.round("total", 3).alias("total"))
+
+
+def _lazy_model(s, d):
+    """Rows, and the most models that one worker built for them."""
+    import os
+    import socket
+    import uuid
+
+    from ..operators import inference as inf
+    name = inf.model_key("row-count", object)
+
+    def use(batches):
+        for batch in batches:
+            loaded = inf.lazy_model(name, lambda: uuid.uuid4().hex)
+            yield batch.assign(worker=f"{socket.gethostname()}:{os.getpid()}", load=loaded)[["worker", "load"]]
+    used = vw.results(s, d).select("pos").repartition(16).mapInPandas(use, "worker string, load string")
+    per_worker = used.groupBy("worker").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("load").alias("loads"))
+    return per_worker.agg(F.sum("n").alias("n_rows"), F.max("loads").alias("loads_per_worker"))
+
+
 # ---- L: end-to-end plans
 def _curate(s, d):
     from ..plans import curation
@@ -584,6 +622,20 @@ def _generate(s, d):
     return _flat_int(g.select("id", "pixels"), "id", "pixels")
 
 
+def _generate_files(s, d):
+    """L4 to its end: images written as files and read back."""
+    from ..plans import generation
+    from ..sources import images as io
+    out = _scratch(s, "generated")
+    generation.generate_files(vw.dataset(s, d), "id", "caption", _context_predictor, out, steps=3, scale=2.0,
+                              seed=5, latent_shape=(1, 4, 4))
+    r = io.read_images(s, out, glob="*.raw")
+    values = F.transform(F.sequence(F.lit(1), F.length("pixels")),
+                         lambda i: F.conv(F.hex(F.substring("pixels", i, 1)), 16, 10).cast("int"))
+    return _flat_int(r.select(F.regexp_extract("path", r"/(\d+)\.raw$", 1).cast("long").alias("id"),
+                              values.alias("pixels")), "id", "pixels")
+
+
 def _prepare_encode(s, d):
     from ..operators import image as im
     rgb = _grey(s, d).select("id", im.to_rgb("px").alias("rgb"), F.lit(8).alias("h"), F.lit(8).alias("w"),
@@ -624,6 +676,11 @@ QUERIES.update({
     "prompt_embedding": _prompt_embedding,
     "safe_map": _safe_map,
     "read_annotations": lambda s, d: _annotations(s, d, "annotations"),
+    "read_annotations_document": lambda s, d: _annotation_document(s, d, "annotations"),
+    "read_annotations_document_images": lambda s, d: _annotation_document(s, d, "images"),
+    "lazy_model": _lazy_model,
+    "resume_partial": _resume_partial,
+    "generate_files": _generate_files,
     "read_annotations_images": lambda s, d: _annotations(s, d, "images"),
     "write_records": _records,
     "write_bundle": _bundle,

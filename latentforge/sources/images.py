@@ -5,17 +5,21 @@ many files, path filters pushed to listing).  Decoding runs in a
 ``mapInPandas`` stage with a pluggable batch decoder; a file that fails to
 decode gives a row with NULL pixels and an error message instead of failing
 the task.  The built-in codec is a tiny raw format (header + HWC uint8
-bytes); real codecs (JPEG/PNG) plug in as decoders.
+bytes); real codecs (JPEG/PNG) plug in as decoders.  Files are written by a data
+source with a commit.
 """
 
 from __future__ import annotations
 
 import struct
+import uuid
+from urllib.parse import quote
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 RAW_MAGIC = b"LFR1"
 _HEADER = struct.Struct("<4sIIB")
@@ -84,28 +88,94 @@ def read_images(spark: SparkSession, path: str, decoder=decode_raw, glob: str |
     return files.mapInPandas(run, DECODED_SCHEMA)
 
 
-def write_image_files(df: DataFrame, key: str, pixels: str, h: str, w: str, c: str, out_dir: str,
-                      encoder=encode_raw, suffix: str = ".raw") -> None:
-    """S8, file form: one file per row named by its key (so a generated batch
-    never overwrites itself), written by the executors.  A retried task
-    rewrites the same names, so the result is idempotent.  ``out_dir`` must be
-    a filesystem every executor can reach (pyarrow resolves the URI)."""
-    from pyarrow import fs as pafs
+class _ImageWriter(DataSourceArrowWriter):
+    """Files of a job appear together, or not at all.
+
+    A task writes into a folder of its attempt and, when all its files are
+    whole, moves them into the job's folder; a killed attempt leaves nothing
+    there, and a repeated one puts the same names there.  The commit renames
+    the job's folder to the target; an abort removes it.
+    """
+
+    def __init__(self, path: str, encoder, suffix: str):
+        from pyarrow import fs as pafs
+
+        self.uri, self.encoder, self.suffix = to_uri(path.rstrip("/")), encoder, suffix
+        self.root = pafs.FileSystem.from_uri(self.uri)[1]
+        self.job = f"{self.root}.writing-{uuid.uuid4().hex}"
+
+    def _files(self):
+        from pyarrow import fs as pafs
+
+        return pafs.FileSystem.from_uri(self.uri)[0]
 
-    base = out_dir.rstrip("/")
-    sel = df.select(F.col(key).alias("k"), F.col(pixels).alias("px"), F.col(h).alias("h"),
-                    F.col(w).alias("w"), F.col(c).alias("c"))
+    def write(self, batches):
+        files, attempt = self._files(), f"{self.job}/{uuid.uuid4().hex}"
+        files.create_dir(f"{self.job}/files", recursive=True)
+        files.create_dir(attempt)
+        names = []
+        for batch in batches:
+            for k in range(batch.num_rows):
+                key, h, w, c, px = (batch.column(x)[k].as_py() for x in range(5))
+                names.append(quote(key, safe="") + self.suffix)
+                with files.open_output_stream(f"{attempt}/{names[-1]}") as f:
+                    f.write(self.encoder(np.frombuffer(px, np.uint8).reshape(h, w, c)))
+        for name in names:
+            files.move(f"{attempt}/{name}", f"{self.job}/files/{name}")
+        files.delete_dir(attempt)
+        return WriterCommitMessage()
 
-    def write_part(rows):
-        filesystem, root = pafs.FileSystem.from_uri(to_uri(base))
-        filesystem.create_dir(root, recursive=True)
-        for r in rows:
-            arr = np.asarray(bytearray(r.px) if isinstance(r.px, (bytes, bytearray)) else r.px,
-                             dtype=np.uint8).reshape(r.h, r.w, r.c)
-            with filesystem.open_output_stream(f"{root}/{r.k}{suffix}") as f:
-                f.write(encoder(arr))
+    def commit(self, messages):
+        from pyarrow import fs as pafs
+
+        files = self._files()
+        files.create_dir(f"{self.job}/files", recursive=True)
+        if files.get_file_info(self.root).type != pafs.FileType.NotFound:
+            files.delete_dir(self.root)
+        files.move(f"{self.job}/files", self.root)
+        files.delete_dir(self.job)
+
+    def abort(self, messages):
+        from pyarrow import fs as pafs
+
+        files = self._files()
+        if files.get_file_info(self.job).type != pafs.FileType.NotFound:
+            files.delete_dir(self.job)
+
+
+def write_image_files(df: DataFrame, key: str, pixels: str, h: str, w: str, c: str, out_dir: str,
+                      encoder=encode_raw, suffix: str = ".raw", overwrite: bool = False) -> None:
+    """One file per row named by its key (so a generated batch never
+    overwrites itself), by a data source writer on the executors.
+
+    ``out_dir`` appears whole when all tasks have succeeded; a failed job
+    leaves it as it was.  It must be on a filesystem that every executor can
+    reach (pyarrow resolves the URI).  A folder with files in it is replaced
+    only with ``overwrite``.
+    """
+    from pyarrow import fs as pafs
 
-    sel.foreachPartition(write_part)
+    files, root = pafs.FileSystem.from_uri(to_uri(out_dir.rstrip("/")))
+    if not overwrite and files.get_file_info(root).type != pafs.FileType.NotFound \
+            and files.get_file_info(pafs.FileSelector(root)):
+        raise FileExistsError(out_dir)
+
+    class ImageFiles(DataSource):
+        @classmethod
+        def name(cls):
+            return "image_files"
+
+        def writer(self, schema, overwrite):
+            return _ImageWriter(self.options["path"], encoder, suffix)
+
+    spark = df.sparkSession
+    spark.dataSource.register(ImageFiles)
+    px = F.col(pixels)
+    if isinstance(df.schema[pixels].dataType, T.ArrayType):
+        px = F.unhex(F.array_join(F.transform(px, lambda v: F.lpad(F.hex(v.cast("long")), 2, "0")), ""))
+    df.select(F.col(key).cast("string").alias("key"), *[F.col(n).cast("int").alias(a) for n, a in (
+        (h, "h"), (w, "w"), (c, "c"))], px.alias("pixels")) \
+        .write.format("image_files").mode("append").save(out_dir.rstrip("/"))
 
 
 def load_images(df: DataFrame, path_col: str, decoder=decode_raw) -> DataFrame:
