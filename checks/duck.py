@@ -140,7 +140,7 @@ def randint(seed, key: str, upper: int) -> str:
 
 
 def permuted(pos: str, n: str, seed) -> str:
-    """Twin of ``rand.permuted``: a Feistel network over an a x b rectangle,
+    """Twin of ``rand.with_permuted``: a Feistel network over an a x b rectangle,
     walked until the result is below n."""
     from latentforge.functions.rand import PRIME, WALK, round_keys
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 import hashlib
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .text import col_
@@ -93,8 +93,8 @@ def round_keys(seed) -> list[list[int]]:
     return out
 
 
-def permuted(pos: Column, n: Column, seed) -> Column:
-    """The place of ``pos`` in a pseudo-random permutation of 0 .. n-1.
+def with_permuted(df: DataFrame, pos: str, n: str, seed, out: str) -> DataFrame:
+    """``df`` with the place of ``pos`` in a pseudo-random permutation of 0 .. n-1.
 
     A Feistel network over pairs (left, right) of the least rectangle
     ``a * b >= n`` with ``a`` near the root of ``n``: each half in turn is moved
@@ -105,34 +105,38 @@ def permuted(pos: Column, n: Column, seed) -> Column:
     probability under 1e-30 (an error then, never a wrong place).
 
     Only arithmetic on the row itself: no sort, no shuffle, and the same
-    numbers in any engine.  Needs n below 2^60.
+    numbers in any engine.  Each half-round becomes a projection of its own,
+    so that generated code computes it once.  Needs n below 2^60.
     """
-    keys = F.array(*[F.array(*[F.lit(k).cast("long") for k in ks]) for ks in round_keys(seed)])
-    a = F.ceil(F.sqrt(n.cast("double"))).cast("long")
-
-    def over(x: Column, body) -> Column:          # binds x once
-        return F.get(F.transform(F.array(x), body), F.lit(0))
-
-    def mixed(x: Column, k: Column, at: int) -> Column:
-        one, two = ((x * k[at + 2 * j] + k[at + 2 * j + 1]) % PRIME for j in range(2))
-        return one * two % PRIME
-
-    def place(size: Column) -> Column:
-        rows, cols = size["a"], size["b"]
-
-        def once(y: Column) -> Column:
-            start = F.struct(F.call_function("div", y, cols).alias("l"), (y % cols).alias("r"))
-
-            def turn(s: Column, k: Column) -> Column:
-                return over((s["l"] + mixed(s["r"], k, 0)) % rows, lambda left: F.struct(
-                    left.alias("l"), ((s["r"] + mixed(left, k, 4)) % cols).alias("r")))
-            return over(F.aggregate(keys, start, turn), lambda s: s["l"] * cols + s["r"])
-
-        def walk(y: Column) -> Column:
-            return over(F.aggregate(F.sequence(F.lit(1), F.lit(WALK)), y,
-                                    lambda x, _: F.when(x < n, x).otherwise(once(x))),
-                        lambda x: F.when(x < n, x).otherwise(F.raise_error(F.lit("the permutation's walk did not end"))
-                                                             .cast("long")))
-        return over(once(pos), lambda y: F.when(y < n, y).otherwise(walk(y)))
-
-    return over(over(a, lambda a: F.struct(a.alias("a"), F.call_function("div", n + a - 1, a).alias("b"))), place)
+    def mixed(x: str, k: list) -> str:
+        one, two = (f"(({x} * {k[2 * j]} + {k[2 * j + 1]}) % {PRIME})" for j in (0, 1))
+        return f"{one} * {two} % {PRIME}"
+
+    def half(moved: str, by: str, k: list, size: str) -> str:
+        return f"({moved} + {mixed(by, k)}) % {size}"
+
+    keys = [[f"{k}L" for k in ks] for ks in round_keys(seed)]
+    a, b = "_lf_a", "_lf_b"
+    steps = [f"CAST(ceil(sqrt(CAST(`{n}` AS DOUBLE))) AS BIGINT) AS {a}", f"(`{n}` + {a} - 1) div {a} AS {b}",
+             f"`{pos}` div {b} AS _lf_l0", f"`{pos}` % {b} AS _lf_r0"]
+    for j, k in enumerate(keys):
+        steps.append(half(f"_lf_l{j}", f"_lf_r{j}", k[:4], a) + f" AS _lf_l{j + 1}")
+        steps.append(half(f"_lf_r{j}", f"_lf_l{j + 1}", k[4:], b) + f" AS _lf_r{j + 1}")
+    steps.append(f"_lf_l{ROUNDS} * {b} + _lf_r{ROUNDS} AS _lf_p")
+
+    # the walk, for the few results beyond n: a round's keys are an array there
+    table = "array(" + ", ".join(f"array({', '.join(k)})" for k in keys) + ")"
+    k = [f"k[{j}]" for j in range(8)]
+    turn = (f"transform(array({half('s.l', 's.r', k[:4], a)}), "
+            f"left -> named_struct('l', left, 'r', {half('s.r', 'left', k[4:], b)}))[0]")
+    once = (f"transform(array(aggregate({table}, named_struct('l', x div {b}, 'r', x % {b}), (s, k) -> {turn})), "
+            f"t -> t.l * {b} + t.r)[0]")
+    walked = f"aggregate(sequence(1, {WALK}), _lf_p, (x, i) -> CASE WHEN x < `{n}` THEN x ELSE {once} END)"
+    ended = (f"transform(array({walked}), x -> CASE WHEN x < `{n}` THEN x ELSE "
+             f"CAST(raise_error('the permutation did not end') AS BIGINT) END)[0]")
+    # A filter on the result would be moved below the projections and repeat
+    # them all in one expression; it stays above one that isn't deterministic.
+    zero = "CAST(spark_partition_id() * 0 AS BIGINT)"
+    rows = df.selectExpr("*", *steps)
+    kept = [f"`{c}`" for c in df.columns if c != out]
+    return rows.selectExpr(*kept, f"{zero} + CASE WHEN _lf_p < `{n}` THEN _lf_p ELSE {ended} END AS `{out}`")

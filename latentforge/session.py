@@ -39,6 +39,8 @@ def build_session(master: str | None = None, app: str = "latentforge",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         "spark.sql.execution.arrow.maxRecordsPerBatch": str(ARROW_BATCH_ROWS),
         "spark.python.worker.reuse": "true",
+        # no Python stack is taken for every column expression that is built
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.session.timeZone": "UTC",
     }
     if shuffle_partitions:

@@ -212,11 +212,11 @@ def test_position_columns_that_exist_are_replaced(spark):
 
 @pytest.mark.parametrize("n", [1, 2, 3, 5, 10, 97, 576, 577, 5000])
 def test_permutations_are_exact(spark, n):
-    from latentforge.functions.rand import permuted
+    from latentforge.functions.rand import with_permuted
     df = spark.range(n)
     seen = set()
     for seed in range(3):
-        p = [r[0] for r in df.select(permuted(F.col("id"), F.lit(n).cast("long"), seed)).collect()]
+        p = [r[0] for r in with_permuted(df.withColumn("n", F.lit(n).cast("long")), "id", "n", seed, "p").select("p").collect()]
         assert sorted(p) == list(range(n))
         seen.add(tuple(p))
     assert n < 5 or len(seen) == 3
@@ -224,9 +224,10 @@ def test_permutations_are_exact(spark, n):
 
 def test_permutations_mix(spark):
     """Neighbours are parted, and the permuted places are spread evenly."""
-    from latentforge.functions.rand import permuted
+    from latentforge.functions.rand import with_permuted
     n = 40_000
-    p = [r[0] for r in spark.range(n, numPartitions=1).select(permuted(F.col("id"), F.lit(n).cast("long"), 11)).collect()]
+    p = [r[0] for r in with_permuted(
+        spark.range(n, numPartitions=1).withColumn("n", F.lit(n).cast("long")), "id", "n", 11, "p").select("p").collect()]
     close = sum(abs(a - b) <= 20 for a, b in zip(p, p[1:]))
     assert close < 3 * n * 40 / n + 40
     first = [x for x in p[:n // 10] if x < n // 10]
@@ -236,9 +237,10 @@ def test_permutations_mix(spark):
 
 
 def test_large_numbers_are_permuted_within_range(spark):
-    from latentforge.functions.rand import permuted
+    from latentforge.functions.rand import with_permuted
     n = 10 ** 15 + 37
-    got = [r[0] for r in spark.range(n - 2000, n).select(permuted(F.col("id"), F.lit(n), "x")).collect()]
+    got = [r[0] for r in with_permuted(spark.range(n - 2000, n).withColumn("n", F.lit(n)), "id", "n", "x", "p")
+           .select("p").collect()]
     assert len(set(got)) == 2000 and 0 <= min(got) and max(got) < n
     assert abs(sum(got) / 2000 / n - 0.5) < 0.05
 
