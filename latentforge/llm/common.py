@@ -54,15 +54,23 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEAN_UP, "false")
+    before = spark.conf.get(_CLEAN_UP, None)
     spark.conf.set(_CLEAN_UP, "true")
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(_CLEAN_UP, before)
+        spark.conf.unset(_CLEAN_UP) if before is None else spark.conf.set(_CLEAN_UP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or it with underscores, such that ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def is_empty(df: DataFrame) -> bool:
     return not df.take(1)
 

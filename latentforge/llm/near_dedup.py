@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import if_small, stored
+from .common import if_small, stored, unused
 from .components import components
 
 SHINGLE = 5
@@ -196,7 +196,8 @@ def classes(docs: DataFrame, link: int = LINK) -> DataFrame:
     keyed = signed.where("set_key IS NOT NULL AND doc_id IS NOT NULL")
     # one document with several texts (repeated ids) links their classes
     reps = stored(keyed.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
-    repeated = keyed.groupBy("doc_id").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y")).where("x != y")
+    repeated = keyed.groupBy("doc_id").agg(F.min("set_key").alias("x"), F.max("set_key").alias("y")) \
+        .where("x != y").select("doc_id")
 
     rep_rows = (keyed.join(reps, "set_key").where("doc_id = rep").dropDuplicates(["set_key"])
                 .select("set_key", "doc_id", "n_shingles", "bands", "sketch"))
@@ -257,8 +258,9 @@ def classes(docs: DataFrame, link: int = LINK) -> DataFrame:
             .select(F.least("doc_id_x", "doc_id").alias("a"), F.greatest("doc_id_x", "doc_id").alias("b")).distinct())
     more = stored(_linked(rest, sets, facts, link), "more-links")
 
-    same_id = (repeated.join(reps.select(F.col("set_key").alias("x"), F.col("rep").alias("a")), "x")
-               .join(reps.select(F.col("set_key").alias("y"), F.col("rep").alias("b")), "y").select("a", "b"))
+    named = keyed.select("doc_id", "set_key").join(repeated, "doc_id", "left_semi").distinct().join(reps, "set_key")
+    same_id = (named.join(named.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id")
+               .select("a", F.col("rep").alias("b")).where("a != b").distinct())
     final = components(links.union(more).union(same_id))
     owner = reps.join(final.withColumnRenamed("id", "rep"), "rep", "left").select(
         "set_key", F.coalesce("component", "rep").alias("class_id"))
@@ -271,5 +273,6 @@ def classes(docs: DataFrame, link: int = LINK) -> DataFrame:
 
 def dedup(docs: DataFrame, link: int = LINK) -> DataFrame:
     """``docs`` without the documents that aren't the first of their component."""
-    gone = stored(classes(docs, link).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(if_small(gone), F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = unused(docs, "gone")
+    gone = stored(classes(docs, link).where("NOT kept").select(F.col("doc_id").alias(name)).distinct(), "gone")
+    return docs.join(if_small(gone), F.col("doc_id") == F.col(name), "left_anti")

@@ -21,7 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, let, positions, words
+from .common import SPACE, let, positions, unused, words
 
 # Frequent function words of the four languages of the corpus.
 STOP_WORDS = (
@@ -150,10 +150,11 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 def judge(docs: DataFrame, text: str = "text", rules=RULES) -> DataFrame:
     """``docs`` with the counts, ``base_failed``, ``failed_rules``, ``kept``."""
     out = (*COUNTS, "base_failed", "failed_rules", "kept")
-    m = F.col("_measures")
+    own = unused(docs, "_measures")
+    m = F.col(own)
     base, failed = compile_rules(m, rules)
     rest = [c for c in docs.columns if c not in out]
-    return (docs.select(*rest, _measures(F.coalesce(F.col(text), F.lit(""))).alias("_measures"))
+    return (docs.select(*rest, _measures(F.coalesce(F.col(text), F.lit(""))).alias(own))
             .select(*rest, *[m[c].alias(c) for c in COUNTS],
                     base.alias("base_failed"), failed.alias("failed_rules"))
             .withColumn("kept", ~F.col("base_failed") & (F.size("failed_rules") == 0)))

@@ -188,8 +188,8 @@ def as_string(spans: Column) -> Column:
 
 def redact(docs: DataFrame, model: tuple | None, text: str = "text", mark: str = "[SECRET]") -> DataFrame:
     """Texts with every span, or group of overlapping spans, replaced by ``mark``."""
-    found = scan(docs, model, text)
-    body = F.col(text)
+    found = scan(docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text")), model)
+    body = F.col("text")
 
     def rebuilt(spans: Column) -> Column:
         def pieces(done: Column) -> Column:       # done: furthest end so far
@@ -202,4 +202,4 @@ def redact(docs: DataFrame, model: tuple | None, text: str = "text", mark: str =
         return let(_running(F.transform(spans, lambda s: s["end"]), lambda a, b: F.greatest(a, b)), pieces)
 
     clean = F.when(F.size("spans") == 0, body).otherwise(let(F.col("spans"), rebuilt))
-    return found.withColumn(text, clean).select(*docs.columns)
+    return found.select(*[(clean if c == text else F.col("row").getField(c)).alias(c) for c in docs.columns])

@@ -38,6 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.positions import with_position
 from .common import stored
 
 LENGTH = 100
@@ -264,10 +265,9 @@ def _with_key(docs: DataFrame) -> DataFrame:
     n, named, distinct = docs.agg(F.count(F.lit(1)), F.count("doc_id"), F.count_distinct("doc_id")).first()
     if n == distinct:
         return docs.withColumn("_doc", F.col("doc_id").cast("long"))
-    order = Window.partitionBy("doc_id").orderBy("text")
-    keyed = docs.withColumn("_doc", F.struct(F.col("doc_id").cast("long").alias("id"),
-                                             F.row_number().over(order).alias("copy")))
-    return stored(keyed, "keyed")
+    placed = with_position(docs, ["doc_id", "text"], pos_col="_copy")
+    return placed.withColumn("_doc", F.struct(F.col("doc_id").cast("long").alias("id"),
+                                              F.col("_copy").alias("copy"))).drop("_copy")
 
 
 def _repeats(docs: DataFrame, kind: T.DataType) -> DataFrame:
@@ -331,11 +331,16 @@ def strip(docs: DataFrame) -> DataFrame:
     """``docs`` with repeated strings cut out of ``text`` (whole characters
     only); ``n_chars`` follows where it exists.  Documents of which nothing is
     left go; empty ones stay."""
-    keyed = _with_key(docs)
+    others = [c for c in docs.columns if c != "text"]
+    keyed = _with_key(docs.select("doc_id", "text", F.struct(*others).alias("row")))
     kept = remove_repeats(keyed.select(F.col("_doc").alias("doc"), "text")).select(
-        F.col("doc").alias("_doc"), F.col("kept_text").alias("_kept"), F.col("n_bytes").alias("_bytes"))
-    rest = (keyed.drop("text").join(kept, "_doc").where("_bytes = 0 OR _kept != ''")
-            .withColumnRenamed("_kept", "text"))
-    if "n_chars" in docs.columns:
-        rest = rest.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return rest.select(*docs.columns)
+        F.col("doc").alias("_doc"), "kept_text", "n_bytes")
+    rest = keyed.select("_doc", "row").join(kept, "_doc").where("n_bytes = 0 OR kept_text != ''")
+
+    def column(c: str):
+        if c == "text":
+            return F.col("kept_text")
+        if c == "n_chars":
+            return F.length("kept_text").cast(docs.schema["n_chars"].dataType)
+        return F.col("row").getField(c)
+    return rest.select(*[column(c).alias(c) for c in docs.columns])

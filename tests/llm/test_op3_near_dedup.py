@@ -73,6 +73,14 @@ def test_repeated_and_missing_ids(spark):
     assert sorted(str(r["doc_id"]) for r in nd.dedup(df).collect()) == ["5", "5", "5", "None", "None"]
 
 
+def test_many_texts_under_one_id(spark):
+    texts = {c: " ".join(f"{c}{i}" for i in range(12)) for c in "abcd"}
+    rows = [(5, "a"), (5, "b"), (5, "c"), (1, "a"), (2, "b"), (3, "c"), (4, "d")]
+    df = spark.createDataFrame([(d, texts[c]) for d, c in rows], "doc_id long, text string")
+    got = {(r["doc_id"], r["component_id"]) for r in nd.classes(df).collect()}
+    assert got == {(5, 1), (1, 1), (2, 1), (3, 1), (4, 4)}
+
+
 def test_empty_table(spark):
     assert nd.classes(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 

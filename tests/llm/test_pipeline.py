@@ -3,7 +3,7 @@ import re
 import pytest
 
 import corpus_pipeline as cp
-from latentforge.llm import packing, quality_rules
+from latentforge.llm import near_dedup, packing, quality_rules, secrets, suffix_dedup
 from tests.llm.test_op2_secrets import base as base_secrets
 from tests.llm.test_op3_near_dedup import brute as near_brute
 from tests.llm.test_op5_op6_op8 import check_packing
@@ -54,7 +54,7 @@ def test_columns_and_each_stage_against_brute_force(spark, staged):
     t = [texts(df) for df in staged[:-1]]
     kept = {r["doc_id"] for r in quality_rules.judge(staged[0]).where("kept").collect()}
     assert t[1] == {d: x for d, x in t[0].items() if d in kept}
-    firsts = {d for d, (_, _, first) in near_brute(list(t[1].items())).items() if first}
+    firsts = {d for d, (_, _, first) in near_brute(list(t[1].items()), cp.LINK).items() if first}
     assert t[2] == {d: x for d, x in t[1].items() if d in firsts}
     assert t[3] == strip_brute(list(t[2].items()))
     assert set(t[4]) == set(t[3])
@@ -107,3 +107,24 @@ def test_near_duplicates_of_the_table_against_brute_force(staged):
     before, after = texts(staged[1]), texts(staged[2])
     firsts = {d for d, (_, _, first) in near_brute(list(before.items()), 80).items() if first}
     assert after == {d: x for d, x in before.items() if d in firsts}
+
+
+def test_stages_carry_columns_of_any_name(spark):
+    """Extra columns that are named like the operators' own stay as they are."""
+    names = ["_kept", "_bytes", "_doc", "_copy", "row", "kept_text", "n_bytes", "gone", "_gone", "spans", "_measures",
+             "kept", "n_words", "component_id", "set_key", "doc"]
+    good = "The words of the text are in the order of " + " ".join(f"word{i} and the" for i in range(60))
+    rows = [(1, good), (2, good), (3, good[::-1] + " token = abcdefabcdefabcdef"), (None, None), (3, "")]
+    docs = spark.createDataFrame([r + tuple(f"{r[0]}-{n}" for n in names) for r in rows],
+                                 "doc_id long, text string, " + ", ".join(f"`{n}` string" for n in names))
+
+    def extras(df):
+        assert df.columns == docs.columns
+        return {(r["doc_id"], *(r[n] for n in names)) for r in df.collect()}
+    every = extras(docs)
+    for out in (suffix_dedup.strip(docs), near_dedup.dedup(docs), secrets.redact(docs, secrets.train(docs)),
+                quality_rules.keep_good(docs)):
+        assert extras(out) <= every
+    judged = quality_rules.judge(docs)
+    assert {(r["doc_id"], r["_measures"], r["spans"]) for r in judged.collect()} == {
+        (d, f"{d}-_measures", f"{d}-spans") for d, _ in rows}
