@@ -6,11 +6,18 @@ labelled samples of the corpus itself: values that the base patterns find
 of characters is a secret if its mean log-likelihood ratio per transition is
 above a threshold.  The base patterns' own matches are always kept.
 
+Prose hardly has the transitions of paths, camel case or constants.  So the
+ordinary model gives a part of each row to a back-off: whether the next
+character stays in the word, starts one, or is a digit or a separator
+(``NEXT``), and in a word the letter pairs of the corpus whatever their case.
+
 The documents that are scanned are also trained on, so identifiers without a
 label may be secrets themselves.  A candidate is therefore judged without its
-own transitions, and the threshold comes from the lower half of the ordinary
-ratios: ``SPREADS`` times the distance from their 10 % quantile to the median,
-above the median, which a minority of secrets hardly moves.
+own transitions.  The threshold is never below zero, where both models explain
+a string equally well, nor below the ratio that an ordinary identifier exceeds
+with the probability ``FALSE_ALARMS`` (by the median and the 10 % quantile,
+which a minority of secrets hardly moves), nor below the part ``SHARE`` of the
+mean ratio of strings that the random model itself makes.
 
 All distinct identifiers are used.  What reaches the driver is a count for
 each pair of characters and two quantiles.
@@ -30,6 +37,8 @@ from __future__ import annotations
 
 import json
 import math
+from collections import defaultdict
+from statistics import NormalDist
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -45,8 +54,8 @@ CANDIDATE = r"[A-Za-z0-9+/_-]{16,}={0,2}"
 IDENTIFIER = r"[A-Za-z0-9+/_-]{12,}={0,2}"
 
 EVEN = 0.8                # share of the even model in that of random strings
-SMOOTH = 0.05             # of a pair that no ordinary identifier has
-SPREADS = 5.5             # threshold: so many times 10 % to median above the median
+BACK_OFF, LEAST = 0.15, 3.0   # share of a row that the back-off has, and transitions at least
+FALSE_ALARMS, SHARE = 1e-6, 0.2
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _NONE = "array<struct<start:int,kind:int,end:int>>"
 
@@ -101,7 +110,7 @@ def _ratio(model: tuple, token: Column) -> Column:
     other, so the work is one sort.
     """
     size = len(ALPHABET)
-    log_rand, plain, rows = (_table(t) for t in model[:3])
+    log_rand, plain, rows, back, mass = (_table(t) for t in model[:5])
 
     def mean(pairs: Column) -> Column:
         first = F.filter(F.transform(pairs, lambda x, i: F.when((i == 0) | (x != F.get(pairs, i - 1)), i)),
@@ -113,8 +122,8 @@ def _ratio(model: tuple, token: Column) -> Column:
         def total(counted: Column) -> Column:
             def part(c: Column, trained: Column) -> Column:
                 less = F.when(trained, c["own"]).otherwise(F.lit(0))
-                q = (F.get(plain, c["x"]) - less + SMOOTH) / (
-                    F.get(rows, F.floor(c["x"] / size).cast("int")) - less + SMOOTH * size)
+                row = F.floor(c["x"] / size).cast("int")
+                q = (F.get(plain, c["x"]) - less + F.get(back, c["x"])) / (F.get(rows, row) - less + F.get(mass, row))
                 return c["own"] * (F.get(log_rand, c["x"]) - F.log(q))
             return let(F.forall(counted, lambda c: F.get(plain, c["x"]) >= c["own"]), lambda trained: F.aggregate(
                 F.transform(counted, lambda c: part(c, trained)), F.lit(0.0), lambda acc, x: acc + x))
@@ -135,13 +144,52 @@ def labelled(docs: DataFrame, text: str = "text") -> DataFrame:
         "token", (F.col("valued") | F.rlike("token", F.lit(HEX)) | F.rlike("token", F.lit(ACCESS))).alias("random"))
 
 
+# What follows a character in an ordinary identifier, if counts don't tell:
+# class -> shares of a letter of either case, a digit, a separator, another sign.
+NEXT = {
+    "lower": {"lower": 0.78, "upper": 0.06, "digit": 0.05, "sep": 0.10, "sign": 0.01},
+    "upper": {"lower": 0.45, "upper": 0.40, "digit": 0.04, "sep": 0.10, "sign": 0.01},
+    "digit": {"lower": 0.03, "upper": 0.02, "digit": 0.66, "sep": 0.28, "sign": 0.01},
+    "sep": {"lower": 0.60, "upper": 0.15, "digit": 0.15, "sep": 0.09, "sign": 0.01},
+    "sign": {"lower": 0.20, "upper": 0.20, "digit": 0.20, "sep": 0.20, "sign": 0.20},
+}
+
+
+def _class(c: str) -> str:
+    return ("lower" if c.islower() else "upper" if c.isupper() else "digit" if c.isdigit()
+            else "sep" if c in "/_-" else "sign")
+
+
+def back_off(plain: list) -> list:
+    """Probabilities of all pairs from the counts of ordinary pairs: classes by
+    ``NEXT``, letters of a word by pairs of letters without case, letters that
+    start a word by single letters."""
+    pairs, starts = defaultdict(lambda: 1.0), defaultdict(lambda: 1.0)
+    for x, n in enumerate(plain):
+        a, b = ALPHABET[x // len(ALPHABET)].lower(), ALPHABET[x % len(ALPHABET)].lower()
+        if a.isalpha() and b.isalpha():
+            pairs[a, b] += n
+            starts[b] += n
+    kinds = {k: [c for c in ALPHABET if _class(c) == k] for k in NEXT}
+    out = []
+    for a in ALPHABET:
+        for b in ALPHABET:
+            here, there = _class(a), _class(b)
+            within = a.isalpha() and b.isalpha() and not (here == "lower" and there == "upper")
+
+            def weight(c: str) -> float:
+                return pairs[a.lower(), c.lower()] if within else starts[c.lower()] if c.isalpha() else 1.0
+            out.append(NEXT[here][there] * weight(b) / sum(map(weight, kinds[there])))
+    return out
+
+
 def train(docs: DataFrame, text: str = "text") -> tuple | None:
     """(log probabilities of random pairs, counts of ordinary pairs, their sums
-    by first character, threshold), or None.
+    by first character, back-off in transitions by pair, its sums, threshold),
+    or None.
 
     The model of random strings is mixed mostly with an even one over the alphabet,
-    since any character may follow any other in a key; the ordinary model is
-    smoothed lightly.
+    since any character may follow any other in a key.
     """
     size = len(ALPHABET)
     tokens = stored(labelled(docs, text), "identifiers")
@@ -156,10 +204,16 @@ def train(docs: DataFrame, text: str = "text") -> tuple | None:
         rand, plain = (counts[k][a * size:(a + 1) * size] for k in (True, False))
         rows.append(sum(plain))
         log_rand += [round(math.log((1 - EVEN) * (r + 1.0) / (sum(rand) + size) + EVEN / size), 6) for r in rand]
-    model = (log_rand, counts[False], rows)
+    mass = [LEAST + BACK_OFF * n for n in rows]
+    back = [round(p * mass[x // size], 6) for x, p in enumerate(back_off(counts[False]))]
+    model = (log_rand, counts[False], rows, back, mass)
     low, middle = (tokens.where("NOT random").select(_ratio(model, F.col("token")).alias("r"))
                    .agg(F.percentile_approx("r", [0.1, 0.5], F.lit(10_000))).first()[0])
-    return *model, middle + SPREADS * (middle - low)
+    spread = (middle - low) / -NormalDist().inv_cdf(0.1)
+    alarm = middle + spread * NormalDist().inv_cdf(1 - FALSE_ALARMS)
+    made = sum(math.exp(p) * (p - math.log((counts[False][x] + back[x]) / (rows[x // size] + mass[x // size])))
+               for x, p in enumerate(log_rand)) / size
+    return *model, max(0.0, alarm, SHARE * made)
 
 
 def _table(table: list) -> Column:
@@ -176,7 +230,7 @@ def scan(docs: DataFrame, model: tuple | None, text: str = "text") -> DataFrame:
         _spans(body, HEX, 2),
     ]
     if model is not None:
-        found.append(_spans(body, CANDIDATE, 3, lambda m: _ratio(model, m) > model[3]))
+        found.append(_spans(body, CANDIDATE, 3, lambda m: _ratio(model, m) > model[-1]))
     return docs.withColumn("spans", F.sort_array(F.concat(*found)))
 
 

@@ -3,6 +3,7 @@ import random
 import re
 import string
 
+import pytest
 from pyspark.sql import functions as F
 
 from latentforge.llm import secrets as sc
@@ -80,6 +81,34 @@ def test_model_finds_keys_without_base_pattern_and_leaves_words(spark):
     assert extra <= 5
 
 
+CODE = ["internationalization", "anticonstitutionnellement", "desenvolvimento-sustentavel", "responsabilidades",
+        "user_profile_settings_page", "chrome-extension-manifest-v3", "this-is-a-long-hyphenated-name",
+        "2024-03-05_report_final_v2", "spark_sql_shuffle_partitions", "org/apache/spark/sql/functions",
+        "src/main/java/org/apache/commons/lang", "/usr/local/lib/python3/site-packages",
+        "wp-content/uploads/2023/05/photo", "images/products/large/12345", "en_US-UTF-8-locale-settings",
+        "getElementsByClassNameFromDocument", "handleButtonClickEvent", "NullPointerException",
+        "XMLHttpRequestEventTarget", "Donaudampfschifffahrtsgesellschaft", "2024-01-15T10-30-00-backup",
+        "123456789012345-67890123"]
+
+
+@pytest.mark.parametrize("name", ["sf0.01", "sf0.1"])
+def test_paths_names_and_long_words_are_no_secrets_and_keys_of_all_kinds_are(spark, name):
+    rng = random.Random(5)
+    signs = {"mixed": string.ascii_letters + string.digits, "lower": string.ascii_lowercase + string.digits,
+             "upper": string.ascii_uppercase + string.digits, "url": string.ascii_letters + string.digits + "-_",
+             "hex": "0123456789ABCDEF"}
+    keys = [(k, "".join(rng.choice(s) for _ in range(40))) for k, s in signs.items() for _ in range(20)]
+    docs = spark.read.parquet(f"/root/testdata/{name}/documents.parquet").select("doc_id", "text")
+    model = sc.train(docs)
+    assert model[-1] >= 0
+    rows = [(k, f"see {x} here") for k, x in keys] + [("code", f"see {x} here") for x in CODE]
+    hits = {}
+    for r in sc.scan(spark.createDataFrame(rows, "doc_id string, text string"), model).collect():
+        hits.setdefault(r["doc_id"], []).append(any(s["kind"] == 3 for s in r["spans"]))
+    assert not any(hits.pop("code"))
+    assert sum(hits.pop("hex")) >= 16 and all(map(all, hits.values()))
+
+
 def test_redaction_replaces_exactly_the_spans(spark):
     model = None
     rows = list(enumerate(ODD))
