@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.rand import hash_hex, permuted, uniform
+from ..functions.rand import hash_hex, uniform, with_permuted
 from .positions import with_position
 
 PREFIX_DIGITS = 4         # hex digits of a hash that are counted in one step
@@ -72,14 +72,14 @@ def epoch_shuffle(df: DataFrame, key: str, epoch: int, seed: int = 0, pos_col: s
 
     Rows are numbered once along ``key`` (a number they may bring along as
     ``index`` and ``n``); each epoch then permutes these numbers by arithmetic
-    alone (:func:`rand.permuted`), so an epoch sorts and moves nothing.
+    alone (:func:`rand.with_permuted`), so an epoch sorts and moves nothing.
     """
     index, n = "_lf_index", "_lf_size"
     if "index" in df.columns and "n" in df.columns:
         rows = df.withColumns({index: F.col("index"), n: F.col("n")})
     else:
         rows = with_position(df, [key], pos_col=index, size_col=n)
-    out = rows.withColumn(pos_col, permuted(F.col(index), F.col(n), seed + epoch))
+    out = with_permuted(rows, index, n, seed + epoch, pos_col)
     if size_col is not None:
         out = out.withColumn(size_col, F.col(n))
     return out.drop(index, n)
