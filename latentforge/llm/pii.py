@@ -9,13 +9,16 @@ are added, the most probable first, if they overlap nothing reported already.
 
 The trees are trained here.  Positive examples are base matches and variants
 of them in their own context (separators changed, country code left out, "at"
-written out, digits as an account).  Other candidates may be personal data too
-and have no label, unless their context or length rules it out: these are the
-negative examples, with the variants put into such contexts.  So the held-out
-precision is that against candidates that are ruled out.  The sample is bounded:
-the ``SAMPLE_DOCS`` documents whose ids have the least hashes, and of their
+written out, digits as an account).  Negative examples are ordinary numbers —
+amounts in groups of thousands, dates, spans of years, lists, plain counts,
+versions, book numbers — set between words of the corpus and, where no format
+could be taken for a telephone number, in the contexts of base matches too; and
+candidates that are part of a longer word, a version or too long.  Any other
+candidate may be personal data and has no label.  The sample is bounded: the
+``SAMPLE_DOCS`` documents whose ids have the least hashes, and of their
 candidates the ``SAMPLE`` with the least hashes.  A quarter of it is held out
-and sets the threshold.
+and sets the threshold: the least at which ``PRECISION`` of the held-out spans
+above it are positive ones.
 
 Scans are linear in the text: possessive patterns, and addresses are found
 from their "@" outwards.
@@ -57,6 +60,8 @@ _HOST = re.compile(r"[A-Za-z0-9-]++(?: ?(?:\.|\[dot\]|\(dot\)) ?[A-Za-z0-9-]++)+
 _ACCOUNT = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}+(?![A-Za-z0-9])")
 _CUES = re.compile(r"phone|tel|call|fax|mobile|mail|contact|card|visa|credit|account|iban|ssn|address|\bip\b", re.I)
 _DATE = re.compile(r"(?:19|20)[0-9]{2}([-./])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-./])[0-9]{1,2}\2(?:19|20)[0-9]{2}")
+_YEAR = re.compile(r"1[5-9][0-9]{2}|20[0-9]{2}")
+_THOUSANDS = re.compile(r"[0-9]{1,3}([ .])[0-9]{3}(?:\1[0-9]{3})*")
 _VERSION = re.compile(r"version|licen[cs]e|chapter|section|page|isbn|\bv\.?$", re.I)
 
 
@@ -128,8 +133,9 @@ def candidates(text: str):
     for m in _DIGITS.finditer(text):
         if len(m[0]) >= 7 and len(_digits(m[0])) >= 7:
             yield m.span()
+    done = 0
     for m in _AT.finditer(text):
-        start = _local_start(text, m.start(), max(0, m.start() - 320))
+        start, done = _local_start(text, m.start(), done), m.end()
         host = _HOST.match(text, m.end()) if start < m.start() else None
         if host:
             yield start, host.end()
@@ -140,7 +146,9 @@ def candidates(text: str):
 def features(body: str, before: str, after: str) -> list:
     """Format of a span and its context, as numbers."""
     d = _digits(body)
-    groups = [len(g) for g in re.findall(r"[0-9]+", body)]
+    parts = re.findall(r"[0-9]+", body)
+    groups = [len(g) for g in parts]
+    between = set(re.findall(r"[^0-9A-Za-z]+", body[1:-1]))
     letters = sum(c.isalpha() for c in body)
     return [
         len(body), len(d), letters, len(groups), max(groups, default=0), min(groups, default=0),
@@ -150,6 +158,9 @@ def features(body: str, before: str, after: str) -> list:
         float(letters > 0 and body[-1:].isalpha()), float(before[-1:].isalnum()), float(after[:1].isalnum()),
         float(bool(_CUES.search(before))), float(bool(_VERSION.search(before))),
         float(sum(c.isdigit() for c in before) > 3), float(sum(c.isdigit() for c in after) > 3),
+        float(bool(_DATE.fullmatch(body))), sum(bool(_YEAR.fullmatch(p)) for p in parts), len(between),
+        float(bool(_THOUSANDS.fullmatch(body))), float(body[:1] == "0"), groups[0] if groups else 0,
+        float(bool(_CUES.search(before[-16:]))),
     ]
 
 
@@ -182,6 +193,30 @@ def accounts(digits: str) -> list:
     return ["DE" + " ".join([d[:2], *(d[i:i + 4] for i in range(2, 2 + 4 * k, 4))]) for k in range(2, 8)]
 
 
+def ordinary(seed: int) -> tuple[list, list]:
+    """Numbers that are no personal data, made from the digits of ``seed``:
+    (such as never look like telephone numbers, such as may)."""
+    d = f"{seed:020d}"[-20:]
+    year, month, day = 1900 + int(d[:3]) % 130, 1 + int(d[3:5]) % 12, 1 + int(d[5:7]) % 28
+    lead = str(1 + int(d[7:10]) % (10, 100, 999)[int(d[0]) % 3])
+    never = [
+        f"{lead} {d[10:13]} {d[13:16]}", f"{lead}.{d[10:13]}.{d[13:16]}", f"{lead} {d[10:13]} {d[13:16]} {d[16:19]}",
+        f"{year}-{month:02d}-{day:02d}", f"{day:02d}.{month:02d}.{year}", f"{day}/{month:02d}/{year}",
+        f"{year}/{month:02d}/{day:02d}", f"{year}-{year + int(d[8]) + 1}", f"{year}-{year + 1} {year + 9}",
+        f"{year} {year + 4} {year + 8}", f"{year}/{year + 1}", f"{d[1]}00/{d[2]}00/{d[3]}00",
+        f"{d[1]}0 {d[2]}0 {d[3]}0 {d[4]}0", f"{d[9:11]}.{d[11:13]}.{d[13]}.{d[14:17]}.{d[17]}",
+        f"978-{d[9]}-{d[10:12]}-{d[12:18]}-{d[18]}", f"{year}-{month:02d}-{day:02d} {d[9]}.{d[10:12]}"]
+    may = ["1" + d[10:16], "2" + d[10:18], "3" + d[9:19], f"{lead}00{d[10:14]}", f"{d[9:13]}-{d[13:17]}"]
+    return ([x for x in never if _seven(x)], [x for x in may if _seven(x)])
+
+
+def _seven(x: str) -> bool:
+    return len(_digits(x)) >= 7
+
+
+ORDINARY = 1                 # places in a text where ordinary numbers are set
+
+
 def ruled_out(body: str, before: str, after: str) -> bool:
     """Whether a candidate can't be personal data: part of a longer word, a
     version or page, a date, or more digits than telephone numbers have that
@@ -205,12 +240,29 @@ def _examples(batches):
                 if k >= 2:
                     every += accounts(_digits(body))
                 group = xxhash.xxh64_intdigest(body.encode("utf-8", "replace")) >> 1
+                for v in ordinary(group)[0]:
+                    rows.append(features(v, before, after))
+                    label.append(0)
+                    part.append(group)
                 for v in every:
+                    if any(c.isalpha() for c in v):      # letters tell an account or address without any context
+                        rows.append(features(v, " ", " "))
+                        label.append(1)
+                        part.append(group)
                     for y, x in ((1, (v, before, after)), (0, (v, before + "a", after)), (0, (v, "Version ", after))):
                         rows.append(features(*x))
                         label.append(y)
                         part.append(group)
             held = _Taken(base)
+            for k in range(ORDINARY if " " in text else 0):
+                seed = xxhash.xxh64_intdigest(text.encode("utf-8", "replace"), k) >> 1
+                at = text.find(" ", seed % len(text))
+                before, after = text[max(0, at - 39):at + 1], text[at:at + 20]
+                if at > 0 and not _CUES.search(before) and not held.overlaps(at - 39, at + 20):
+                    for v in sum(ordinary(seed), []):
+                        rows.append(features(v, before, after))
+                        label.append(0)
+                        part.append(seed)
             for s, e in candidates(text):
                 body, before, after = _context(text, s, e)
                 if not held.overlaps(s, e) and ruled_out(body, before, after):

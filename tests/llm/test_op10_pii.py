@@ -2,6 +2,7 @@ import hashlib
 import re
 
 import numpy as np
+import pytest
 
 from latentforge.llm import pii
 from latentforge.llm.queries import QUERIES
@@ -102,3 +103,34 @@ def test_commoner_spans_than_base_matches_are_found_in_the_trained_table(spark):
     found = pii.added(texts, [pii.base_spans(t) for t in texts], pii.train(docs))
     assert [[(s, e) for _, s, e in f] for f in found[:len(planted)]] == [[(len(a), len(a + b))] for a, b in planted]
     assert not any(found[len(planted):])
+
+
+PLAIN = ["the city has 8 336 817 people", "from 1990-1991 2000 on", "on 2024-01-05 it rained", "mix 100/200/300 parts",
+         "a sum of 12.345.678 was paid", "isbn 978-3-16-148410-0 is out", "version 10.2.3.44.5 came",
+         "between 1914-1918 and later", "rows 10 20 30 40 in all", "5 000 000 000 years ago", "on 05.11.1989 the wall fell",
+         "count of 1234567 items", "there were 25000000 of them", "see 1999/2000 for more", "in 2001 2005 2009 again",
+         "at 2024-01-05 12.30 sharp", "page 12-13 of 4567890", "1 000 000 copies sold", "dated 31/12/1999 here"]
+PERSONAL = ["call (017) 555-7713 now", "write to jane.roe [at] mail7.example.com please",
+            "reach me at (030) 555 1234 today", "phone: 017 555-7713 ask", "jane.roe(at)host.org",
+            "pay to DE89 3704 0044 0532 0130 now"]
+
+
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_ordinary_numbers_are_no_personal_data(spark, sf):
+    """Dates, amounts, spans, lists and counts in the trained table are left
+    alone, and personal data beside them is found."""
+    docs = spark.read.parquet(f"/root/testdata/{sf}/documents.parquet").select("doc_id", "text")
+    own = spark.createDataFrame([(10 ** 12 + k, t) for k, t in enumerate(PLAIN + PERSONAL)], "doc_id long, text string")
+    trees = pii.train(docs.union(own))
+
+    def found(texts):
+        return [[t[a:b] for _, a, b in x] for t, x in zip(texts, pii.added(texts, [pii.base_spans(t) for t in texts], trees))]
+    assert sum(map(len, found(PLAIN))) == 0
+    assert [x[0] if x else None for x in found(PERSONAL)] == [
+        "(017) 555-7713", "jane.roe [at] mail7.example.com", "(030) 555 1234", "017 555-7713", "jane.roe(at)host.org",
+        "DE89 3704 0044 0532 0130"]
+
+
+def test_a_long_name_before_a_written_out_at_is_whole(spark):
+    text = "x " + "a" * 5000 + " [at] host.org " + "b" * 400 + "(at)other.net"
+    assert {text[a:b] for a, b in pii.candidates(text)} >= {"a" * 5000 + " [at] host.org", "b" * 400 + "(at)other.net"}
