@@ -473,6 +473,20 @@ def oracle_more() -> dict:
         + ") / CAST(0.18215 AS DOUBLE)) * CAST(0.18215 AS DOUBLE) + 1.0) * 127.5, 0.0), 255.0), 0) AS INTEGER) "
         "AS pixels FROM s3", "dataset", extra=ctes)
     out["prepare_images_numpy"] = out["prepare_images"]
+    # windowed sinc from 8 to 10 places (centres 0.8 apart), columns then rows, each rounded to 8 bits
+    sinc = "CASE WHEN x = 0 THEN 1.0 ELSE 3 * sin(pi() * x) * sin(pi() * x / 3) / (pi() * x * pi() * x) END"
+    out["prepare_images_lanczos"] = V(
+        "SELECT id, CAST(k AS INTEGER) AS i, round(CASE WHEN k % 12 BETWEEN 1 AND 10 THEN v / 127.5 - 1.0 ELSE -1.0 END, 6) "
+        f"AS tensor FROM (SELECT id, k FROM {grid(360)}) g LEFT JOIN (SELECT id AS vid, p, o, v FROM rows_) r ON r.vid = g.id "
+        "AND r.p = (g.k // 12) % 10 AND r.o = g.k % 12 - 1", "latents", extra={
+            "w0": "SELECT o, k, (k + 0.5) - (o + 0.5) * CAST(0.8 AS DOUBLE) AS x FROM range(10) a(o), range(8) b(k)",
+            "w1": f"SELECT o, k, {sinc} AS w FROM w0 WHERE abs(x) < 3",
+            "w": "SELECT o, k, w / sum(w) OVER (PARTITION BY o) AS w FROM w1",
+            "px": f"SELECT id, j // 8 AS y, j % 8 AS k, {p10('j')} AS v FROM (SELECT id, x, k AS j FROM {grid(64)})",
+            "cols_": "SELECT id, y, o, least(greatest(floor(sum(w * v) + 0.5), 0), 255) AS v FROM px JOIN w USING (k) "
+                     "GROUP BY id, y, o",
+            "rows_": "SELECT id, w.o AS p, c.o AS o, least(greatest(floor(sum(w * v) + 0.5), 0), 255) AS v FROM cols_ c "
+                     "JOIN w ON w.k = c.y GROUP BY id, w.o, c.o"})
     out["load_images"] = out["read_images"]
     out["generate_files"] = out["generate"]
     out["read_annotations_document"] = out["read_annotations"]

@@ -8,12 +8,14 @@ columns or parameters).  Two equivalent paths:
 * NumPy path (P7) — one ``mapInPandas`` pass per Arrow batch for real image
   sizes (512×512×3), where a per-element lambda would be slow.
 
-Resampling is nearest-neighbour with pixel-centre sampling; other filters
-plug into P7 as a NumPy function.  Codecs are not part of this module.
+Resampling is nearest-neighbour with pixel-centre sampling, in columns and in
+P7; :func:`lanczos` and other filters plug into P7 as NumPy functions.  Codecs are not part of this module.
 """
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -187,6 +189,37 @@ def _nearest(img: np.ndarray, nh: int, nw: int) -> np.ndarray:
     return img[_nearest_index(h, nh)][:, _nearest_index(w, nw)]
 
 
+@lru_cache(maxsize=256)
+def _lanczos_taps(n_in: int, n_out: int, lobes: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """(source places, weights) of each output place along one axis: the
+    windowed sinc around its centre, stretched where the axis shrinks, over the
+    places that exist, with weights that sum to one."""
+    scale = n_in / n_out
+    stretch = max(scale, 1.0)
+    centre = (np.arange(n_out) + 0.5) * scale
+    first = np.maximum((centre - lobes * stretch + 0.5).astype(int), 0)
+    last = np.minimum((centre + lobes * stretch + 0.5).astype(int), n_in)
+    place = first[:, None] + np.arange((last - first).max())
+    x = (place + 0.5 - centre[:, None]) / stretch
+    weight = np.where((place < last[:, None]) & (np.abs(x) < lobes), np.sinc(x) * np.sinc(x / lobes), 0.0)
+    return np.minimum(place, n_in - 1), weight / weight.sum(axis=1, keepdims=True)
+
+
+def _along_rows(img: np.ndarray, n_out: int) -> np.ndarray:
+    place, weight = _lanczos_taps(img.shape[0], n_out)
+    out = np.zeros((n_out, *img.shape[1:]))
+    for t in range(place.shape[1]):
+        out += img[place[:, t]] * weight[:, t].reshape(-1, *[1] * (img.ndim - 1))
+    return np.clip(np.floor(out + 0.5), 0, 255)
+
+
+def lanczos(img: np.ndarray, nh: int, nw: int) -> np.ndarray:
+    """P2 with the original's filter, as a resampler for :func:`prepare_images`:
+    columns, then rows, each rounded to 8 bits."""
+    across = np.moveaxis(_along_rows(np.moveaxis(img, 1, 0), nw), 0, 1)
+    return _along_rows(across, nh)
+
+
 def prepare_one(img: np.ndarray, tw: int, th: int, resampler=_nearest, out: np.ndarray | None = None) -> np.ndarray:
     """P1–P5 for one HWC image → flat CHW float64 in [-1, 1].
 

@@ -253,7 +253,7 @@ def _ddim(s, d):
     sc = _sched(s).select("t", "alpha_cumprod")
     prev = sc.select((F.col("t") + 1).alias("t"), F.col("alpha_cumprod").alias("abar_prev"))
     j = jn.lookup_schedule(lt, sc, "t", 1000)
-    j = j.join(F.broadcast(prev), "t", "left").withColumn(
+    j = j.join(prev, "t", "left").withColumn(
         "abar_prev", F.coalesce(F.col("abar_prev"), F.lit(1.0)))
     return _flat(j.select("id", dd.ddim_step("noise", "x", "alpha_cumprod", "abar_prev").alias("x_prev")),
                  "id", ["x_prev"])
@@ -372,6 +372,15 @@ def _prepare_numpy(s, d):
     return _flat(t.select("id", "tensor"), "id", ["tensor"])
 
 
+def _prepare_lanczos(s, d):
+    """P2 with the original's filter inside P7."""
+    from ..operators import image as im
+    rgb = _grey(s, d).select("id", im.to_rgb("px").alias("rgb"), F.lit(8).alias("h"), F.lit(8).alias("w"),
+                             F.lit(3).alias("c"))
+    t = im.prepare_images(rgb, "id", "rgb", "h", "w", "c", tw=12, th=10, resampler=im.lanczos, dtype="double")
+    return _flat(t.select("id", "tensor"), "id", ["tensor"])
+
+
 def _train_transform(s, d):
     from ..operators import image as im
     rgb = _grey(s, d).select("id", im.to_rgb("px").alias("rgb"))
@@ -665,6 +674,7 @@ QUERIES.update({
     "hwc_to_chw": _hwc_chw,
     "prepare_images": _prepare,
     "prepare_images_numpy": _prepare_numpy,
+    "prepare_images_lanczos": _prepare_lanczos,
     "train_transform": _train_transform,
     "image_or_black": _black,
     "to_rgb_rgba": _rgba,
