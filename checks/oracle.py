@@ -489,6 +489,13 @@ def oracle_more() -> dict:
                      "JOIN w ON w.k = c.y GROUP BY id, w.o, c.o"})
     out["load_images"] = out["read_images"]
     out["generate_files"] = out["generate"]
+    out["curate_document"] = V(
+        "SELECT p.image_id AS id, p.n_captions, p.caption, 8 AS h, 8 AS w, 1 AS c, s.pixel_sum FROM p JOIN s ON "
+        "p.image_id = s.id WHERE p.image_id % 5 <> 0", "latents", "captions", extra={
+            "s": f"SELECT id, CAST(sum({p10('k')}) AS BIGINT) AS pixel_sum FROM {grid(64)} GROUP BY id",
+            "p": f"SELECT image_id, count(*) AS n_captions, arg_min(caption, {D.md5_of(7, 'image_id', 'ann_id')}) "
+                 f"AS caption FROM captions WHERE {D.any_contains(LC, T.people)} OR list_has_any("
+                 f"string_split_regex(caption, '{D.NON_WORD}'), ['Is', 'Du', 'Le']) GROUP BY image_id"})
     out["read_annotations_document"] = out["read_annotations"]
     out["read_annotations_document_images"] = out["read_annotations_images"]
     out["lazy_model"] = V("SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(1 AS BIGINT) AS loads_per_worker FROM results",

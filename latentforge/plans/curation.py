@@ -49,15 +49,16 @@ def curate(images: DataFrame, captions: DataFrame, lexicon: lx.Lexicon = lx.DEFA
 def curate_and_analyze(spark: SparkSession, annotations_path: str, lexicon: lx.Lexicon = lx.DEFAULT,
                        seed: int = 0, root: str = "", split: str = "train2014",
                        stats_prefix: str | None = None, stamp: str | None = None, load: bool = True,
-                       decoder=None, person=None):
-    """The whole curation job from annotation documents; returns (dataset,
-    statistics) and writes the statistics document when a prefix is given.
+                       decoder=None, person=None, multi_line: bool = False):
+    """The whole curation job from annotation documents (``multi_line`` for
+    the classic format); returns (dataset, statistics) and writes the
+    statistics document when a prefix is given.
 
     Images that can't be opened are dropped before the statistics, as are
     captions that neither a keyword nor ``person`` lets pass;
     ``load=False`` keeps images without reading them.
     """
-    ann, img = an.read_annotations(spark, annotations_path)
+    ann, img = an.read_annotations(spark, annotations_path, multi_line)
     ds = curate(img, ann, lexicon, seed, root, split, load=load, decoder=decoder, person=person)
     stats = agg.demographics(ds, "caption", lexicon)
     if stats_prefix:

@@ -614,6 +614,24 @@ def _curate(s, d):
     return ds.select("id", "image_path", "n_captions", "caption")
 
 
+def _curate_document(s, d):
+    """L1 as the original runs it: one annotation document, person fallback,
+    images opened by path and dropped where they can't be."""
+    from ..plans import curation
+    from ..sources import annotations as an
+    from ..sources import images as io
+    doc, root = _scratch(s, "curate-document"), _scratch(s, "curate-images")
+    g = _grey(s, d).select("id", "px", F.lit(8).alias("h"), F.lit(8).alias("w"), F.lit(1).alias("c"))
+    io.write_image_files(g.where("id % 5 != 0"), "id", "px", "h", "w", "c", f"{root}/train2014/train2014")
+    an.write_annotation_document(vw.captions(s, d), g.select("id", F.format_string("%d.raw", "id").alias("file_name")), doc)
+    ds, _ = curation.curate_and_analyze(s, doc, T, seed=7, root=root, person=flt.gazetteer_person(GAZETTEER),
+                                        multi_line=True)
+    byte_sum = F.aggregate(F.transform(F.sequence(F.lit(1), F.length("pixels")),
+                                       lambda i: F.conv(F.hex(F.substring("pixels", i, 1)), 16, 10).cast("long")),
+                           F.lit(0).cast("long"), lambda a, v: a + v)
+    return ds.select("id", "n_captions", "caption", "h", "w", "c", byte_sum.alias("pixel_sum"))
+
+
 def _training_input(s, d):
     from ..operators import diffusion as dd
     from ..plans import training
@@ -702,6 +720,7 @@ QUERIES.update({
     "encode_stream": _encode_stream,
     "stream_progress": _stream_progress,
     "curate": _curate,
+    "curate_document": _curate_document,
     "training_input": _training_input,
     "generate": _generate,
 })
