@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet in the shared folder and read again as the next one's
 input.  All but the last return the columns of ``documents``.
+
+Defined results: null and empty texts, and texts without words, fail the
+quality rules and go.  Rows without an id are kept as they are by the near
+duplicates and come first where ids order rows; rows that share an id are one
+document to the near duplicates and are kept or dropped together, and rows of
+their own to the other stages.  Extra columns are carried along under any
+name up to the packing, which has columns of its own.  An empty table gives an
+empty result.
 """
 
 from __future__ import annotations
