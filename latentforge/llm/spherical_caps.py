@@ -87,7 +87,7 @@ def plan(n: int, dim: int, link: float = LINK) -> tuple[float, int]:
     return alpha, max(1, math.ceil(SHARED / both))
 
 
-@lru_cache(maxsize=8)
+@lru_cache(maxsize=2 * CODES)
 def _code(dim: int, k: int, per_block: int) -> tuple[np.ndarray, list]:
     """(rotation, unit vectors of each block) of the k-th code."""
     rng = np.random.default_rng([SEED, dim, k])
