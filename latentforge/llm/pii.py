@@ -358,8 +358,8 @@ def train(docs: DataFrame) -> dict | None:
     ids = stored(docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("_id")).distinct()
                  .orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_DOCS), "sample-ids")
     sample = docs.join(F.broadcast(ids), F.col("doc_id") == F.col("_id"), "left_semi").select("text")
-    examples = (sample.mapInArrow(_examples, "x array<double>, y int, part long").distinct()
-                .orderBy("part", "y", "x").limit(SAMPLE).toPandas())
+    examples = stored(sample.mapInArrow(_examples, "x array<double>, y int, part long").distinct()
+                      .orderBy("part", "y", "x").limit(SAMPLE), "examples").toPandas()
     if examples["y"].nunique() < 2:
         return None
     x, y = np.array(examples["x"].tolist(), float), examples["y"].to_numpy(float)
