@@ -90,3 +90,29 @@ def test_one_file_of_a_stream_keeps_all_cores_busy(spark):
     out = spark.read.parquet(sink)
     assert out.count() == 400
     assert out.select("result").distinct().count() == spark.sparkContext.defaultParallelism
+
+
+def test_state_has_no_more_partitions_than_cores(spark):
+    cores, before = spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    assert cores < int(before)
+    src, provider = folder(), spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    spark.createDataFrame([(i, float(i % 50)) for i in range(100)], SCHEMA).write.mode("append").parquet(src)
+    first, second = folder(), folder()
+    es.stream_progress(spark, src, SCHEMA, double_or_fail, ["pos"], "value", T.DoubleType(), folder(), first)
+    es.resume_progress(spark, src, SCHEMA, double_or_fail, ["pos"], "value", folder(), second)
+    for at in (first, second):
+        assert 1 <= len([x for x in os.listdir(f"{at}/state/0") if x.isdigit()]) <= cores
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    assert spark.conf.get("spark.sql.streaming.stateStore.providerClass") == provider
+
+
+def test_progress_gets_a_row_for_each_task_and_status(spark):
+    df = spark.createDataFrame([("success", float(i)) if i % 4 else ("error", None) for i in range(1000)],
+                               "status string, result double").coalesce(2)
+    parts = df.mapInPandas(es._partial_progress, "status string, n long, total double").collect()
+    assert len(parts) <= 4
+    sums = {s: (sum(r.n for r in parts if r.status == s), sum(r.total for r in parts if r.status == s))
+            for s in ("success", "error")}
+    assert sums == {"success": (750, float(sum(i for i in range(1000) if i % 4))), "error": (250, 0.0)}
+    empty = df.where(F.lit(False)).mapInPandas(es._partial_progress, "status string, n long, total double")
+    assert empty.count() == 0
