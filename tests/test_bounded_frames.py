@@ -76,6 +76,39 @@ def test_whole_numbers_beside_an_error_stay_whole(spark):
     assert got == {k: None if k == 3 else big + k for k in range(20)}
 
 
+def test_denoise_loop_takes_bounded_batches(spark, staged):
+    sizes = []
+
+    def predictor(x, t, context=None):
+        sizes.append(x.size + sum(m.size for m in context or []))
+        shift = 0.0 if context is None else np.array([[m.mean()] for m in context])
+        return 0.1 * x, 0.2 * x + shift
+    rng = np.random.default_rng(1)
+    n, dim = 3000, 64
+    x, hidden = list(rng.normal(size=(n, dim))), [list(rng.normal(size=(1 + k % 9, 32))) for k in range(n)]
+    df = spark.createDataFrame([], "id long, hidden array<array<double>>")
+    pdf = pd.DataFrame({"key": range(n), "x": x, "context": hidden})
+    for context in (None, "hidden"):
+        run = dd.denoise_numpy(df, "id", 5, dim, predictor, steps=3, context=context).run
+        rows = pdf if context else pdf[["key", "x"]]
+        sizes.clear()
+        got = pd.concat(run([pd.concat([rows] * 3, ignore_index=True)]))
+        assert max(sizes) <= dd.LOOP_VALUES
+        assert got["key"].tolist() == 3 * list(range(n))
+        alone = pd.concat(run([rows.iloc[k:k + 1] for k in (0, 7, n - 1)]))
+        assert np.allclose(np.stack(got["sample"].iloc[[0, 7, n - 1]]), np.stack(alone["sample"]))
+        assert not list(run([rows.iloc[:0]]))
+
+
+def test_a_row_larger_than_the_bound_passes(spark, staged):
+    dim = dd.LOOP_VALUES + 1
+    df = spark.createDataFrame([], "id long, hidden array<array<double>>")
+    pdf = pd.DataFrame({"key": [1, 2], "x": [np.ones(dim)] * 2, "context": [[np.ones(2)]] * 2})
+    for context in (None, "hidden"):
+        run = dd.denoise_numpy(df, "id", 5, dim, lambda x, t, *c: (x, x), steps=1, context=context).run
+        assert [len(f) for f in run([pdf])] == [1, 1]
+
+
 def folder():
     return tempfile.mkdtemp(prefix="lf-test-", dir="/tmp")
 
