@@ -76,6 +76,24 @@ def test_whole_numbers_beside_an_error_stay_whole(spark):
     assert got == {k: None if k == 3 else big + k for k in range(20)}
 
 
+def test_encoder_gets_bounded_batches(spark, staged):
+    seen = []
+
+    def make():
+        def encode(tokens):
+            seen.append(len(tokens))
+            return inf.HashTokenEncoder(4)(tokens)
+        return encode
+    df = spark.createDataFrame([], "id long, tokens array<string>")
+    pdf = pd.DataFrame({"key": range(1000), "tokens": [[f"w{i}", "x"] for i in range(1000)]})
+    frames = list(inf.prompt_embedding(df, "id", "tokens", make_encoder=make).run([pdf]))
+    assert max(seen) <= inf.ENCODE_ROWS and max(map(len, frames)) <= inf.ENCODE_ROWS
+    got = pd.concat(frames)
+    assert got["key"].tolist() == list(range(1000))
+    want = inf.HashTokenEncoder(4)(pdf["tokens"])
+    assert all(np.array_equal(g, w) for g, w in zip(got["hidden"], want))
+
+
 def test_denoise_loop_takes_bounded_batches(spark, staged):
     sizes = []
 
