@@ -5,6 +5,7 @@ import tempfile
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +29,8 @@ class Stage:
     def mapInPandas(run, schema):
         return Stage(run)
 
+    mapInArrow = mapInPandas
+
     def __init__(self, run):
         self.run = run
 
@@ -94,6 +97,12 @@ def test_encoder_gets_bounded_batches(spark, staged):
     assert all(np.array_equal(g, w) for g, w in zip(got["hidden"], want))
 
 
+def sampled(run, *frames):
+    """Rows that a stage gives for frames, sent as Arrow batches."""
+    return pd.concat(b.to_pandas() for b in run(
+        [pa.RecordBatch.from_pandas(f, preserve_index=False) for f in frames]))
+
+
 def test_denoise_loop_takes_bounded_batches(spark, staged):
     sizes = []
 
@@ -110,12 +119,12 @@ def test_denoise_loop_takes_bounded_batches(spark, staged):
         run = dd.denoise_numpy(df, "id", 5, dim, predictor, steps=3, context=context).run
         rows = pdf if context else pdf[["key", "x"]]
         sizes.clear()
-        got = pd.concat(run([pd.concat([rows] * 3, ignore_index=True)]))
+        got = sampled(run, pd.concat([rows] * 3, ignore_index=True))
         assert max(sizes) <= dd.LOOP_VALUES
         assert got["key"].tolist() == 3 * list(range(n))
-        alone = pd.concat(run([rows.iloc[k:k + 1] for k in (0, 7, n - 1)]))
+        alone = sampled(run, *(rows.iloc[k:k + 1] for k in (0, 7, n - 1)))
         assert np.allclose(np.stack(got["sample"].iloc[[0, 7, n - 1]]), np.stack(alone["sample"]))
-        assert not list(run([rows.iloc[:0]]))
+        assert not list(run([pa.RecordBatch.from_pandas(rows.iloc[:0], preserve_index=False)]))
 
 
 def test_a_row_larger_than_the_bound_passes(spark, staged):
@@ -124,7 +133,7 @@ def test_a_row_larger_than_the_bound_passes(spark, staged):
     pdf = pd.DataFrame({"key": [1, 2], "x": [np.ones(dim)] * 2, "context": [[np.ones(2)]] * 2})
     for context in (None, "hidden"):
         run = dd.denoise_numpy(df, "id", 5, dim, lambda x, t, *c: (x, x), steps=1, context=context).run
-        assert [len(f) for f in run([pdf])] == [1, 1]
+        assert [f.num_rows for f in run([pa.RecordBatch.from_pandas(pdf, preserve_index=False)])] == [1, 1]
 
 
 def folder():
@@ -167,3 +176,18 @@ def test_progress_gets_a_row_for_each_task_and_status(spark):
     assert sums == {"success": (750, float(sum(i for i in range(1000) if i % 4))), "error": (250, 0.0)}
     empty = df.where(F.lit(False)).mapInPandas(es._partial_progress, "status string, n long, total double")
     assert empty.count() == 0
+
+
+def test_denoise_keeps_keys_of_any_type(spark):
+    import datetime
+    keys = [datetime.datetime(2024, 7, 1, 12, 30, k) for k in range(3)] + [None]
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(k,) for k in keys], "k timestamp")
+        out = dd.denoise_numpy(df, "k", 1, 4, lambda x, t: (x, x), steps=2)
+        assert out.schema["k"].dataType == df.schema["k"].dataType
+        want, got = df.select(F.col("k").cast("string")), out.select(F.col("k").cast("string"))
+        assert sorted(want.collect(), key=str) == sorted(got.collect(), key=str)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
