@@ -205,7 +205,8 @@ def train(docs: DataFrame, text: str = "text") -> tuple | None:
         rows.append(sum(plain))
         log_rand += [round(math.log((1 - EVEN) * (r + 1.0) / (sum(rand) + size) + EVEN / size), 6) for r in rand]
     mass = [LEAST + BACK_OFF * n for n in rows]
-    back = [round(p * mass[x // size], 6) for x, p in enumerate(back_off(counts[False]))]
+    # Six digits, not six decimals: a pair that no identifier has must not become zero in a large corpus.
+    back = [float(f"{p * mass[x // size]:.6g}") for x, p in enumerate(back_off(counts[False]))]
     model = (log_rand, counts[False], rows, back, mass)
     low, middle = (tokens.where("NOT random").select(_ratio(model, F.col("token")).alias("r"))
                    .agg(F.percentile_approx("r", [0.1, 0.5], F.lit(10_000))).first()[0])

@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -128,3 +129,16 @@ def test_stages_carry_columns_of_any_name(spark):
     judged = quality_rules.judge(docs)
     assert {(r["doc_id"], r["_measures"], r["spans"]) for r in judged.collect()} == {
         (d, f"{d}-_measures", f"{d}-spans") for d, _ in rows}
+
+
+def test_secret_stage_of_many_identifiers_without_a_letter(spark):
+    """No identifier has a ``j``: the model's least probabilities are under 1e-6, not zero."""
+    rng = random.Random(5)
+    letters, signs = "abcdefghiklmnopqrstuvwxyz", "abcdefghiklmnopABCDEFGHIKLMNOP0123456789"
+    texts = [" ".join("".join(rng.choices(letters, k=41)) for _ in range(50)) for _ in range(100)]
+    keys = ["token=" + "".join(rng.choices(signs, k=32)) for _ in range(50)]
+    docs = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts + keys)],
+                                 "doc_id long, text string, n_chars long")
+    out = {r["doc_id"]: (r["text"], r["n_chars"]) for r in cp.secret_scan(spark, docs, "").collect()}
+    assert [out[i] for i in range(100, 150)] == [("[SECRET]", 8)] * 50
+    assert len(out) == 150
