@@ -150,3 +150,23 @@ def test_long_run_is_scored_without_itself(spark):
     docs = docs.union(spark.createDataFrame([(f"see {long} here",)], "text string"))
     (row,) = sc.scan(docs, sc.train(docs)).where("length(text) > 90000").collect()
     assert (3, 4, 4 + len(long)) in [(s["kind"], s["start"], s["end"]) for s in row["spans"]]
+
+
+def test_large_corpus_without_a_letter(spark, tmp_path):
+    """No identifier has a ``j``, of 200,000 pairs of letters: the back-off of a
+    digit and ``J`` is under 1e-6, and was zero when rounded to six decimals."""
+    rng = random.Random(5)
+    letters = string.ascii_lowercase.replace("j", "")
+    texts = [" ".join("".join(rng.choices(letters, k=41)) for _ in range(50)) for _ in range(100)]
+    texts += [f"token={k.replace('j', 'i').replace('J', 'I')}" for k in unkeyed(50, seed=4)]
+    keys = [k for k in unkeyed(5) if not re.search(sc.HEX, k)]
+    rows = list(enumerate(texts))
+    path = str(tmp_path / "d")
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    docs.write.parquet(f"{path}/documents.parquet")
+    model = sc.train(docs)
+    assert min(model[3]) > 0
+    check(rows, QUERIES["op2_markov_secrets"](spark, path))
+    seen = spark.createDataFrame([(i, f"see {k} here") for i, k in enumerate(keys)], "doc_id long, text string")
+    found = sc.scan(seen, model).select(sc.as_string(F.col("spans")).alias("spans")).collect()
+    assert [r["spans"] for r in found] == ["random:4:36"] * len(keys)
