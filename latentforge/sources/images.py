@@ -1,18 +1,21 @@
 """Image files (S2) and the per-file image sink.
 
-Files are listed and read by Spark's ``binaryFile`` source (splittable over
-many files, path filters pushed to listing).  Decoding runs in a
-``mapInPandas`` stage with a pluggable batch decoder; a file that fails to
-decode gives a row with NULL pixels and an error message instead of failing
-the task.  The built-in codec is a tiny raw format (header + HWC uint8
+A folder is listed by a task, and its names are dealt over the tasks that read
+the files: the driver has neither names nor a task for every few files, as it
+has with Spark's ``binaryFile`` source.  Decoding is pluggable; a file that
+fails to decode gives a row with NULL pixels and an error message instead of
+failing the task.  The built-in codec is a tiny raw format (header + HWC uint8
 bytes); real codecs (JPEG/PNG) plug in as decoders.  Files are written by a data
 source with a commit.
 """
 
 from __future__ import annotations
 
+import os
+import re
 import struct
 import uuid
+from itertools import islice
 from urllib.parse import quote
 
 import numpy as np
@@ -65,27 +68,123 @@ def decode_raw(data: bytes):
     return h, w, c, bytes(body)
 
 
+FRAME_ROWS, FRAME_BYTES = 4096, 1 << 24      # rows of an output frame, and bytes of the files in it
+LIST_ROWS = 10_000                           # names in a batch of a listing
+
+
+def _children(files, root: str):
+    """(name, whether it is a folder) of all that is in a folder.  A local
+    folder is never held as a whole."""
+    from pyarrow import fs as pafs
+
+    if isinstance(files, pafs.LocalFileSystem):
+        with os.scandir(root) as found:
+            for e in found:
+                yield e.name, e.is_dir()
+    else:
+        for info in files.get_file_info(pafs.FileSelector(root)):
+            yield info.base_name, info.type == pafs.FileType.Directory
+
+
+def _file_names(files, root: str, pattern: str | None, below: str = ""):
+    """Paths below ``root`` of the files that Spark's file sources find there:
+    none that are hidden, and of its folders those of partitions (``key=value``)."""
+    for name, folder in _children(files, f"{root}/{below}".rstrip("/")):
+        if name.startswith(".") or (name.startswith("_") and "=" not in name) or name.endswith("._COPYING_"):
+            continue
+        if folder:
+            if "=" in name:
+                yield from _file_names(files, root, pattern, f"{below}{name}/")
+        elif pattern is None or re.fullmatch(pattern, name, re.DOTALL):
+            yield below + name
+
+
+def _store(uri: str):
+    """(filesystem, path) of a URI as Hadoop writes it, where names aren't quoted."""
+    from pyarrow import fs as pafs
+
+    return (pafs.LocalFileSystem(), uri[len("file:"):]) if uri.startswith("file:/") else pafs.FileSystem.from_uri(uri)
+
+
+def _folder(spark: SparkSession, path: str) -> str | None:
+    """The full name of a folder that the tasks can list; None for a file, a
+    pattern, a missing path, and stores that only Spark's readers know."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    if re.search(r"[*?\[\]{}\\]", path):
+        return None
+    at = hadoop.Path(path)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    try:
+        uri = store.makeQualified(at).toString().rstrip("/")
+        _store(uri)
+        return uri if store.getFileStatus(at).isDirectory() else None
+    except Exception:
+        return None
+
+
+def _decoded(decoder, path: str, content: bytes) -> tuple:
+    try:
+        h, w, c, px = decoder(content)
+        return path, h, w, c, px, "success", None
+    except Exception as e:  # a bad file is a row, not a failed task
+        return path, None, None, None, None, "error", f"{type(e).__name__}: {e}"
+
+
 def read_images(spark: SparkSession, path: str, decoder=decode_raw, glob: str | None = None) -> DataFrame:
-    """(path, h, w, c, pixels, status, error_message) per file."""
-    reader = spark.read.format("binaryFile")
-    if glob:
-        reader = reader.option("pathGlobFilter", glob)
-    files = reader.load(path).select("path", "content")
+    """(path, h, w, c, pixels, status, error_message) per file.
 
-    def run(batches):
-        import pandas as pd
+    One task lists the folder, and its names are shuffled to four read tasks
+    for each core.  Files are those that Spark's file sources would read: not
+    hidden, not empty, with a name that ``glob`` matches.  Spark's
+    ``binaryFile`` source lists on the driver what is no folder that pyarrow
+    can open: patterns in ``path``, single files, and other stores.
+    """
+    import pandas as pd
 
-        for pdf in batches:
-            rows = []
-            for p, content in zip(pdf["path"], pdf["content"]):
-                try:
-                    h, w, c, px = decoder(content)
-                    rows.append((p, h, w, c, px, "success", None))
-                except Exception as e:  # a bad file is a row, not a failed task
-                    rows.append((p, None, None, None, None, "error", f"{type(e).__name__}: {e}"))
-            yield pd.DataFrame(rows, columns=[f.name for f in DECODED_SCHEMA.fields])
+    def frame(rows):
+        return pd.DataFrame(rows, columns=[f.name for f in DECODED_SCHEMA.fields])
+
+    uri = _folder(spark, path)
+    if uri is None:
+        reader = spark.read.format("binaryFile")
+        if glob:
+            reader = reader.option("pathGlobFilter", glob)
+
+        def run(batches):
+            for pdf in batches:
+                yield frame([_decoded(decoder, p, x) for p, x in zip(pdf["path"], pdf["content"])])
 
-    return files.mapInPandas(run, DECODED_SCHEMA)
+        return reader.load(path).select("path", "content").mapInPandas(run, DECODED_SCHEMA)
+
+    pattern = spark._jvm.org.apache.hadoop.fs.GlobPattern(glob).compiled().pattern() if glob else None
+
+    def listed(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            files, root = _store(uri)
+            names = _file_names(files, root, pattern) if batch.num_rows else iter(())
+            while part := list(islice(names, LIST_ROWS)):
+                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string())], names=["name"])
+
+    def read(batches):
+        files, root = _store(uri)
+        for pdf in batches:
+            rows, held = [], 0
+            for name in pdf["name"]:
+                with files.open_input_stream(f"{root}/{name}", compression=None) as f:
+                    content = f.read()
+                if content:
+                    rows.append(_decoded(decoder, f"{uri}/{name}", content))
+                    held += len(content)
+                if len(rows) >= FRAME_ROWS or held >= FRAME_BYTES:
+                    yield frame(rows)
+                    rows, held = [], 0
+            if rows:
+                yield frame(rows)
+
+    names = spark.range(0, 1, 1, 1).mapInArrow(listed, "name string")
+    return names.repartition(4 * spark.sparkContext.defaultParallelism, "name").mapInPandas(read, DECODED_SCHEMA)
 
 
 class _ImageWriter(DataSourceArrowWriter):
@@ -157,7 +256,7 @@ def write_image_files(df: DataFrame, key: str, pixels: str, h: str, w: str, c: s
 
     files, root = pafs.FileSystem.from_uri(to_uri(out_dir.rstrip("/")))
     if not overwrite and files.get_file_info(root).type != pafs.FileType.NotFound \
-            and files.get_file_info(pafs.FileSelector(root)):
+            and any(True for _ in _children(files, root)):
         raise FileExistsError(out_dir)
 
     class ImageFiles(DataSource):

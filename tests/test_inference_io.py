@@ -4,6 +4,7 @@ import os
 import tempfile
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,6 +105,62 @@ def test_read_images_with_bad_file(spark):
     assert r["2.raw"].status == "error" and r["2.raw"].pixels is None
 
 
+def odd_folder():
+    """A folder with names of all kinds, some of which Spark's sources leave out."""
+    d = os.path.join(scratch(), "a b")
+    one = io.encode_raw(np.arange(6, dtype=np.uint8).reshape(1, 2, 3))
+    for name in ("1.raw", "a b%20c.raw", "é\U0001f600.raw", "x,y.raw", "x.bin", ".hid.raw", "_hid.raw", "_k=1.raw", "d._COPYING_",
+                 "sub/2.raw", "_sub=1/3.raw"):
+        os.makedirs(os.path.dirname(os.path.join(d, name)), exist_ok=True)
+        with open(os.path.join(d, name), "wb") as f:
+            f.write(one)
+    for name, text in (("bad.raw", b"garbage"), ("empty.raw", b"")):
+        with open(os.path.join(d, name), "wb") as f:
+            f.write(text)
+    return d
+
+
+@pytest.mark.parametrize("glob", [None, "*.raw", "{1,x*}.[!q]?[n-w]", "nothing*"])
+def test_read_images_lists_what_spark_lists(spark, glob):
+    d = odd_folder()
+    os.remove(os.path.join(d, "_sub=1", "3.raw"))
+    reader = spark.read.format("binaryFile")
+    want = (reader if glob is None else reader.option("pathGlobFilter", glob)).load(d).select("path").collect()
+    got = io.read_images(spark, d, glob=glob).collect()
+    assert sorted(r.path for r in got) == sorted(r.path for r in want)
+    assert {os.path.basename(r.path): r.status for r in got if r.status != "success"} == (
+        {"bad.raw": "error"} if glob in (None, "*.raw") else {})
+    assert all(r.pixels == bytes(range(6)) and (r.h, r.w, r.c) == (1, 2, 3) for r in got if r.status == "success")
+
+
+def test_read_images_of_partition_folders_files_and_patterns(spark):
+    d = scratch()
+    for k in range(3):
+        os.makedirs(os.path.join(d, f"k={k}"))
+        with open(os.path.join(d, f"k={k}", f"{k}.raw"), "wb") as f:
+            f.write(io.encode_raw(np.full((1, 1, 1), k, dtype=np.uint8)))
+    full = {f"file:{d}/k={k}/{k}.raw": bytes([k]) for k in range(3)}
+    for path in (d, f"file://{d}/", f"{d}/k=*"):
+        assert {r.path: r.pixels for r in io.read_images(spark, path).collect()} == full
+    assert [r.pixels for r in io.read_images(spark, f"{d}/k=2/2.raw").collect()] == [b"\x02"]
+    with pytest.raises(Exception):
+        io.read_images(spark, f"{d}/missing").collect()
+
+
+def test_many_images_are_not_listed_by_the_driver(spark):
+    d = scratch()
+    first = os.path.join(d, "0.raw")
+    with open(first, "wb") as f:
+        f.write(io.encode_raw(np.zeros((1, 1, 1), dtype=np.uint8)))
+    for k in range(1, 3000):
+        os.link(first, os.path.join(d, f"{k}.raw"))
+    r = io.read_images(spark, d, glob="*.raw")
+    assert r.inputFiles() == []
+    assert r.rdd.getNumPartitions() == 4 * spark.sparkContext.defaultParallelism
+    found = r.where("status = 'success'").select("path").collect()
+    assert sorted(int(os.path.basename(x.path)[:-4]) for x in found) == list(range(3000))
+
+
 def test_stats_document_round_trip(spark):
     stats = spark.createDataFrame([("gender_distribution", "male", 3), ("activities", "walking", 2)],
                                   "dimension string, category string, n long")
